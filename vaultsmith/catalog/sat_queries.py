@@ -1 +1,357 @@
 """Checked queries: satellite staging and satellite loads."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.keys import ZERO_KEY
+from ..operators.load import sat_delta
+from ..operators.stage import attribute_sources, stage_sat
+from ..run import Run
+from ..spec import Sat, Source
+from . import sqltext as S
+from .model import (
+    RUN,
+    RUN_OLD,
+    RUN_OLD_STRICT,
+    RUN_STRICT,
+    S_CUSTOMER,
+    S_LINE,
+    S_ORDER,
+    S_ORDER_PARTS,
+    S_ORDER_SWAPPED,
+    SHIP_SPLIT,
+    T_MID,
+    T_OLD,
+    T_RUN,
+    table,
+)
+from .registry import register
+
+
+# ------------------------------------------------------------ SQL builders
+def sat_stage_sql(sat: Sat, src: Source, frm: str, load_ts: str = T_RUN, business: bool = False,
+                  strict: bool = False, present: set[str] | None = None) -> str:
+    """Staged satellite rows as SQL (mirrors ``stage_sat``)."""
+    key = [S.kt(b) for b in src.bks]
+    cks = []
+    for c, t in sat.cks.items():
+        if strict:
+            e = S.kt(c) if present is None or c in present else S.q(ZERO_KEY)
+        elif business:
+            e = S.txt(c)
+        else:
+            e = S.q(ZERO_KEY)
+        cks.append(f"{e} AS {t}")
+    pairs = attribute_sources(sat, src, strict)
+    raw = [S.txt(c) for _, c in pairs]
+    if strict:
+        vals = [f"trim({S.bounded(r)})" for r in raw]
+        diff = S.md5_plain([f"coalesce({v}, '')" for v in vals])
+    elif business:
+        vals = raw
+        diff = S.md5_plain([f"trim({S.bounded(r)})" for r in raw])
+    else:
+        vals = raw
+        diff = S.md5_plain(raw)
+    attrs = [f"{v} AS {t}" for v, (t, _) in zip(vals, pairs)]
+    return (
+        f"SELECT {S.hk(key, src.tenant, src.bkeycode)} AS {sat.hk}, {', '.join([*cks, *attrs])}, "
+        f"{diff} AS dv_hashdiff, "
+        f"{S.meta(load_ts, src.name, 'stage_' + sat.name, tenant=src.tenant, code=src.bkeycode)} FROM {frm}"
+    )
+
+
+def _sat_row(sat: Sat, load_ts: str, alias: str = "s") -> str:
+    cols = [sat.hk, *sat.cks.values(), *sat.attrs, "dv_hashdiff"]
+    return ", ".join(f"{alias}.{c}" for c in cols) + ", " + S.load_meta(load_ts, "load_" + sat.name, alias)
+
+
+def sat_regular_load_sql(sat: Sat, stage_cte: str, target_cte: str | None, load_ts: str = T_RUN) -> str:
+    where = f"WHERE NOT EXISTS (SELECT 1 FROM {target_cte} t WHERE t.{sat.hk} = s.{sat.hk})" if target_cte else ""
+    return f"SELECT DISTINCT {_sat_row(sat, load_ts)} FROM {stage_cte} s {where}"
+
+
+def sat_ckey_load_sql(sat: Sat, stage_cte: str, target_cte: str | None, load_ts: str = T_RUN) -> str:
+    if not target_cte:
+        return f"SELECT DISTINCT {_sat_row(sat, load_ts)} FROM {stage_cte} s"
+    part = ", ".join([sat.hk, *sat.cks.values()])
+    on = " AND ".join(f"c.{k} = s.{k}" for k in [sat.hk, *sat.cks.values(), "dv_hashdiff"])
+    return (
+        f"SELECT DISTINCT {_sat_row(sat, load_ts)} FROM {stage_cte} s WHERE NOT EXISTS ("
+        f"SELECT 1 FROM (SELECT {part}, dv_hashdiff, RANK() OVER (PARTITION BY {part} "
+        f"ORDER BY dv_appts DESC NULLS FIRST, dv_loadts DESC NULLS FIRST) AS rnk FROM {target_cte}) c "
+        f"WHERE c.rnk = 1 AND {on})"
+    )
+
+
+def sat_multiactive_load_sql(sat: Sat, stage_cte: str, target_cte: str | None, load_ts: str = T_RUN,
+                             strict: bool = False) -> str:
+    """Decorrelated form of the set comparison (same result as nested EXISTS)."""
+    hk = sat.hk
+    src = f"(SELECT DISTINCT * FROM {stage_cte})" if strict else stage_cte
+    attrs = ", ".join(f"s.{a}" for a in sat.attrs)
+    out = (
+        f"SELECT s.{hk}, {attrs}, s.dv_hashdiff, s.dv_loadts, s.dv_appts, s.dv_recsrc, s.dv_tenant, "
+        f"s.dv_bkeycode, CAST(DENSE_RANK() OVER (PARTITION BY s.{hk} ORDER BY s.dv_hashdiff) AS INTEGER) "
+        f"AS dv_subseq, {S.q('load_' + sat.name)} AS dv_taskid FROM {src} s"
+    )
+    if not target_cte:
+        return out
+    return (
+        f"{out} WHERE s.{hk} IN (SELECT st.{hk} FROM "
+        f"(SELECT DISTINCT x.{hk}, x.dv_hashdiff, n.dvcount FROM {stage_cte} x JOIN "
+        f"(SELECT {hk}, COUNT(DISTINCT dv_hashdiff) AS dvcount FROM {stage_cte} GROUP BY {hk}) n "
+        f"ON x.{hk} = n.{hk}) st WHERE NOT EXISTS (SELECT 1 FROM "
+        f"(SELECT m.{hk}, m.dv_hashdiff, g.dvcount FROM {target_cte} m JOIN "
+        f"(SELECT {hk}, dv_appts, dv_loadts, MAX(dv_subseq) AS dvcount, RANK() OVER (PARTITION BY {hk} "
+        f"ORDER BY dv_appts DESC NULLS FIRST, dv_loadts DESC NULLS FIRST) AS dvrank FROM {target_cte} "
+        f"GROUP BY {hk}, dv_appts, dv_loadts) g "
+        f"ON m.{hk} = g.{hk} AND m.dv_appts = g.dv_appts AND m.dv_loadts = g.dv_loadts WHERE g.dvrank = 1) c "
+        f"WHERE c.{hk} = st.{hk} AND c.dv_hashdiff = st.dv_hashdiff AND c.dvcount = st.dvcount))"
+    )
+
+
+def ts_lit(s: str):
+    return F.lit(s).cast("timestamp_ntz")
+
+
+# ===================================================================== staging
+_ORD_SRC = S_ORDER.sources[0]
+
+
+@register("stage_sat_orders", sat_stage_sql(S_ORDER, _ORD_SRC, "orders"))
+def stage_sat_orders(spark, d):
+    return stage_sat(table(spark, d, "orders"), S_ORDER, _ORD_SRC, RUN)
+
+
+# Padded text and NULL attributes: raw-vault attributes and hashdiff are not
+# trimmed, and NULLs are skipped inside the hashdiff.
+_PADDED_FROM = (
+    "(SELECT o_orderkey, nullif(o_orderstatus, 'F') AS o_orderstatus, "
+    "concat('  ', o_orderpriority, ' ') AS o_orderpriority, o_totalprice, o_orderdate FROM orders) p"
+)
+
+
+def _padded_orders(spark, d):
+    o = table(spark, d, "orders")
+    return o.select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" ")).alias("o_orderpriority"),
+        "o_totalprice",
+        "o_orderdate",
+    )
+
+
+_SW_SRC = S_ORDER_SWAPPED.sources[0]
+
+
+@register("stage_sat_padded", sat_stage_sql(S_ORDER_SWAPPED, _SW_SRC, _PADDED_FROM))
+def stage_sat_padded(spark, d):
+    return stage_sat(_padded_orders(spark, d), S_ORDER_SWAPPED, _SW_SRC, RUN)
+
+
+@register("strict_stage_sat_padded", sat_stage_sql(S_ORDER_SWAPPED, _SW_SRC, _PADDED_FROM, strict=True))
+def strict_stage_sat_padded(spark, d):
+    return stage_sat(_padded_orders(spark, d), S_ORDER_SWAPPED, _SW_SRC, RUN_STRICT)
+
+
+_LINE_SRC = S_LINE.sources[0]
+_LINE_COLS = {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+              "l_shipdate"}
+
+
+@register("stage_sat_ckey", sat_stage_sql(S_LINE, _LINE_SRC, "lineitem"))
+def stage_sat_ckey(spark, d):
+    return stage_sat(table(spark, d, "lineitem"), S_LINE, _LINE_SRC, RUN)
+
+
+@register("strict_stage_sat_ckey", sat_stage_sql(S_LINE, _LINE_SRC, "lineitem", strict=True, present=_LINE_COLS))
+def strict_stage_sat_ckey(spark, d):
+    return stage_sat(table(spark, d, "lineitem"), S_LINE, _LINE_SRC, RUN_STRICT)
+
+
+# ============================================================ regular loads
+_CUST_SRC = S_CUSTOMER.sources[0]
+_OLD_SEGMENTS = ("BUILDING", "MACHINERY")
+# Earlier load of two segments, with names that have changed since.
+_OLD_CUST_FROM = (
+    "(SELECT c_custkey, concat(c_name, ' (old)') AS c_name, c_acctbal, c_mktsegment FROM customer "
+    f"WHERE c_mktsegment IN ({', '.join(S.q(x) for x in _OLD_SEGMENTS)})) oc"
+)
+
+
+def _old_customers(spark, d):
+    c = table(spark, d, "customer").where(F.col("c_mktsegment").isin(*_OLD_SEGMENTS))
+    return c.withColumn("c_name", F.concat(F.col("c_name"), F.lit(" (old)")))
+
+
+def _regular_sql(strict: bool) -> str:
+    old_stage = sat_stage_sql(S_CUSTOMER, _CUST_SRC, _OLD_CUST_FROM, T_OLD, strict=strict)
+    new_stage = sat_stage_sql(S_CUSTOMER, _CUST_SRC, "customer", strict=strict)
+    head = (
+        f"WITH os AS ({old_stage}), tgt AS ({sat_regular_load_sql(S_CUSTOMER, 'os', None, T_OLD)}), "
+        f"s AS ({new_stage}) "
+    )
+    if strict:
+        return head + sat_ckey_load_sql(S_CUSTOMER, "s", "tgt")
+    return head + sat_regular_load_sql(S_CUSTOMER, "s", "tgt")
+
+
+def _regular(spark, d, run: Run, run_old: Run):
+    old = sat_delta(stage_sat(_old_customers(spark, d), S_CUSTOMER, _CUST_SRC, run_old), None, S_CUSTOMER, run_old)
+    st = stage_sat(table(spark, d, "customer"), S_CUSTOMER, _CUST_SRC, run)
+    return sat_delta(st, old, S_CUSTOMER, run)
+
+
+@register("load_sat_regular", _regular_sql(strict=False))
+def load_sat_regular(spark, d):
+    return _regular(spark, d, RUN, RUN_OLD)
+
+
+@register("strict_sat_regular", _regular_sql(strict=True))
+def strict_sat_regular(spark, d):
+    return _regular(spark, d, RUN_STRICT, RUN_OLD_STRICT)
+
+
+# ============================================================ child-key loads
+_OLD_LINES_FROM = f"(SELECT * FROM lineitem WHERE l_shipdate < {S.ts(SHIP_SPLIT + ' 00:00:00')}) ol"
+# Version B: returned lines got another quantity, loaded in between.
+_B_LINES_FROM = "(SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM lineitem WHERE l_returnflag = 'R') bl"
+_RUN_MID = Run(load_ts=T_MID)
+
+
+def _old_lines(spark, d):
+    return table(spark, d, "lineitem").where(F.col("l_shipdate") < ts_lit(SHIP_SPLIT))
+
+
+def _b_lines(spark, d):
+    li = table(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
+    return li.withColumn("l_quantity", F.col("l_quantity") + 1)
+
+
+@register("load_sat_ckey",
+          f"WITH os AS ({sat_stage_sql(S_LINE, _LINE_SRC, _OLD_LINES_FROM, T_OLD)}), "
+          f"tgt AS ({sat_ckey_load_sql(S_LINE, 'os', None, T_OLD)}), "
+          f"s AS ({sat_stage_sql(S_LINE, _LINE_SRC, 'lineitem')}) " + sat_ckey_load_sql(S_LINE, "s", "tgt"))
+def load_sat_ckey(spark, d):
+    old = sat_delta(stage_sat(_old_lines(spark, d), S_LINE, _LINE_SRC, RUN_OLD), None, S_LINE, RUN_OLD)
+    st = stage_sat(table(spark, d, "lineitem"), S_LINE, _LINE_SRC, RUN)
+    return sat_delta(st, old, S_LINE, RUN)
+
+
+def _history_sql(strict: bool, null_appts: bool = False) -> str:
+    kw = {"strict": strict, "present": _LINE_COLS}
+    a = f"WITH sa AS ({sat_stage_sql(S_LINE, _LINE_SRC, 'lineitem', T_OLD, **kw)}), "
+    v1 = sat_ckey_load_sql(S_LINE, "sa", None, T_OLD)
+    if null_appts:
+        v1 = f"SELECT * REPLACE (CASE WHEN quantity = '1.0' THEN NULL ELSE dv_appts END AS dv_appts) FROM ({v1}) v"
+    a += f"v1 AS ({v1}), "
+    a += f"sb AS ({sat_stage_sql(S_LINE, _LINE_SRC, _B_LINES_FROM, T_MID, **kw)}), "
+    a += f"v2 AS ({sat_ckey_load_sql(S_LINE, 'sb', 'v1', T_MID)}), "
+    a += "tgt AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2), "
+    a += f"s AS ({sat_stage_sql(S_LINE, _LINE_SRC, 'lineitem', **kw)}) "
+    return a + sat_ckey_load_sql(S_LINE, "s", "tgt")
+
+
+def _history(spark, d, strict: bool, null_appts: bool = False):
+    sem = "strict" if strict else "reference"
+    r_old, r_mid, r_run = (Run(load_ts=t, semantics=sem) for t in (T_OLD, T_MID, T_RUN))
+    li = table(spark, d, "lineitem")
+    v1 = sat_delta(stage_sat(li, S_LINE, _LINE_SRC, r_old), None, S_LINE, r_old)
+    if null_appts:
+        v1 = v1.withColumn("dv_appts", F.when(F.col("quantity") != "1.0", F.col("dv_appts")))
+    v2 = sat_delta(stage_sat(_b_lines(spark, d), S_LINE, _LINE_SRC, r_mid), v1, S_LINE, r_mid)
+    target = v1.unionByName(v2)
+    return sat_delta(stage_sat(li, S_LINE, _LINE_SRC, r_run), target, S_LINE, r_run)
+
+
+@register("load_sat_ckey_history", _history_sql(strict=False))
+def load_sat_ckey_history(spark, d):
+    """History A -> B -> A: the last A differs from the latest version B."""
+    return _history(spark, d, strict=False)
+
+
+@register("strict_sat_ckey_history", _history_sql(strict=True))
+def strict_sat_ckey_history(spark, d):
+    return _history(spark, d, strict=True)
+
+
+@register("load_sat_ckey_null_appts", _history_sql(strict=True, null_appts=True))
+def load_sat_ckey_null_appts(spark, d):
+    """A NULL applied time sorts as the newest version."""
+    return _history(spark, d, strict=True, null_appts=True)
+
+
+# ========================================================= multi-active loads
+_MA_SRC = S_ORDER_PARTS.sources[0]
+_DUP_LINES_FROM = "(SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_returnflag = 'R') dl"
+
+
+def _dup_lines(spark, d):
+    li = table(spark, d, "lineitem")
+    return li.unionByName(li.where(F.col("l_returnflag") == "R"))
+
+
+def _ma_sql(old_from: str, new_from: str, strict: bool = False, null_appts: bool = False) -> str:
+    kw = {"strict": strict}
+    first = sat_multiactive_load_sql(S_ORDER_PARTS, "os", None, T_OLD, strict)
+    if null_appts:
+        first = f"SELECT * REPLACE (CASE WHEN partkey < '500' THEN NULL ELSE dv_appts END AS dv_appts) FROM ({first}) f"
+    return (
+        f"WITH os AS ({sat_stage_sql(S_ORDER_PARTS, _MA_SRC, old_from, T_OLD, **kw)}), "
+        f"tgt AS ({first}), "
+        f"s AS ({sat_stage_sql(S_ORDER_PARTS, _MA_SRC, new_from, **kw)}) "
+        + sat_multiactive_load_sql(S_ORDER_PARTS, "s", "tgt", T_RUN, strict)
+    )
+
+
+def _ma(old_df, new_df, strict: bool = False, null_appts: bool = False):
+    sem = "strict" if strict else "reference"
+    r_old, r_run = Run(load_ts=T_OLD, semantics=sem), Run(load_ts=T_RUN, semantics=sem)
+    tgt = sat_delta(stage_sat(old_df, S_ORDER_PARTS, _MA_SRC, r_old), None, S_ORDER_PARTS, r_old)
+    if null_appts:
+        tgt = tgt.withColumn("dv_appts", F.when(~(F.col("partkey") < "500"), F.col("dv_appts")))
+    return sat_delta(stage_sat(new_df, S_ORDER_PARTS, _MA_SRC, r_run), tgt, S_ORDER_PARTS, r_run)
+
+
+@register("load_sat_multiactive_first",
+          f"WITH s AS ({sat_stage_sql(S_ORDER_PARTS, _MA_SRC, 'lineitem')}) "
+          + sat_multiactive_load_sql(S_ORDER_PARTS, "s", None))
+def load_sat_multiactive_first(spark, d):
+    st = stage_sat(table(spark, d, "lineitem"), S_ORDER_PARTS, _MA_SRC, RUN)
+    return sat_delta(st, None, S_ORDER_PARTS, RUN)
+
+
+@register("load_sat_multiactive", _ma_sql(_OLD_LINES_FROM, "lineitem"))
+def load_sat_multiactive(spark, d):
+    """Sets grown since the earlier load are reloaded whole."""
+    return _ma(_old_lines(spark, d), table(spark, d, "lineitem"))
+
+
+@register("load_sat_multiactive_unchanged", _ma_sql("lineitem", "lineitem"))
+def load_sat_multiactive_unchanged(spark, d):
+    return _ma(table(spark, d, "lineitem"), table(spark, d, "lineitem"))
+
+
+@register("load_sat_multiactive_shrunk", _ma_sql("lineitem", _OLD_LINES_FROM))
+def load_sat_multiactive_shrunk(spark, d):
+    """A staged set that is a strict subset of the current one still reloads."""
+    return _ma(table(spark, d, "lineitem"), _old_lines(spark, d))
+
+
+@register("load_sat_multiactive_duplicates", _ma_sql(_OLD_LINES_FROM, _DUP_LINES_FROM))
+def load_sat_multiactive_duplicates(spark, d):
+    return _ma(_old_lines(spark, d), _dup_lines(spark, d))
+
+
+@register("strict_sat_multiactive_duplicates", _ma_sql(_OLD_LINES_FROM, _DUP_LINES_FROM, strict=True))
+def strict_sat_multiactive_duplicates(spark, d):
+    return _ma(_old_lines(spark, d), _dup_lines(spark, d), strict=True)
+
+
+@register("load_sat_multiactive_null_appts", _ma_sql("lineitem", "lineitem", null_appts=True))
+def load_sat_multiactive_null_appts(spark, d):
+    """Keys whose newest group has a NULL applied time never match: reloaded."""
+    return _ma(table(spark, d, "lineitem"), table(spark, d, "lineitem"), null_appts=True)
