@@ -16,6 +16,7 @@ the dataclasses below. YAML layout::
                            src: {customer: {bks: [c_custkey],
                                             attrs: {c_name: name,
                                                     c_acctbal: balance}}}}}
+      effs:  {es_order: {link: l_order, drivers: [hk_order]}}
     bv:                      # business vault: each source also has ``sql``
       ...                    # and an entity may list ``dependencies``
 
@@ -92,11 +93,24 @@ class Sat:
         return "multiactive" if self.multiactive else "regular"
 
 
+@dataclass
+class Effectivity:
+    """Effectivity satellite of ``link``: validity periods of its rows, driven
+    by the hub key(s) ``drivers`` (names from the link's ``hks``)."""
+
+    name: str
+    link: str
+    drivers: list[str]
+    dependencies: list[str] = field(default_factory=list)
+    kind: str = "effectivity"
+
+
 @dataclass
 class Layer:
     hubs: dict[str, Hub] = field(default_factory=dict)
     links: dict[str, Link] = field(default_factory=dict)
     sats: dict[str, Sat] = field(default_factory=dict)
+    effs: dict[str, Effectivity] = field(default_factory=dict)
 
     def entities(self) -> list[Hub | Link | Sat]:
         return [*self.hubs.values(), *self.links.values(), *self.sats.values()]
@@ -140,6 +154,12 @@ class VaultModel:
         for layer_name, layer in (("rv", self.rv), ("bv", self.bv)):
             for ent in layer.entities():
                 errors += [f"{layer_name}.{ent.name}: {e}" for e in validate_entity(ent, layer_name == "bv")]
+            for eff in layer.effs.values():
+                link = layer.links.get(eff.link)
+                if link is None:
+                    errors.append(f"{layer_name}.{eff.name}: unknown link {eff.link}")
+                elif set(eff.drivers) - set(link.hks) or not eff.drivers:
+                    errors.append(f"{layer_name}.{eff.name}: drivers must be hub keys of {eff.link}")
         if errors:
             raise ValueError("invalid vault model:\n  " + "\n  ".join(errors))
         return self
@@ -205,4 +225,6 @@ def _layer(conf: dict, virtual: bool) -> Layer:
             name, e["hk"], list(e["attrs"]), _sources(e, virtual), dict(e.get("cks") or {}),
             bool(e.get("multiactive") or False), list(e.get("dependencies") or []),
         )
+    for name, e in (conf.get("effs") or {}).items():
+        layer.effs[name] = Effectivity(name, e["link"], list(e["drivers"]), list(e.get("dependencies") or []))
     return layer
