@@ -93,3 +93,76 @@ S_ORDER_PARTS = Sat(
     "s_order_parts", hk="hk_order", attrs=["partkey", "quantity"], multiactive=True,
     sources=[Source("lineitem", bks=["l_orderkey"], attrs={"l_partkey": "partkey", "l_quantity": "quantity"})],
 )
+
+
+# ------------------------------------------------------ whole-vault model
+TPCH_MODEL_YAML = """
+connection:
+  schemas: {source: tpch, stage: tpch_stage, edwh: tpch_vault}
+rv:
+  hubs:
+    h_customer: {hk: hk_customer, bk: customer_bk,
+                 src: {customer: {bks: [c_custkey]}, orders: {bks: [o_custkey]}}}
+    h_order:    {hk: hk_order, bk: order_bk, src: {orders: {bks: [o_orderkey]}}}
+    h_part:     {hk: hk_part, bk: part_bk, src: {part: {bks: [p_partkey]}}}
+    h_supplier: {hk: hk_supplier, bk: supplier_bk, src: {supplier: {bks: [s_suppkey]}}}
+  links:
+    l_order_customer:
+      hk: hk_order_customer
+      hks: [hk_order, hk_customer]
+      src: {orders: {bks: {o_orderkey: hk_order, o_custkey: hk_customer}}}
+    l_lineitem:
+      hk: hk_lineitem
+      hks: [hk_order, hk_part, hk_supplier]
+      cks: {l_linenumber: linenumber_ck}
+      src: {lineitem: {bks: {l_orderkey: hk_order, l_partkey: hk_part, l_suppkey: hk_supplier}}}
+    l_part_supplier:
+      hk: hk_part_supplier
+      hks: [hk_part, hk_supplier]
+      src: {lineitem: {bks: {l_partkey: hk_part, l_suppkey: hk_supplier}}}
+  sats:
+    s_customer:
+      hk: hk_customer
+      attrs: [name, balance, segment]
+      src: {customer: {bks: [c_custkey], attrs: {c_name: name, c_acctbal: balance, c_mktsegment: segment}}}
+    s_order:
+      hk: hk_order
+      attrs: [status, totalprice, orderdate, priority]
+      src: {orders: {bks: [o_orderkey], attrs: {o_orderstatus: status, o_totalprice: totalprice,
+                                               o_orderdate: orderdate, o_orderpriority: priority}}}
+    s_lineitem:
+      hk: hk_order
+      cks: {l_linenumber: linenumber_ck}
+      attrs: [quantity, price, shipdate]
+      src: {lineitem: {bks: [l_orderkey], attrs: {l_quantity: quantity, l_extendedprice: price,
+                                                 l_shipdate: shipdate}}}
+    s_order_parts:
+      hk: hk_order
+      multiactive: true
+      attrs: [partkey, quantity]
+      src: {lineitem: {bks: [l_orderkey], attrs: {l_partkey: partkey, l_quantity: quantity}}}
+  effs:
+    es_part_supplier: {link: l_part_supplier, drivers: [hk_part]}
+bv:
+  hubs:
+    bv_h_segment_nation:
+      hk: hk_segment_nation
+      bk: segment_nation_bk
+      src:
+        segment_nation_sql:
+          bks: [n_name, c_mktsegment]
+          sql: "SELECT c.c_mktsegment, n.n_name FROM tpch.customer c JOIN tpch.nation n ON c.c_nationkey = n.n_nationkey"
+  sats:
+    bv_s_order_customer:
+      hk: hk_order
+      attrs: [customer_name, nation]
+      dependencies: [load__bv_h_segment_nation]
+      src:
+        order_customer_sql:
+          bks: [o_orderkey]
+          attrs: {c_name: customer_name, n_name: nation}
+          sql: >-
+            SELECT o.o_orderkey, c.c_name, n.n_name FROM tpch.orders o
+            JOIN tpch.customer c ON o.o_custkey = c.c_custkey
+            JOIN tpch.nation n ON c.c_nationkey = n.n_nationkey
+"""

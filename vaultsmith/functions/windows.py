@@ -50,8 +50,10 @@ def set_positions(pairs: DataFrame, key: str, value: str, prefix_len: int = 2) -
     bucket = F.substring(F.col(value), 1, prefix_len)
     pb = pairs.select(key, value, bucket.alias("_bkt"))
     counts = pb.groupBy(key, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(key)
+    # Same partitioning and order for both sums: one Window operator, one exchange.
+    by_key = Window.partitionBy(key).orderBy("_bkt")
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = counts.select(
         key,
         "_bkt",

@@ -41,6 +41,15 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+STAGED_META = ["dv_appts", "dv_recsrc", "dv_tenant", "dv_bkeycode"]
+
+
+def _distinct_then_stamp(rows: DataFrame, cols: list[str], run: Run, task: str) -> DataFrame:
+    """``SELECT DISTINCT cols, <load time>, <task id>``: deduplicate on the
+    staged columns first so the run literals are not hashed and shuffled."""
+    return rows.select(*cols, *STAGED_META).distinct().select(*cols, *load_meta(run, task))
+
+
 def first_source_wins(stages: list[DataFrame], keys: list[str], target: DataFrame | None = None) -> DataFrame:
     """Rows of the first source (in list order) that has each key, minus keys
     already in ``target``.
@@ -70,8 +79,9 @@ def hub_delta(stages, target: DataFrame | None, hub: Hub, run: Run) -> DataFrame
     semantics keep one row per key.
     """
     rows = first_source_wins(_as_list(stages), [hub.hk], target)
-    out = rows.select(hub.hk, hub.bk, *load_meta(run, run.load_task(hub.name)))
-    return out.distinct() if run.strict else out
+    if run.strict:
+        return _distinct_then_stamp(rows, [hub.hk, hub.bk], run, run.load_task(hub.name))
+    return rows.select(hub.hk, hub.bk, *load_meta(run, run.load_task(hub.name)))
 
 
 # ------------------------------------------------------------------ links
@@ -85,8 +95,10 @@ def link_delta(stages, target: DataFrame | None, link: Link, run: Run) -> DataFr
     cks = list(link.cks.values())
     keys = [link.hk, *cks] if run.strict else [link.hk]
     rows = first_source_wins(_as_list(stages), keys, target)
-    out = rows.select(link.hk, *link.hks, *cks, *load_meta(run, run.load_task(link.name)))
-    return out.distinct() if run.strict else out
+    cols = [link.hk, *link.hks, *cks]
+    if run.strict:
+        return _distinct_then_stamp(rows, cols, run, run.load_task(link.name))
+    return rows.select(*cols, *load_meta(run, run.load_task(link.name)))
 
 
 # ------------------------------------------------------------- satellites
@@ -121,7 +133,7 @@ def sat_delta_regular(stages, target: DataFrame | None, sat: Sat, run: Run) -> D
     if run.strict:
         return sat_delta_ckey(stages, target, sat, run)
     rows = first_source_wins(_as_list(stages), [sat.hk], target)
-    return rows.select(sat.hk, *sat.attrs, HASHDIFF, *load_meta(run, run.load_task(sat.name))).distinct()
+    return _distinct_then_stamp(rows, [sat.hk, *sat.attrs, HASHDIFF], run, run.load_task(sat.name))
 
 
 def _ckey_one(stage: DataFrame, target: DataFrame | None, sat: Sat, run: Run) -> DataFrame:
@@ -131,7 +143,7 @@ def _ckey_one(stage: DataFrame, target: DataFrame | None, sat: Sat, run: Run) ->
         current = latest_rows(target, [sat.hk, *cks], [HASHDIFF])
         # Plain equality: a NULL child key never matches, so such rows load again.
         rows = rows.join(current, [sat.hk, *cks, HASHDIFF], "left_anti")
-    return rows.select(sat.hk, *cks, *sat.attrs, HASHDIFF, *load_meta(run, run.load_task(sat.name))).distinct()
+    return _distinct_then_stamp(rows, [sat.hk, *cks, *sat.attrs, HASHDIFF], run, run.load_task(sat.name))
 
 
 def sat_delta_ckey(stages, target: DataFrame | None, sat: Sat, run: Run) -> DataFrame:

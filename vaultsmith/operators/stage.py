@@ -27,7 +27,7 @@ from ..functions.keys import (
 from ..functions.meta import HASHDIFF, stage_meta
 from ..run import Run
 from ..spec import Hub, Link, Sat, Source
-from ..sources.tables import find_column, virtual_source
+from ..sources.tables import find_column, spread, virtual_source
 
 
 def _value(df: DataFrame, name: str) -> Column:
@@ -46,6 +46,7 @@ def _require(df: DataFrame, names, what: str) -> None:
 def stage_hub(df: DataFrame, hub: Hub, src: Source, run: Run) -> DataFrame:
     """hk = md5(tenant|bkeycode|key...), bk = key|key..., meta."""
     _require(df, [b for b in src.bks if b.isidentifier()], f"hub {hub.name}")
+    df = spread(df) if run.spread_sources else df
     parts = [key_text(_value(df, b), run.max_varchar) for b in src.bks]
     return df.select(
         hash_key(parts, src.tenant, src.bkeycode).alias(hub.hk),
@@ -91,6 +92,7 @@ def stage_link(df: DataFrame, link: Link, src: Source, run: Run, business: bool
     reference semantics the hub keys are unsalted ``md5(key)``.
     """
     parts = _hub_key_columns(df, link, src, run, business)
+    df = spread(df) if run.spread_sources else df
     flat = [p for key in link.hks for p in parts[key]]
     hub_cols = []
     for key in link.hks:
@@ -148,6 +150,7 @@ def stage_sat(df: DataFrame, sat: Sat, src: Source, run: Run, business: bool = F
     in the hashdiff.
     """
     _require(df, [b for b in src.bks if b.isidentifier()], f"sat {sat.name}")
+    df = spread(df) if run.spread_sources else df
     key_parts = [key_text(_value(df, b), run.max_varchar) for b in src.bks]
     ck_cols = []
     for column, target in sat.cks.items():

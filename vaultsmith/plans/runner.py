@@ -10,6 +10,7 @@ after the append the same lazy DataFrame would mean something else.
 from __future__ import annotations
 
 import logging
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ log = logging.getLogger(__name__)
 class RunReport:
     order: list[str] = field(default_factory=list)
     appended: dict[str, int] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
 
 
 @dataclass
@@ -98,6 +100,7 @@ class VaultRunner:
         return self.spark.table(name).count() if self.count_rows else -1
 
     def _load_entity(self, ent, layer: Layer, run: Run, business: bool, report: RunReport) -> None:
+        started = time.perf_counter()
         name = self._ensure(ent, layer, run)
         before = self._count(name)
         stages = self._stages(ent, layer, run, business)
@@ -114,6 +117,7 @@ class VaultRunner:
             link_rows = vault_table(self.spark, self.table_name(link.name), [link.hk, *ent.drivers])
             append(effectivity_delta(stages, target, link_rows, ent, link, run), name)
         report.order.append(f"{'bv' if business else 'rv'}.{ent.name}")
+        report.seconds[ent.name] = round(time.perf_counter() - started, 3)
         if self.count_rows:
             report.appended[ent.name] = self._count(name) - before
         log.info("loaded %s", name)

@@ -31,6 +31,8 @@ class Run:
     semantics: str = REFERENCE
     task_prefix: str = ""
     max_varchar: int = MAX_VARCHAR
+    # Opt-in: round-robin a source with fewer partitions than cores before hashing.
+    spread_sources: bool = False
     tags: dict = field(default_factory=dict)
 
     def __post_init__(self):

@@ -15,7 +15,14 @@ from pyspark.sql import SparkSession
 # Runtime re-planning: AQE coalesces small shuffle partitions, converts a
 # join to broadcast only when the *measured* side is under the threshold,
 # and splits skewed join partitions (a hot hash key such as the zero key).
+# Broadcasts planned from static estimates are off: a stage's size is
+# estimated from compressed Parquet bytes, but hashing turns every row into
+# several 32-character strings (a 10 MB file became a 192 MB broadcast).
 VAULT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # Hash join without sorting when every build-side partition measures small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -23,6 +23,16 @@ def find_column(df: DataFrame, name: str) -> str | None:
     return None
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a source over the cluster's cores when it arrives in fewer
+    partitions (a file with one row group is read by one task), so that the
+    hashing projection after it runs in parallel. A source already split
+    into at least that many partitions is returned unchanged."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
+
+
 def source_columns(df: DataFrame) -> list[str]:
     """Column names of a source (replaces an information_schema lookup)."""
     return list(df.columns)
