@@ -84,7 +84,8 @@ def vault_table(spark: SparkSession, name: str, columns: list[str] | None = None
 
 
 def list_vault_tables(spark: SparkSession, schema: str) -> list[str]:
-    """Names of the tables in a vault schema."""
+    """Names of the tables in a vault schema (the session's temporary views,
+    which the catalog lists under every schema, are left out)."""
     if not spark.catalog.databaseExists(schema):
         return []
-    return sorted(t.name for t in spark.catalog.listTables(schema))
+    return sorted(t.name for t in spark.catalog.listTables(schema) if not t.isTemporary)
