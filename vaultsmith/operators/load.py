@@ -44,10 +44,14 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 STAGED_META = ["dv_appts", "dv_recsrc", "dv_tenant", "dv_bkeycode"]
 
 
-def _distinct_then_stamp(rows: DataFrame, cols: list[str], run: Run, task: str) -> DataFrame:
-    """``SELECT DISTINCT cols, <load time>, <task id>``: deduplicate on the
-    staged columns first so the run literals are not hashed and shuffled."""
-    return rows.select(*cols, *STAGED_META).distinct().select(*cols, *load_meta(run, task))
+def _distinct_staged(stage: DataFrame, cols: list[str]) -> DataFrame:
+    """The ``DISTINCT`` of a load, taken on the staged columns *before* the
+    existence check: partial aggregation collapses repeated rows (a hot key's
+    copies) map-side, the run literals are stamped afterwards instead of
+    being hashed and shuffled, and the anti join stays the last exchange, so
+    AQE may split a skewed partition of it. Same rows: the check is on a
+    subset of these columns."""
+    return stage.select(*cols, *STAGED_META).distinct()
 
 
 def first_source_wins(stages: list[DataFrame], keys: list[str], target: DataFrame | None = None) -> DataFrame:
@@ -78,10 +82,11 @@ def hub_delta(stages, target: DataFrame | None, hub: Hub, run: Run) -> DataFrame
     Reference semantics keep every staged duplicate of a new key; strict
     semantics keep one row per key.
     """
-    rows = first_source_wins(_as_list(stages), [hub.hk], target)
+    cols = [hub.hk, hub.bk]
     if run.strict:
-        return _distinct_then_stamp(rows, [hub.hk, hub.bk], run, run.load_task(hub.name))
-    return rows.select(hub.hk, hub.bk, *load_meta(run, run.load_task(hub.name)))
+        stages = [_distinct_staged(s, cols) for s in _as_list(stages)]
+    rows = first_source_wins(_as_list(stages), [hub.hk], target)
+    return rows.select(*cols, *load_meta(run, run.load_task(hub.name)))
 
 
 # ------------------------------------------------------------------ links
@@ -94,10 +99,10 @@ def link_delta(stages, target: DataFrame | None, link: Link, run: Run) -> DataFr
     """
     cks = list(link.cks.values())
     keys = [link.hk, *cks] if run.strict else [link.hk]
-    rows = first_source_wins(_as_list(stages), keys, target)
     cols = [link.hk, *link.hks, *cks]
     if run.strict:
-        return _distinct_then_stamp(rows, cols, run, run.load_task(link.name))
+        stages = [_distinct_staged(s, cols) for s in _as_list(stages)]
+    rows = first_source_wins(_as_list(stages), keys, target)
     return rows.select(*cols, *load_meta(run, run.load_task(link.name)))
 
 
@@ -132,18 +137,21 @@ def sat_delta_regular(stages, target: DataFrame | None, sat: Sat, run: Run) -> D
     """
     if run.strict:
         return sat_delta_ckey(stages, target, sat, run)
-    rows = first_source_wins(_as_list(stages), [sat.hk], target)
-    return _distinct_then_stamp(rows, [sat.hk, *sat.attrs, HASHDIFF], run, run.load_task(sat.name))
+    cols = [sat.hk, *sat.attrs, HASHDIFF]
+    stages = [_distinct_staged(s, cols) for s in _as_list(stages)]
+    rows = first_source_wins(stages, [sat.hk], target)
+    return rows.select(*cols, *load_meta(run, run.load_task(sat.name)))
 
 
 def _ckey_one(stage: DataFrame, target: DataFrame | None, sat: Sat, run: Run) -> DataFrame:
     cks = list(sat.cks.values())
-    rows = stage
+    cols = [sat.hk, *cks, *sat.attrs, HASHDIFF]
+    rows = _distinct_staged(stage, cols)
     if target is not None:
         current = latest_rows(target, [sat.hk, *cks], [HASHDIFF])
         # Plain equality: a NULL child key never matches, so such rows load again.
         rows = rows.join(current, [sat.hk, *cks, HASHDIFF], "left_anti")
-    return _distinct_then_stamp(rows, [sat.hk, *cks, *sat.attrs, HASHDIFF], run, run.load_task(sat.name))
+    return rows.select(*cols, *load_meta(run, run.load_task(sat.name)))
 
 
 def sat_delta_ckey(stages, target: DataFrame | None, sat: Sat, run: Run) -> DataFrame:
