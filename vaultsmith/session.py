@@ -8,7 +8,6 @@ for tests and the benchmark.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -60,13 +59,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a fallback set, a fresh
-    scratch folder unless one is given.
+    Only when the session has none (local tests) is one set: ``fallback`` if
+    given, else ``_checkpoints`` under the warehouse folder, which on a
+    cluster is shared storage, never a machine-local temporary folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
-    path = fallback or tempfile.mkdtemp(prefix="vaultsmith-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if fallback is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        fallback = f"{warehouse}/_checkpoints"
+    spark.sparkContext.setCheckpointDir(fallback)
+    return fallback

@@ -79,6 +79,9 @@ def vault_table(spark: SparkSession, name: str, columns: list[str] | None = None
     table does not exist yet (first load)."""
     if not spark.catalog.tableExists(name):
         return None
+    # Vault tables are appended by other jobs and sessions (a streaming
+    # micro-batch runs in a cloned session): drop any cached file listing.
+    spark.catalog.refreshTable(name)
     df = spark.table(name)
     return df.select(*columns) if columns else df
 
