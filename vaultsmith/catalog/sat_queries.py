@@ -355,3 +355,71 @@ def strict_sat_multiactive_duplicates(spark, d):
 def load_sat_multiactive_null_appts(spark, d):
     """Keys whose newest group has a NULL applied time never match: reloaded."""
     return _ma(table(spark, d, "lineitem"), table(spark, d, "lineitem"), null_appts=True)
+
+
+# ======================================================== several sources
+# A second source re-delivers the returned lines with another quantity.
+_CORR_FROM = "(SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM lineitem WHERE l_returnflag = 'R') corr"
+S_LINE_2SRC = Sat(
+    "s_lineitem", hk="hk_order", attrs=["quantity", "price", "shipdate"], cks={"l_linenumber": "linenumber_ck"},
+    sources=[_LINE_SRC, Source("lineitem_corrections", bks=["l_orderkey"], attrs=dict(_LINE_SRC.attrs))],
+)
+S_PARTS_2SRC = Sat(
+    "s_order_parts", hk="hk_order", attrs=["partkey", "quantity"], multiactive=True,
+    sources=[_MA_SRC, Source("lineitem_corrections", bks=["l_orderkey"], attrs=dict(_MA_SRC.attrs))],
+)
+
+
+def _two_sources_sql(sat: Sat, load_sql, strict: bool = False) -> str:
+    s1, s2 = sat.sources
+    kw = {"strict": strict}
+    head = (
+        f"WITH os AS ({sat_stage_sql(sat, s1, _OLD_LINES_FROM, T_OLD, **kw)}), "
+        f"tgt AS ({load_sql(sat, 'os', None, T_OLD)}), "
+        f"s1 AS ({sat_stage_sql(sat, s1, 'lineitem', **kw)}), "
+        f"s2 AS ({sat_stage_sql(sat, s2, _CORR_FROM, **kw)}), "
+    )
+    if strict and sat.multiactive:
+        # Strict multi-active: the union of the sources is one staged set.
+        return head + "s AS (SELECT * FROM s1 UNION ALL SELECT * FROM s2) " + load_sql(sat, "s", "tgt", T_RUN)
+    return (
+        head + f"d1 AS ({load_sql(sat, 's1', 'tgt', T_RUN)}), "
+        "t2 AS (SELECT * FROM tgt UNION ALL SELECT * FROM d1), "
+        f"d2 AS ({load_sql(sat, 's2', 't2', T_RUN)}) "
+        "SELECT * FROM d1 UNION ALL SELECT * FROM d2"
+    )
+
+
+def _two_sources(spark, d, sat: Sat, strict: bool = False):
+    sem = "strict" if strict else "reference"
+    r_old, r_run = Run(load_ts=T_OLD, semantics=sem), Run(load_ts=T_RUN, semantics=sem)
+    s1, s2 = sat.sources
+    old = sat_delta(stage_sat(_old_lines(spark, d), sat, s1, r_old), None, sat, r_old)
+    stages = [stage_sat(table(spark, d, "lineitem"), sat, s1, r_run), stage_sat(_b_lines(spark, d), sat, s2, r_run)]
+    return sat_delta(stages, old, sat, r_run)
+
+
+def _ma_load(sat, stage_cte, target_cte, load_ts=T_RUN):
+    return sat_multiactive_load_sql(sat, stage_cte, target_cte, load_ts)
+
+
+def _ma_load_strict(sat, stage_cte, target_cte, load_ts=T_RUN):
+    return sat_multiactive_load_sql(sat, stage_cte, target_cte, load_ts, strict=True)
+
+
+@register("load_sat_ckey_multi_source", _two_sources_sql(S_LINE_2SRC, sat_ckey_load_sql))
+def load_sat_ckey_multi_source(spark, d):
+    """Source 2 compares with the latest rows, including those source 1 added."""
+    return _two_sources(spark, d, S_LINE_2SRC)
+
+
+@register("load_sat_multiactive_multi_source", _two_sources_sql(S_PARTS_2SRC, _ma_load))
+def load_sat_multiactive_multi_source(spark, d):
+    """Sources load one after another: source 2's smaller sets replace source 1's."""
+    return _two_sources(spark, d, S_PARTS_2SRC)
+
+
+@register("strict_sat_multiactive_multi_source", _two_sources_sql(S_PARTS_2SRC, _ma_load_strict, strict=True))
+def strict_sat_multiactive_multi_source(spark, d):
+    """Strict: the union of both sources is one staged set per key."""
+    return _two_sources(spark, d, S_PARTS_2SRC, strict=True)
