@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions.meta import HASHDIFF, SUBSEQ, load_meta
 from ..functions.windows import latest_rows, newest_first, set_positions
 from ..run import Run
+from ..session import checkpoint_dir
 from ..spec import Hub, Link, Sat
 
 _ORD = "_src_ord"
@@ -41,6 +42,15 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise an intermediate delta in the cluster's shared checkpoint
+    folder (a reliable checkpoint, never a local one). Source k of a target
+    compares with the deltas of sources 1..k-1; without the cut, each later
+    plan would recompute all earlier deltas (quadratic in the sources)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 STAGED_META = ["dv_appts", "dv_recsrc", "dv_tenant", "dv_bkeycode"]
 
 
@@ -160,14 +170,17 @@ def sat_delta_ckey(stages, target: DataFrame | None, sat: Sat, run: Run) -> Data
     same (hk, child keys).
 
     Sources load one after another: the rows source 1 adds are "latest"
-    when source 2 is compared.
+    when source 2 is compared. Each intermediate delta is checkpointed (an
+    eager job) so the next source reads it instead of recomputing it.
     """
     stages = _as_list(stages)
     cks = list(sat.cks.values())
     compare = [sat.hk, *cks, HASHDIFF, "dv_appts", "dv_loadts"]
     outs, seen = [], (target.select(*compare) if target is not None else None)
-    for st in stages:
+    for i, st in enumerate(stages):
         d = _ckey_one(st, seen, sat, run)
+        if i < len(stages) - 1:
+            d = _cut_lineage(d)
         outs.append(d)
         seen = d.select(*compare) if seen is None else seen.unionByName(d.select(*compare))
     return union_all(outs)
@@ -226,8 +239,10 @@ def sat_delta_multiactive(stages, target: DataFrame | None, sat: Sat, run: Run)
         stages = [union_all(stages)]
     compare = [sat.hk, HASHDIFF, "dv_appts", "dv_loadts", SUBSEQ]
     outs, seen = [], (target.select(*compare) if target is not None else None)
-    for st in stages:
+    for i, st in enumerate(stages):
         d = _multiactive_one(st, seen, sat, run)
+        if i < len(stages) - 1:
+            d = _cut_lineage(d)
         outs.append(d)
         seen = d.select(*compare) if seen is None else seen.unionByName(d.select(*compare))
     return union_all(outs)
