@@ -143,3 +143,27 @@ def test_yaml_defaults(model):
     assert (actor.tenant, actor.bkeycode) == ("default", "default")
     assert model.rv.links["l_rental"].cks == {"rental_id": "rental_id_ck"}
     assert model.rv.sats["s_film"].variant == "multiactive" and model.rv.sats["s_rental"].variant == "ckey"
+
+
+def test_command_line_validates_model(capsys):
+    from vaultsmith.__main__ import main
+
+    assert main(["run", MODEL_PATH, "--validate-only"]) == 0
+    out = capsys.readouterr().out
+    assert '"valid": true' in out and "s_film" in out
+
+
+def test_command_line_runs_parquet_sources(spark, tmp_path):
+    from vaultsmith.__main__ import main
+
+    model = tmp_path / "m.yaml"
+    model.write_text(
+        "connection: {schemas: {source: tpch_src, stage: tpch_stg, edwh: cli_vault}}\n"
+        "rv:\n  hubs:\n    h_customer: {hk: hk_customer, bk: customer_bk, src: {customer: {bks: [c_custkey]}}}\n"
+    )
+    spark.sql("DROP DATABASE IF EXISTS cli_vault CASCADE")
+    assert main(["run", str(model), "--sources", "parquet:/root/testdata/sf0.001",
+                 "--load-ts", "2024-06-01 00:00:00"]) == 0
+    n = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
+    assert spark.table("cli_vault.h_customer").count() == n
+    spark.sql("DROP DATABASE cli_vault CASCADE")
