@@ -49,7 +49,11 @@ def set_positions(pairs: DataFrame, key: str, value: str, prefix_len: int = 2) -
     """
     bucket = F.substring(F.col(value), 1, prefix_len)
     pb = pairs.select(key, value, bucket.alias("_bkt"))
-    counts = pb.groupBy(key, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
+    in_bucket = Window.partitionBy(key, "_bkt").orderBy(value)
+    ranked = pb.withColumn("_pos", F.row_number().over(in_bucket))
+    # The largest position in a bucket is its size; the ranked rows are
+    # already partitioned by (key, bucket), so this needs no exchange.
+    counts = ranked.groupBy(key, "_bkt").agg(F.max("_pos").alias("_n"))
     # Same partitioning and order for both sums: one Window operator, one exchange.
     by_key = Window.partitionBy(key).orderBy("_bkt")
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
@@ -60,8 +64,6 @@ def set_positions(pairs: DataFrame, key: str, value: str, prefix_len: int = 2) -
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
         F.sum("_n").over(whole).alias("_cnt"),
     )
-    in_bucket = Window.partitionBy(key, "_bkt").orderBy(value)
-    ranked = pb.withColumn("_pos", F.row_number().over(in_bucket))
     return ranked.join(offsets, [key, "_bkt"]).select(
         key,
         value,
