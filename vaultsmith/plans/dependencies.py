@@ -34,9 +34,7 @@ def resolve(dep: str, tasks: list[str], strict: bool) -> str | None:
     return None
 
 
-def bv_order(model: VaultModel, strict: bool = False) -> list[str]:
-    """Business-vault entity names in an order that loads every dependency
-    first (hubs, links, satellites, effectivity otherwise in model order)."""
+def _bv_graph(model: VaultModel, strict: bool) -> tuple[list[str], dict[str, set[str]]]:
     tasks = task_names(model)
     names = [e.name for e in model.bv.entities()] + list(model.bv.effs)
     deps_of = {}
@@ -52,12 +50,26 @@ def bv_order(model: VaultModel, strict: bool = False) -> list[str]:
         if hasattr(ent, "link") and ent.link in names:
             before.add(ent.link)
         deps_of[ent.name] = before
-    order, done = [], set()
-    while len(order) < len(names):
+    return names, deps_of
+
+
+def bv_levels(model: VaultModel, strict: bool = False) -> list[list[str]]:
+    """Business-vault entity names in dependency levels: every entity comes
+    after all the entities it depends on; entities of one level are
+    independent (model order kept inside a level)."""
+    names, deps_of = _bv_graph(model, strict)
+    levels, done = [], set()
+    while len(done) < len(names):
         ready = [n for n in names if n not in done and deps_of[n] <= done]
         if not ready:
             cycle = sorted(n for n in names if n not in done)
             raise ValueError(f"dependency cycle among {cycle}")
-        order.append(ready[0])
-        done.add(ready[0])
-    return order
+        levels.append(ready)
+        done.update(ready)
+    return levels
+
+
+def bv_order(model: VaultModel, strict: bool = False) -> list[str]:
+    """Business-vault entity names in an order that loads every dependency
+    first (hubs, links, satellites, effectivity otherwise in model order)."""
+    return [n for level in bv_levels(model, strict) for n in level]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from ..run import Run
 from ..sinks.tables import append, ensure_schema, ensure_table, table_columns, write_stage
 from ..sources.tables import SourceResolver, catalog_sources, vault_table, virtual_source
 from ..spec import Effectivity, Hub, Layer, Link, Sat, VaultModel
-from .dependencies import bv_order
+from .dependencies import bv_levels
 
 log = logging.getLogger(__name__)
 
@@ -52,6 +53,9 @@ class VaultRunner:
     buckets: int | None = None
     materialize_stage: bool = False
     count_rows: bool = False
+    # Entities of one wave are independent targets: their jobs are submitted
+    # from this many driver threads at once (1 = one after another).
+    parallelism: int = 4
 
     def __post_init__(self):
         self.model.validate()
@@ -64,14 +68,42 @@ class VaultRunner:
         ensure_schema(self.spark, self.model.vault_schema)
         if self.materialize_stage:
             ensure_schema(self.spark, self.model.stage_schema)
-        rv = self.model.rv
-        for ent in [*rv.entities(), *rv.effs.values()]:
-            self._load_entity(ent, rv, run, business=False, report=report)
-        by_name = {e.name: e for e in [*self.model.bv.entities(), *self.model.bv.effs.values()]}
-        for name in bv_order(self.model, run.strict):
-            self._load_entity(by_name[name], self.model.bv, run, business=True, report=report)
+        rv, bv = self.model.rv, self.model.bv
+        # Raw vault: every hub, link and satellite is its own target (one wave);
+        # an effectivity satellite reads its link's table, so it waits for that link.
+        self._wave([*rv.entities(), *rv.effs.values()], rv, run, False, report)
+        # Business vault: dependency levels, each level one wave.
+        by_name = {e.name: e for e in [*bv.entities(), *bv.effs.values()]}
+        for level in bv_levels(self.model, run.strict):
+            self._wave([by_name[n] for n in level], bv, run, True, report)
         return report
 
+    def _wave(self, entities, layer: Layer, run: Run, business: bool, report: RunReport) -> None:
+        """Load independent targets; an effectivity satellite listed after its
+        link starts once that link is loaded."""
+        if self.parallelism <= 1 or len(entities) <= 1:
+            for ent in entities:
+                self._load_entity(ent, layer, run, business, report)
+            return
+        futures = {}
+
+        def after_link(ent):
+            if ent.link in futures:
+                futures[ent.link].result()
+            self._load_entity(ent, layer, run, business, report)
+
+        with ThreadPoolExecutor(max_workers=self.parallelism) as pool:
+            # Links and the rest are queued first, so a waiting effectivity
+            # task never holds a worker its link still needs.
+            for ent in entities:
+                if not isinstance(ent, Effectivity):
+                    futures[ent.name] = pool.submit(self._load_entity, ent, layer, run, business, report)
+            for ent in entities:
+                if isinstance(ent, Effectivity):
+                    futures[ent.name] = pool.submit(after_link, ent)
+            for f in futures.values():
+                f.result()
+
     def table_name(self, entity_name: str) -> str:
         return f"{self.model.vault_schema}.{entity_name}"
 
