@@ -186,3 +186,12 @@ def test_stage_is_a_single_projection(spark):
     df = spark.range(10).selectExpr("CAST(id AS STRING) AS k", "'c' AS c", "'x' AS a1", "'y' AS a2", "'z' AS a3")
     summary = plan_summary(stage_sat(df, SAT, SAT.sources[0], RUN))
     assert summary["exchanges"] == 0 and summary["forbidden"] == []
+
+
+def test_source_resolvers_and_columns(spark):
+    from vaultsmith.sources.tables import find_column, mapping_sources, parquet_sources, source_columns
+
+    cust = parquet_sources(spark, "/root/testdata/sf0.001")("customer")
+    assert source_columns(cust)[:2] == ["c_custkey", "c_name"]
+    assert find_column(cust, "C_CUSTKEY") == "c_custkey" and find_column(cust, "nope") is None
+    assert mapping_sources({"customer": cust})("customer") is cust

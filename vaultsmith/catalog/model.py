@@ -15,7 +15,6 @@ T_MID = "2024-03-01 00:00:00"
 T_RUN = "2024-06-01 00:00:00"
 
 RUN_OLD = Run(load_ts=T_OLD)
-RUN_MID = Run(load_ts=T_MID)
 RUN = Run(load_ts=T_RUN)
 RUN_STRICT = Run(load_ts=T_RUN, semantics="strict")
 RUN_OLD_STRICT = Run(load_ts=T_OLD, semantics="strict")

@@ -219,7 +219,6 @@ def strict_sat_regular(spark, d):
 _OLD_LINES_FROM = f"(SELECT * FROM lineitem WHERE l_shipdate < {S.ts(SHIP_SPLIT + ' 00:00:00')}) ol"
 # Version B: returned lines got another quantity, loaded in between.
 _B_LINES_FROM = "(SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM lineitem WHERE l_returnflag = 'R') bl"
-_RUN_MID = Run(load_ts=T_MID)
 
 
 def _old_lines(spark, d):

@@ -8,7 +8,7 @@ deterministic and a rerun of the same run is reproducible.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 
@@ -33,7 +33,6 @@ class Run:
     max_varchar: int = MAX_VARCHAR
     # Opt-in: round-robin a source with fewer partitions than cores before hashing.
     spread_sources: bool = False
-    tags: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if self.semantics not in (REFERENCE, STRICT):

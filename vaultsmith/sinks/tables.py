@@ -65,10 +65,6 @@ def ensure_table(spark: SparkSession, name: str, columns: list[tuple[str, str]],
     spark.sql(ddl)
 
 
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
-
-
 def append(df: DataFrame, name: str) -> None:
     """Append rows (``INSERT INTO``), columns matched to the table by name."""
     cols = df.sparkSession.table(name).columns
