@@ -192,7 +192,8 @@ def _multiactive_one(stage: DataFrame, target: DataFrame | None, sat: Sat, run:
     if run.strict:
         staged = staged.distinct()
     # Staged sets: position of each distinct hashdiff within its key, and the set size.
-    sets = set_positions(staged.select(hk, HASHDIFF).distinct(), hk, HASHDIFF)
+    pairs = staged.select(hk, HASHDIFF).distinct()
+    sets = set_positions(pairs, hk, HASHDIFF)
     if target is None:
         picked = sets
     else:
@@ -204,8 +205,11 @@ def _multiactive_one(stage: DataFrame, target: DataFrame | None, sat: Sat, run:
         current = target.select(hk, HASHDIFF, "dv_appts", "dv_loadts").join(
             newest, [hk, "dv_appts", "dv_loadts"]
         ).select(hk, HASHDIFF, "dvcount")
-        # A key changed if any staged (hashdiff, set size) is not in its current set.
-        changed = sets.join(current, [hk, HASHDIFF, "dvcount"], "left_anti").select(hk).distinct()
+        # A key changed if any staged (hashdiff, set size) is not in its current
+        # set. Only the sizes are needed here: a partial/final count per key.
+        sizes = pairs.groupBy(hk).agg(F.count(F.lit(1)).cast("int").alias("dvcount"))
+        changed = (pairs.join(sizes, hk).join(current, [hk, HASHDIFF, "dvcount"], "left_anti")
+                   .select(hk).distinct())
         picked = sets.join(changed, hk, "left_semi")
     return staged.join(picked, [hk, HASHDIFF]).select(
         hk, *sat.attrs, HASHDIFF, "dv_loadts", "dv_appts", "dv_recsrc", "dv_tenant", "dv_bkeycode",
