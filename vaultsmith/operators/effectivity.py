@@ -64,7 +64,9 @@ def effectivity_delta(stages, target: DataFrame | None, link_rows: DataFrame | N
     relations = first_source_wins(
         [s.select(link.hk, *drivers, *EFFECTIVITY_META).distinct() for s in stages], [link.hk]
     )
-    new = relations.select(link.hk, *EFFECTIVITY_META).distinct()
+    # Already one row per link key: the link hash covers every hub-key part
+    # (the driver's included) and first_source_wins keeps one source per key.
+    new = relations.select(link.hk, *EFFECTIVITY_META)
     if target is None:
         current = None
     else:
