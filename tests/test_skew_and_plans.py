@@ -69,3 +69,27 @@ def test_latest_version_is_pre_limited_before_shuffle(spark):
 def test_date_filters_reach_the_scan(spark):
     text = plan_text(E.queries()["load_link_incremental"](spark, SF_SMALL), "formatted")
     assert "PushedFilters: [IsNotNull(l_shipdate), LessThan(l_shipdate," in text
+
+
+def test_bucketed_target_is_not_reshuffled(spark):
+    """With the vault table bucketed by hash key, the anti join reads the
+    target already partitioned: only the staged side is exchanged."""
+    from vaultsmith import Hub, Run, Source, hub_delta, stage_hub
+    from vaultsmith.sinks.tables import append, ensure_schema, ensure_table, table_columns
+    from vaultsmith.sources.tables import vault_table
+
+    hub = Hub("h_bucketed", "hk_customer", "customer_bk", [Source("customer", bks=["c_custkey"])])
+    ensure_schema(spark, "bucket_vault")
+    name = "bucket_vault.h_bucketed"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    ensure_table(spark, name, table_columns(hub), hub.hk, 8)
+    cust = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    run0, run1 = Run(load_ts="2024-01-01 00:00:00"), Run(load_ts="2024-02-01 00:00:00")
+    append(hub_delta(stage_hub(cust.where("c_nationkey < 10"), hub, hub.sources[0], run0), None, hub, run0), name)
+    with conf(spark, **{"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        delta = hub_delta(stage_hub(cust, hub, hub.sources[0], run1), vault_table(spark, name, [hub.hk]), hub, run1)
+        text = plan_text(delta, "formatted")
+        assert "Bucketed: true" in text
+        assert plan_summary(delta)["exchanges"] == 1  # the staged side only
+        assert delta.count() == cust.count() - cust.where("c_nationkey < 10").count()
+    spark.sql("DROP DATABASE bucket_vault CASCADE")
