@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from vaultsmith.catalog import registry
 
 from .conftest import SF_SMALL
 from .oracle import duck, spark_rows, sql_rows
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,11 @@ def test_every_query_has_an_oracle():
     assert sorted(QUERIES) == sorted(ORACLE)
 
 
+def test_entry_lists_every_library_query():
+    assert set(QUERIES) <= set(E.queries())
+    assert ORACLE.items() <= E.oracle_sql().items()
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0

@@ -59,15 +59,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is one set: ``fallback`` if
-    given, else ``_checkpoints`` under the warehouse folder, which on a
-    cluster is shared storage, never a machine-local temporary folder.
+    Only a local session without one gets its own: ``fallback`` if given, else
+    ``_checkpoints`` under the warehouse folder. On a cluster a missing setting
+    is an error, since Spark's default warehouse may be a machine-local folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
     if fallback is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         fallback = f"{warehouse}/_checkpoints"
     spark.sparkContext.setCheckpointDir(fallback)
