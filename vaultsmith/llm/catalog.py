@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import minmax, quality, toxicity
 
-MODULES = [quality]
+MODULES = [quality, toxicity, minmax]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
