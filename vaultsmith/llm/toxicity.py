@@ -3,16 +3,17 @@
 Grades 0 (clean) to 3. For thresholds b_1 < b_2 < b_3 and one weight vector w shared by
 all of them, P(grade >= j) = sigmoid(w.x - b_j); the expected severity is the sum of
 these probabilities. Features are sparse: a document's words and their prefixes of 4, 5
-and 6 letters (so that inflected forms of one stem share a weight); a present feature
-has the value 1 + log(1 + occurrences per 1000 words).
+and 6 letters (so that inflected forms of one stem share a weight); a feature's value is
+its number of occurrences per 1000 words, at most ``MAX_VALUE``.
 
 The labels say toxic or not. Grades of toxic training documents follow from dose: the
-share of their words that carry a toxic-leaning feature, cut at its terciles.
+share of their words that carry a feature of the model, cut at its terciles.
 
 The classifier is fitted on a bounded sample of labelled rows: at most ``TRAIN_ROWS``
-documents of each label, those with the smallest hashes of doc_id, and at most
-``MAX_FEATURES`` features, those whose log odds differ most between the labels (at
-least ``MIN_Z`` standard errors). Scoring reads every whole text.
+documents of each label, those with the smallest hashes of doc_id (equal texts once),
+and at most ``MAX_FEATURES`` features: those in most toxic documents (in at least
+``MIN_SHARE`` of them and ``MIN_RATIO`` times the share of clean ones). Their weights
+are held at 0 or more. Scoring reads every whole text.
 
 Defined results: null or empty text has no features and grade 0; a label other than 0
 and 1 or without document is ignored, repeated labels of one document count as toxic if
@@ -39,11 +40,15 @@ from ._common import table
 GRADES = 4
 TRAIN_ROWS = 5_000
 MAX_FEATURES = 1_024
-MIN_DOCS = 3
-MIN_Z = 4.0
+MIN_DOCS = 5
+MIN_SHARE = 0.02
+MIN_RATIO = 8.0
+MAX_VALUE = 30.0
+#: A document counts as toxic from this probability of grade 1 or more.
+FLAG = 0.2
 PREFIXES = (4, 5, 6)
-L2 = 1e-3
-STEPS = 400
+L2 = 1e-4
+STEPS = 600
 MAX_CACHED_WORDS = 400_000
 _STRIP = re.compile(r"^\W+|\W+$")
 
@@ -82,7 +87,7 @@ def feature_counts(text: str | None, known: Callable[[str], tuple[int, ...]]) ->
 
 
 def values(n_words: int, found: Counter) -> list[tuple[int, float]]:
-    return [(f, 1.0 + math.log1p(1000.0 * n / n_words)) for f, n in sorted(found.items())]
+    return [(f, min(1000.0 * n / n_words, MAX_VALUE) / 10.0) for f, n in sorted(found.items())]
 
 
 class _Lookup(dict):
@@ -115,14 +120,14 @@ def _rows_of(features: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = _Lookup(features)
         for batch in batches:
-            out = {"toxic": [], "n_words": [], "ids": [], "counts": []}
+            out = {"toxic": [], "n_words": [], "hits": [], "ids": [], "counts": []}
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                n, _, found = feature_counts(text.as_py(), lookup.__getitem__)
+                n, hits, found = feature_counts(text.as_py(), lookup.__getitem__)
                 items = sorted(found.items())
-                for k, v in zip(out, (toxic, n, [i for i, _ in items], [c for _, c in items])):
+                for k, v in zip(out, (toxic, n, hits, [i for i, _ in items], [c for _, c in items])):
                     out[k].append(v)
             yield pa.record_batch([pa.array(out["toxic"], pa.int32()), pa.array(out["n_words"], pa.int64()),
-                                   pa.array(out["ids"], pa.list_(pa.int32())),
+                                   pa.array(out["hits"], pa.int64()), pa.array(out["ids"], pa.list_(pa.int32())),
                                    pa.array(out["counts"], pa.list_(pa.int64()))], names=list(out))
 
     return run
@@ -134,7 +139,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
            .where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     parts = [one.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for t in (0, 1)]
     ids = F.broadcast(parts[0].unionByName(parts[1]))  # at most 2 * rows pairs of numbers
-    return docs.select("doc_id", "text").join(ids, "doc_id").select("toxic", "text")
+    return docs.select("doc_id", "text").join(ids, "doc_id").select("toxic", "text").distinct()
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, max_features: int = MAX_FEATURES) -> OrdinalModel | None:
@@ -144,33 +149,30 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, max_features
     if not pos or not neg:
         return None
     counted = (sample.mapInArrow(_distinct_features, "toxic int, feature string").groupBy("feature")
-               .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).where(f"t + c >= {MIN_DOCS}"))
-    t, c = F.col("t") + 0.5, F.col("c") + 0.5
-    t0, c0 = F.lit(pos) - F.col("t") + 0.5, F.lit(neg) - F.col("c") + 0.5
-    z = (F.log(t / t0) - F.log(c / c0)) / F.sqrt(1 / t + 1 / t0 + 1 / c + 1 / c0)
-    chosen = [(r["feature"], r["z"]) for r in
-              counted.select("feature", F.round(z, 6).alias("z")).where(f"abs(z) >= {MIN_Z}")
-              .orderBy(F.desc(F.abs("z")), "feature").limit(max_features).collect()]
-    features = tuple(f for f, _ in chosen)
-    leaning = np.array([z > 0 for _, z in chosen], bool)
+               .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")))
+    often = F.col("t") >= max(MIN_DOCS, MIN_SHARE * pos)
+    leaning = F.col("t") * neg >= MIN_RATIO * pos * (F.col("c") + 0.5)
+    chosen = counted.where(often & leaning).orderBy(F.desc("t"), "feature").limit(max_features).collect()
+    features = tuple(r["feature"] for r in chosen)
     # Bounded: at most 2 * rows documents with at most max_features numbers each.
-    data = sample.mapInArrow(_rows_of(features), "toxic int, n_words long, ids array<int>, counts array<long>").collect()
-    return _train(features, leaning, [(r["toxic"], r["n_words"], r["ids"], r["counts"]) for r in data])
+    data = sample.mapInArrow(_rows_of(features), "toxic int, n_words long, hits long, ids array<int>, counts array<long>")
+    return train(features, [tuple(r) for r in data.collect()])
 
 
-def grades(data: list[tuple], leaning: np.ndarray) -> np.ndarray:
+def grades(data: list[tuple]) -> np.ndarray:
     """0 for clean; 1 to 3 by the terciles of the dose among the toxic documents."""
-    dose = np.array([sum(c for i, c in zip(ids, counts) if leaning[i]) / max(n, 1) for _, n, ids, counts in data])
+    dose = np.array([hits / max(n, 1) for _, n, hits, _, _ in data])
     toxic = np.array([t == 1 for t, *_ in data], bool)
     inner = np.quantile(dose[toxic], [j / (GRADES - 1) for j in range(1, GRADES - 1)])
     return np.where(toxic, 1 + np.searchsorted(inner, dose, side="left"), 0)
 
 
-def _train(features: tuple[str, ...], leaning: np.ndarray, data: list[tuple]) -> OrdinalModel:
-    data = sorted(data, key=lambda r: (r[0], r[1], list(r[2]), list(r[3])))  # the same sums in every run
-    y = grades(data, leaning)
+def train(features: tuple[str, ...], data: list[tuple]) -> OrdinalModel:
+    """Maximum likelihood by gradient steps; rows are (toxic, n_words, hits, ids, counts)."""
+    data = sorted(data, key=lambda r: (*r[:3], list(r[3]), list(r[4])))  # the same sums in every run
+    y = grades(data)
     row, col, val = [], [], []
-    for k, (_, n, ids, counts) in enumerate(data):
+    for k, (_, n, _, ids, counts) in enumerate(data):
         for f, v in values(n, Counter(dict(zip(ids, counts)))):
             row.append(k)
             col.append(f)
@@ -182,7 +184,6 @@ def _train(features: tuple[str, ...], leaning: np.ndarray, data: list[tuple]) ->
     params = np.zeros(len(features) + k)
     params[len(features):] = [1.0, 0.0, 0.0]  # first threshold, then logs of the steps between thresholds
     m, v = np.zeros_like(params), np.zeros_like(params)
-    at_least = (y[:, None] >= np.arange(1, k + 1)).astype(bool)
     rows_ = np.arange(n)
     for step in range(1, STEPS + 1):
         w, raw = params[:len(features)], params[len(features):]
@@ -228,7 +229,7 @@ def score(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text") -
             full = np.column_stack([np.ones(len(scores)), tail, np.zeros(len(scores))])
             yield pd.DataFrame({"expected_severity": np.round(tail.sum(axis=1), 6),
                                 "severity": (full[:, :-1] - full[:, 1:]).argmax(axis=1).astype("int32"),
-                                "toxic": tail[:, 0] >= 0.5})
+                                "toxic": tail[:, 0] >= FLAG})
 
     return docs.withColumn("toxicity", graded(F.col(f"`{text_col}`").cast("string")))
 
