@@ -8,9 +8,14 @@ on all rows that the stage before it kept. All but the last return the columns o
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vaultsmith.llm._common import keep, table
+from vaultsmith.llm._tokens import tokenizer_path
+from vaultsmith.llm.minmax import near_duplicates
+from vaultsmith.llm.packing import pack
 from vaultsmith.llm.quality import quality_rules
+from vaultsmith.llm.toxicity import toxicity
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,9 +23,31 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules(docs).where("kept").select(*docs.columns)
 
 
-STAGES = [("quality rules", quality_stage)]
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose predicted severity is not toxic."""
+    return toxicity(docs, table(spark, sf_dir, "labels")).where(~F.col("toxicity.toxic")).select(*docs.columns)
 
-#: The stages tokenize and train a classifier, which SQL cannot express.
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five words, similarity 0.8 or more)."""
+    judged = near_duplicates(docs)
+    dropped = keep(judged.where(~F.col("kept")).select("doc_id").distinct(), "pipeline-dropped")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 2048 tokens, neighbours alike."""
+    return pack(docs, tokenizer_path("byte_bpe_50k.json"), with_ids=False).drop("ids")
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("toxicity", toxicity_stage),
+    ("near-duplicates", near_duplicate_stage),
+    ("packing", packing_stage),
+]
+
+#: The stages train a classifier and tokenize, which SQL cannot express.
 ORACLE_SQL = None
 
 

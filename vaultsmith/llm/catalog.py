@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minmax, quality, toxicity
+from . import minmax, packing, quality, toxicity
 
-MODULES = [quality, toxicity, minmax]
+MODULES = [packing, toxicity, quality, minmax]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
