@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minmax, packing, quality, toxicity
+from . import minmax, packing, quality, topk, toxicity, urlrules
 
-MODULES = [packing, toxicity, quality, minmax]
+MODULES = [packing, urlrules, topk, toxicity, quality, minmax]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
