@@ -19,15 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the cluster's shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def keep(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet into the cluster's shared checkpoint folder and read it back.
 
     Cuts the lineage with replicated, column-pruned storage: an executor lost later
     costs only the task that was reading, never the work that made the table.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = shared_path(spark, label)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minmax, packing, quality, topk, toxicity, urlrules, warc
+from . import ans, minmax, packing, quality, topk, toxicity, urlrules, warc
 
-MODULES = [packing, warc, urlrules, topk, toxicity, quality, minmax]
+MODULES = [packing, warc, ans, urlrules, topk, toxicity, quality, minmax]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
