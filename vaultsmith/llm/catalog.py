@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ans, chat, minmax, packing, quality, topk, toxicity, urlrules, warc
+from . import ans, chat, lattice, minmax, packing, quality, topk, toxicity, urlrules, warc
 
-MODULES = [chat, packing, warc, ans, urlrules, topk, toxicity, quality, minmax]
+MODULES = [chat, packing, warc, ans, urlrules, topk, lattice, toxicity, quality, minmax]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
