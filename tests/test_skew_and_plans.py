@@ -4,7 +4,7 @@ import contextlib
 
 import pytest
 
-import __spark_entry__ as E
+from vaultsmith.catalog import registry
 from vaultsmith.catalog.hot_key_queries import load_sat_regular_hot_key
 from vaultsmith.plans.explain import plan_summary, plan_text
 
@@ -47,27 +47,27 @@ def test_hot_key_anti_join_is_split_by_aqe(spark):
     assert "skew=true" in final
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_cross_products_or_python(spark, name):
-    summary = plan_summary(E.queries()[name](spark, SF_SMALL))
+    summary = plan_summary(registry.queries()[name](spark, SF_SMALL))
     assert summary["forbidden"] == []
 
 
 def test_scans_are_pruned(spark):
     """A hub load reads only the key column of the customer source."""
-    df = E.queries()["load_hub_incremental"](spark, SF_SMALL)
+    df = registry.queries()["load_hub_incremental"](spark, SF_SMALL)
     schemas = plan_summary(df)["read_schemas"]
     assert schemas and all(s.startswith("struct<c_custkey:bigint") for s in schemas)
     assert all("c_name" not in s for s in schemas[:1])
 
 
 def test_latest_version_is_pre_limited_before_shuffle(spark):
-    text = plan_text(E.queries()["load_sat_ckey"](spark, SF_SMALL), "simple")
+    text = plan_text(registry.queries()["load_sat_ckey"](spark, SF_SMALL), "simple")
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
 def test_date_filters_reach_the_scan(spark):
-    text = plan_text(E.queries()["load_link_incremental"](spark, SF_SMALL), "formatted")
+    text = plan_text(registry.queries()["load_link_incremental"](spark, SF_SMALL), "formatted")
     assert "PushedFilters: [IsNotNull(l_shipdate), LessThan(l_shipdate," in text
 
 

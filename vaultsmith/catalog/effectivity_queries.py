@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.keys import HIGH_DATE
 from ..operators.effectivity import effectivity_delta
 from ..operators.load import link_delta
 from ..operators.stage import stage_link
@@ -24,6 +23,7 @@ _SRC = L_PART_SUPPLIER.sources[0]
 # Snapshots of the relation: before the split (already loaded), and a later
 # snapshot that starts two years earlier, so the two overlap.
 SNAPSHOT_FROM = "1997-01-01"
+HIGH_DATE = "9999-12-31 00:00:00"
 _OLD_FROM = f"(SELECT * FROM lineitem WHERE l_shipdate < {S.ts(SHIP_SPLIT + ' 00:00:00')}) ol"
 _NEW_FROM = f"(SELECT * FROM lineitem WHERE l_shipdate >= {S.ts(SNAPSHOT_FROM + ' 00:00:00')}) nl"
 
@@ -43,19 +43,21 @@ def _effectivity_sql() -> str:
         f"eff AS (SELECT {hk}, {old} AS dv_startts, {high} AS dv_endts, {_period(old, high)} AS dv_hashdiff, "
         f"{old} AS dv_loadts, {old} AS dv_appts, {meta}, {S.q(task)} AS dv_taskid "
         f"FROM (SELECT DISTINCT {hk}, {meta} FROM ol) x), "
-        f"cur AS (SELECT e.{hk}, l.{drv}, e.dv_startts, e.dv_recsrc, e.dv_tenant, e.dv_bkeycode FROM "
-        f"(SELECT *, RANK() OVER (PARTITION BY {hk} ORDER BY dv_appts DESC NULLS FIRST, dv_loadts DESC NULLS FIRST)"
-        f" AS rnk FROM eff) e JOIN (SELECT DISTINCT {hk}, {drv} FROM lnk) l ON e.{hk} = l.{hk} "
-        f"WHERE e.rnk = 1 AND e.dv_endts = {high}), "
-        f"s AS ({link_stage_sql(L_PART_SUPPLIER, _SRC, _NEW_FROM)}) "
-        f"SELECT DISTINCT s.{hk}, {run} AS dv_startts, {high} AS dv_endts, {_period(run, high)} AS dv_hashdiff, "
-        f"{run} AS dv_loadts, {run} AS dv_appts, s.dv_recsrc, s.dv_tenant, s.dv_bkeycode, {S.q(task)} AS dv_taskid "
-        f"FROM s WHERE NOT EXISTS (SELECT 1 FROM cur WHERE cur.{hk} = s.{hk}) "
+        f"last AS (SELECT {hk}, arg_max(struct_pack(st := dv_startts, en := dv_endts, rs := dv_recsrc, te := dv_tenant, "
+        f"bc := dv_bkeycode), {S.newest()}) AS r FROM eff GROUP BY {hk}), "
+        f"s AS ({link_stage_sql(L_PART_SUPPLIER, _SRC, _NEW_FROM)}), "
+        f"known AS (SELECT DISTINCT {hk}, {drv} FROM lnk), "
+        f"rel AS (SELECT {hk}, max(dv_recsrc) AS rs, max(dv_tenant) AS te, max(dv_bkeycode) AS bc FROM s GROUP BY {hk}), "
+        f"pairs AS (SELECT coalesce(rel.{hk}, last.{hk}) AS {hk}, rel.{hk} IS NOT NULL AS seen, "
+        f"coalesce(last.r.en = {high}, false) AS is_open, rel.rs, rel.te, rel.bc, last.r AS r "
+        f"FROM rel FULL JOIN last ON rel.{hk} = last.{hk}) "
+        f"SELECT {hk}, {run} AS dv_startts, {high} AS dv_endts, {_period(run, high)} AS dv_hashdiff, "
+        f"{run} AS dv_loadts, {run} AS dv_appts, rs AS dv_recsrc, te AS dv_tenant, bc AS dv_bkeycode, {S.q(task)} AS dv_taskid "
+        f"FROM pairs WHERE seen AND NOT is_open "
         f"UNION ALL "
-        f"SELECT c.{hk}, c.dv_startts, {run} AS dv_endts, {_period('c.dv_startts', run)} AS dv_hashdiff, "
-        f"{run} AS dv_loadts, {run} AS dv_appts, c.dv_recsrc, c.dv_tenant, c.dv_bkeycode, {S.q(task)} AS dv_taskid "
-        f"FROM cur c WHERE EXISTS (SELECT 1 FROM s WHERE s.{drv} = c.{drv}) "
-        f"AND NOT EXISTS (SELECT 1 FROM s WHERE s.{hk} = c.{hk})"
+        f"SELECT b.{hk}, b.r.st AS dv_startts, {run} AS dv_endts, {_period('b.r.st', run)} AS dv_hashdiff, "
+        f"{run} AS dv_loadts, {run} AS dv_appts, b.r.rs AS dv_recsrc, b.r.te AS dv_tenant, b.r.bc AS dv_bkeycode, {S.q(task)} AS dv_taskid "
+        f"FROM pairs b JOIN known USING ({hk}) WHERE is_open AND NOT seen AND {drv} IN (SELECT {drv} FROM s)"
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.keys import ZERO_KEY
+
 from ..operators.load import link_delta
 from ..operators.stage import stage_link
 from ..spec import Link, Source
@@ -37,15 +37,15 @@ def link_stage_sql(link: Link, src: Source, frm: str, load_ts: str = T_RUN, colu
     for k in link.hks:
         cols = by_key.get(k, [])
         if not cols or cols[0] not in columns:
-            parts[k] = [S.q(ZERO_KEY)]
+            parts[k] = [S.q(S.ZERO_KEY)]
         else:
-            parts[k] = [S.kt(c) if c in columns else S.q(ZERO_KEY) for c in cols]
+            parts[k] = [S.kt(c) if c in columns else S.q(S.ZERO_KEY) for c in cols]
     flat = [p for k in link.hks for p in parts[k]]
     hubs = [
         (S.md5_plain(parts[k]) if business and not strict else S.hk(parts[k], src.tenant, src.bkeycode)) + f" AS {k}"
         for k in link.hks
     ]
-    cks = [(S.kt(c) if c in columns else S.q(ZERO_KEY)) + f" AS {t}" for c, t in link.cks.items()]
+    cks = [(S.kt(c) if c in columns else S.q(S.ZERO_KEY)) + f" AS {t}" for c, t in link.cks.items()]
     return (
         f"SELECT {S.hk(flat, src.tenant, src.bkeycode)} AS {link.hk}, {', '.join([*hubs, *cks])}, "
         f"{S.meta(load_ts, src.name, 'stage_' + link.name, tenant=src.tenant, code=src.bkeycode)} FROM {frm}"

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.keys import ZERO_KEY
 from ..operators.load import sat_delta
-from ..operators.stage import attribute_sources, stage_sat
+from ..operators.stage import stage_sat
 from ..run import Run
 from ..spec import Sat, Source
 from . import sqltext as S
@@ -30,23 +29,38 @@ from .registry import register
 
 
 # ------------------------------------------------------------ SQL builders
+# The source column behind every attribute, in attribute order: (reference, strict).
+SOURCE_COLUMNS = {
+    "s_customer": (["c_name", "c_acctbal", "c_mktsegment"],) * 2,
+    "s_order": (["o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],) * 2,
+    # attrs [status, priority], mapped priority first: by position the values swap.
+    "s_order_swapped": (["o_orderpriority", "o_orderstatus"], ["o_orderstatus", "o_orderpriority"]),
+    "s_lineitem": (["l_quantity", "l_extendedprice", "l_shipdate"],) * 2,
+    "s_order_parts": (["l_partkey", "l_quantity"],) * 2,
+    "s_line_regular": (["l_quantity", "l_extendedprice", "l_shipdate"],) * 2,
+    "bv_s_order": (["c_name", "n_name", "o_orderdate"],) * 2,
+    "s_document": (["text", "lang"],) * 2,
+}
+
+
 def sat_stage_sql(sat: Sat, src: Source, frm: str, load_ts: str = T_RUN, business: bool = False,
-                  strict: bool = False, present: set[str] | None = None) -> str:
-    """Staged satellite rows as SQL (mirrors ``stage_sat``)."""
-    key = [S.kt(b) for b in src.bks]
+                  strict: bool = False, present: set[str] | None = None, columns: list[str] | None = None,
+                  applied_ts: str | None = None) -> str:
+    """Staged satellite rows as SQL; ``columns`` are the attributes' source columns."""
+    columns = columns or SOURCE_COLUMNS[sat.name][1 if strict else 0]
+    key = [S.whole_kt(b) if strict else S.kt(b) for b in src.bks]
     cks = []
     for c, t in sat.cks.items():
-        if strict:
-            e = S.kt(c) if present is None or c in present else S.q(ZERO_KEY)
-        elif business:
+        if strict and (present is None or c in present):
+            e = S.whole_kt(c)
+        elif business and not strict:
             e = S.txt(c)
         else:
-            e = S.q(ZERO_KEY)
+            e = S.q(S.ZERO_KEY)
         cks.append(f"{e} AS {t}")
-    pairs = attribute_sources(sat, src, strict)
-    raw = [S.txt(c) for _, c in pairs]
+    raw = [S.txt(c) for c in columns]
     if strict:
-        vals = [f"trim({S.bounded(r)})" for r in raw]
+        vals = [f"trim({r})" for r in raw]
         diff = S.md5_plain([f"coalesce({v}, '')" for v in vals])
     elif business:
         vals = raw
@@ -54,11 +68,11 @@ def sat_stage_sql(sat: Sat, src: Source, frm: str, load_ts: str = T_RUN, busines
     else:
         vals = raw
         diff = S.md5_plain(raw)
-    attrs = [f"{v} AS {t}" for v, (t, _) in zip(vals, pairs)]
+    attrs = [f"{v} AS {t}" for v, t in zip(vals, sat.attrs)]
     return (
         f"SELECT {S.hk(key, src.tenant, src.bkeycode)} AS {sat.hk}, {', '.join([*cks, *attrs])}, "
         f"{diff} AS dv_hashdiff, "
-        f"{S.meta(load_ts, src.name, 'stage_' + sat.name, tenant=src.tenant, code=src.bkeycode)} FROM {frm}"
+        f"{S.meta(load_ts, src.name, 'stage_' + sat.name, applied_ts, src.tenant, src.bkeycode)} FROM {frm}"
     )
 
 
@@ -68,48 +82,43 @@ def _sat_row(sat: Sat, load_ts: str, alias: str = "s") -> str:
 
 
 def sat_regular_load_sql(sat: Sat, stage_cte: str, target_cte: str | None, load_ts: str = T_RUN) -> str:
-    where = f"WHERE NOT EXISTS (SELECT 1 FROM {target_cte} t WHERE t.{sat.hk} = s.{sat.hk})" if target_cte else ""
+    where = f"WHERE s.{sat.hk} NOT IN (SELECT {sat.hk} FROM {target_cte})" if target_cte else ""
     return f"SELECT DISTINCT {_sat_row(sat, load_ts)} FROM {stage_cte} s {where}"
 
 
 def sat_ckey_load_sql(sat: Sat, stage_cte: str, target_cte: str | None, load_ts: str = T_RUN) -> str:
+    """Each key's hashdiffs at its newest time as a list; staged rows that are not on it."""
     if not target_cte:
         return f"SELECT DISTINCT {_sat_row(sat, load_ts)} FROM {stage_cte} s"
-    part = ", ".join([sat.hk, *sat.cks.values()])
-    on = " AND ".join(f"c.{k} = s.{k}" for k in [sat.hk, *sat.cks.values(), "dv_hashdiff"])
-    return (
-        f"SELECT DISTINCT {_sat_row(sat, load_ts)} FROM {stage_cte} s WHERE NOT EXISTS ("
-        f"SELECT 1 FROM (SELECT {part}, dv_hashdiff, RANK() OVER (PARTITION BY {part} "
-        f"ORDER BY dv_appts DESC NULLS FIRST, dv_loadts DESC NULLS FIRST) AS rnk FROM {target_cte}) c "
-        f"WHERE c.rnk = 1 AND {on})"
-    )
+    key = ", ".join([sat.hk, *sat.cks.values()])
+    timed = f"SELECT {key}, dv_hashdiff, {S.newest()} AS moment FROM {target_cte}"
+    listed = (f"SELECT {key}, list(dv_hashdiff) FILTER (moment = last_moment) AS known FROM "
+              f"(SELECT *, max(moment) OVER (PARTITION BY {key}) AS last_moment FROM ({timed})) GROUP BY {key}")
+    return (f"SELECT DISTINCT {_sat_row(sat, load_ts)} FROM {stage_cte} s LEFT JOIN ({listed}) k USING ({key}) "
+            f"WHERE NOT coalesce(list_contains(k.known, s.dv_hashdiff), false)")
 
 
 def sat_multiactive_load_sql(sat: Sat, stage_cte: str, target_cte: str | None, load_ts: str = T_RUN,
                              strict: bool = False) -> str:
-    """Decorrelated form of the set comparison (same result as nested EXISTS)."""
+    """Sets as sorted lists: a key reloads unless its staged list has the current set's
+    size and lies in it; ``dv_subseq`` is a hashdiff's place on the staged list."""
     hk = sat.hk
     src = f"(SELECT DISTINCT * FROM {stage_cte})" if strict else stage_cte
     attrs = ", ".join(f"s.{a}" for a in sat.attrs)
+    staged = f"SELECT {hk}, list_sort(list(DISTINCT dv_hashdiff)) AS hashes FROM {stage_cte} GROUP BY {hk}"
     out = (
-        f"SELECT s.{hk}, {attrs}, s.dv_hashdiff, s.dv_loadts, s.dv_appts, s.dv_recsrc, s.dv_tenant, "
-        f"s.dv_bkeycode, CAST(DENSE_RANK() OVER (PARTITION BY s.{hk} ORDER BY s.dv_hashdiff) AS INTEGER) "
-        f"AS dv_subseq, {S.q('load_' + sat.name)} AS dv_taskid FROM {src} s"
+        f"SELECT s.{hk}, {attrs}, s.dv_hashdiff, s.dv_loadts, s.dv_appts, s.dv_recsrc, s.dv_tenant, s.dv_bkeycode, "
+        f"list_position(n.hashes, s.dv_hashdiff)::INTEGER AS dv_subseq, {S.q('load_' + sat.name)} AS dv_taskid "
+        f"FROM {src} s JOIN ({staged}) n USING ({hk})"
     )
     if not target_cte:
         return out
-    return (
-        f"{out} WHERE s.{hk} IN (SELECT st.{hk} FROM "
-        f"(SELECT DISTINCT x.{hk}, x.dv_hashdiff, n.dvcount FROM {stage_cte} x JOIN "
-        f"(SELECT {hk}, COUNT(DISTINCT dv_hashdiff) AS dvcount FROM {stage_cte} GROUP BY {hk}) n "
-        f"ON x.{hk} = n.{hk}) st WHERE NOT EXISTS (SELECT 1 FROM "
-        f"(SELECT m.{hk}, m.dv_hashdiff, g.dvcount FROM {target_cte} m JOIN "
-        f"(SELECT {hk}, dv_appts, dv_loadts, MAX(dv_subseq) AS dvcount, RANK() OVER (PARTITION BY {hk} "
-        f"ORDER BY dv_appts DESC NULLS FIRST, dv_loadts DESC NULLS FIRST) AS dvrank FROM {target_cte} "
-        f"GROUP BY {hk}, dv_appts, dv_loadts) g "
-        f"ON m.{hk} = g.{hk} AND m.dv_appts = g.dv_appts AND m.dv_loadts = g.dv_loadts WHERE g.dvrank = 1) c "
-        f"WHERE c.{hk} = st.{hk} AND c.dv_hashdiff = st.dv_hashdiff AND c.dvcount = st.dvcount))"
-    )
+    timed = f"SELECT *, {S.newest()} AS moment FROM {target_cte}"
+    current = (f"SELECT {hk}, list(dv_hashdiff) AS known, max(dv_subseq) AS size, "
+               f"bool_and(dv_appts IS NOT NULL AND dv_loadts IS NOT NULL) AS comparable FROM "
+               f"(SELECT *, max(moment) OVER (PARTITION BY {hk}) AS last_moment FROM ({timed})) WHERE moment = last_moment GROUP BY {hk}")
+    return (f"{out} LEFT JOIN ({current}) c USING ({hk}) WHERE NOT coalesce("
+            f"c.comparable AND c.size = len(n.hashes) AND list_has_all(c.known, n.hashes), false)")
 
 
 def ts_lit(s: str):
@@ -422,3 +431,75 @@ def load_sat_multiactive_multi_source(spark, d):
 def strict_sat_multiactive_multi_source(spark, d):
     """Strict: the union of both sources is one staged set per key."""
     return _two_sources(spark, d, S_PARTS_2SRC, strict=True)
+
+
+# ================================================== long text, booleans, late times
+S_DOCUMENT = Sat(
+    "s_document", hk="hk_document", attrs=["text", "lang"],
+    sources=[Source("documents", bks=["doc_id"], attrs={"text": "text", "lang": "lang"})],
+)
+
+
+@register("strict_stage_sat_long_text",
+          "SELECT md5(concat_ws('|', 'default', 'default', coalesce(trim(CAST(doc_id AS VARCHAR)), '-1'))) AS hk_document, "
+          "trim(text) AS text, trim(lang) AS lang, md5(coalesce(trim(text), '') || '|' || coalesce(trim(lang), '')) AS dv_hashdiff, "
+          + S.meta(T_RUN, "documents", "stage_s_document") + " FROM documents")
+def strict_stage_sat_long_text(spark, d):
+    """Attributes are never cut: texts of any length, and their hashdiffs, stay whole."""
+    return stage_sat(table(spark, d, "documents"), S_DOCUMENT, S_DOCUMENT.sources[0], RUN_STRICT)
+
+
+S_ORDER_FLAGS = Sat(
+    "s_order_flags", hk="hk_order", attrs=["is_open", "priority"],
+    sources=[Source("orders", bks=["o_orderkey"], attrs={"is_open": "is_open", "o_orderpriority": "priority"})],
+)
+
+
+@register("stage_sat_boolean",
+          "SELECT md5(concat_ws('|', 'default', 'default', CAST(o_orderkey AS VARCHAR))) AS hk_order, "
+          "CASE WHEN o_orderstatus = 'O' THEN 'true' WHEN o_orderstatus = 'F' THEN 'false' END AS is_open, "
+          "o_orderpriority AS priority, md5(concat_ws('|', CASE WHEN o_orderstatus = 'O' THEN 't' WHEN o_orderstatus = 'F' THEN 'f' END, "
+          "o_orderpriority)) AS dv_hashdiff, " + S.meta(T_RUN, "orders", "stage_s_order_flags") + " FROM orders")
+def stage_sat_boolean(spark, d):
+    """A boolean is ``true`` as an attribute and ``t`` inside the hashdiff, as the database prints them."""
+    flag = F.when(F.col("o_orderstatus") == "O", True).when(F.col("o_orderstatus") == "F", False)
+    orders = table(spark, d, "orders").withColumn("is_open", flag)
+    return stage_sat(orders, S_ORDER_FLAGS, S_ORDER_FLAGS.sources[0], RUN)
+
+
+# The version loaded last was applied first: by applied time the earlier load is the newest.
+A_LATE, A_EARLY = "2023-06-01 00:00:00", "2023-01-01 00:00:00"
+
+
+def _late_sql(sat: Sat, src: Source, load_sql) -> str:
+    kw = {"strict": True, "present": _LINE_COLS}
+    return (
+        f"WITH sa AS ({sat_stage_sql(sat, src, 'lineitem', T_OLD, applied_ts=A_LATE, **kw)}), "
+        f"v1 AS ({load_sql(sat, 'sa', None, T_OLD)}), "
+        f"sb AS ({sat_stage_sql(sat, src, _B_LINES_FROM, T_MID, applied_ts=A_EARLY, **kw)}), "
+        f"v2 AS ({load_sql(sat, 'sb', 'v1', T_MID)}), "
+        "tgt AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2), "
+        f"s AS ({sat_stage_sql(sat, src, _B_LINES_FROM, T_RUN, applied_ts=T_RUN, **kw)}) "
+        + load_sql(sat, "s", "tgt", T_RUN)
+    )
+
+
+def _late(spark, d, sat: Sat, src: Source):
+    r_old, r_mid, r_run = (Run(load_ts=t, applied_ts=a, semantics="strict")
+                           for t, a in ((T_OLD, A_LATE), (T_MID, A_EARLY), (T_RUN, T_RUN)))
+    li = table(spark, d, "lineitem")
+    v1 = sat_delta(stage_sat(li, sat, src, r_old), None, sat, r_old)
+    v2 = sat_delta(stage_sat(_b_lines(spark, d), sat, src, r_mid), v1, sat, r_mid)
+    return sat_delta(stage_sat(_b_lines(spark, d), sat, src, r_run), v1.unionByName(v2), sat, r_run)
+
+
+@register("load_sat_ckey_late_applied", _late_sql(S_LINE, _LINE_SRC, sat_ckey_load_sql))
+def load_sat_ckey_late_applied(spark, d):
+    """The correction was loaded later but applied earlier, so it isn't the latest and loads again."""
+    return _late(spark, d, S_LINE, _LINE_SRC)
+
+
+@register("load_sat_multiactive_late_applied", _late_sql(S_ORDER_PARTS, _MA_SRC, _ma_load_strict))
+def load_sat_multiactive_late_applied(spark, d):
+    """The same with sets: the newest by applied time is the first load."""
+    return _late(spark, d, S_ORDER_PARTS, _MA_SRC)

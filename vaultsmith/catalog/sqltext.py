@@ -7,7 +7,10 @@ column builders produce, so each oracle query reads like the loader's own
 
 from __future__ import annotations
 
-from ..functions.keys import KEY_DELIMITER, MAX_VARCHAR, ZERO_KEY
+# Fixed values, written out here so that the oracles do not share the library's.
+ZERO_KEY = "-1"
+KEY_DELIMITER = "|"
+MAX_VARCHAR = 256
 
 
 def q(s: str) -> str:
@@ -32,6 +35,16 @@ def kt(expr: str, width: int = MAX_VARCHAR) -> str:
     return f"coalesce(trim({bounded(expr, width)}), {q(ZERO_KEY)})"
 
 
+def whole_kt(expr: str) -> str:
+    """Key text of the strict mode: never cut."""
+    return f"coalesce(trim({txt(expr)}), {q(ZERO_KEY)})"
+
+
+def newest(appts: str = "dv_appts", loadts: str = "dv_loadts") -> str:
+    """A value that sorts by (applied, load) time, NULL as the newest."""
+    return f"row(coalesce({appts}, TIMESTAMP 'infinity'), coalesce({loadts}, TIMESTAMP 'infinity'))"
+
+
 def cws(parts: list[str]) -> str:
     return f"concat_ws({q(KEY_DELIMITER)}, {', '.join(parts)})"
 

@@ -35,14 +35,14 @@ def _col(c: Column | str) -> Column:
 
 
 def text_of(df: DataFrame, name: str) -> Column:
-    """Text rendering of a source column, the way the database prints it.
+    """Text rendering of a source column, as an explicit cast to text prints it.
 
     Arrays print as ``{a,b}`` (element NULLs as ``NULL``); everything else is
     a plain cast to string. Doubles print the Spark way (``100.0``); cast them
     in the source if another rendering is wanted.
     """
     dtype = df.schema[name].dataType
-    c = F.col(name)
+    c = F.col("`" + name.replace("`", "``") + "`")
     if isinstance(dtype, T.ArrayType):
         joined = F.array_join(c.cast("array<string>"), ",", "NULL")
         return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(
@@ -53,6 +53,18 @@ def text_of(df: DataFrame, name: str) -> Column:
     return c.cast("string")
 
 
+def output_text(df: DataFrame, name: str) -> Column:
+    """Text rendering of a column inside a concatenation: there the database
+    prints a boolean as ``t`` / ``f`` and binary data as ``\\x`` and hex digits."""
+    dtype = df.schema[name].dataType
+    c = F.col("`" + name.replace("`", "``") + "`")
+    if isinstance(dtype, T.BooleanType):
+        return F.when(c, "t").when(~c, "f")
+    if isinstance(dtype, T.BinaryType):
+        return F.concat(F.lit("\\x"), F.lower(F.hex(c)))
+    return text_of(df, name)
+
+
 def bounded_text(c: Column | str, width: int = MAX_VARCHAR) -> Column:
     """``x::varchar(width)`` — an explicit cast cuts the text to ``width``."""
     return F.substring(_col(c).cast("string"), 1, width)
@@ -67,6 +79,14 @@ def key_text(c: Column | str, width: int = MAX_VARCHAR) -> Column:
     return F.coalesce(F.trim(bounded_text(c, width)), F.lit(ZERO_KEY))
 
 
+def whole_key_text(c: Column | str, width: int = MAX_VARCHAR) -> Column:
+    """Like ``key_text``, but a key wider than ``width`` is an error: cutting it
+    would merge two entities."""
+    whole = F.trim(_col(c).cast("string"))
+    too_wide = F.raise_error(F.concat(F.lit(f"business key wider than {width} characters: "), F.substring(whole, 1, 64)))
+    return F.coalesce(F.when(F.length(whole) > width, too_wide.cast("string")).otherwise(whole), F.lit(ZERO_KEY))
+
+
 def zero_key() -> Column:
     return F.lit(ZERO_KEY)
 

@@ -1,12 +1,8 @@
-"""Window building blocks shared by the loaders.
+"""Latest rows and set numbering, shared by the loaders.
 
-Both helpers are written so that one hot key (for example the zero-key hash
-that collects every row with a NULL business key) never has to be processed
-by a single task in full:
-
-* ``latest_rows`` filters ``rank() = 1``; Catalyst turns that into a partial
-  ``WindowGroupLimit`` *before* the shuffle, so each map task forwards only
-  its own newest rows of a key.
+* ``latest_rows`` keeps the rows with the newest times of each key. Both of
+  its aggregates combine map-side, so repeated rows of a hot key collapse
+  before the shuffle; there is no window over a key's rows.
 * ``set_positions`` numbers the distinct values of a key (a dense rank) in
   two levels: per (key, value prefix) bucket, then a running offset over the
   at most 16**prefix_len buckets of a key. A hot key is split across buckets.
@@ -18,31 +14,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def newest_first() -> list[Column]:
-    """Order "newest first" with NULL timestamps first, as the SQL the loader
-    was written for sorts ``DESC`` (NULLS FIRST)."""
-    return [F.col("dv_appts").desc_nulls_first(), F.col("dv_loadts").desc_nulls_first()]
+def time_order(appts: str = "dv_appts", loadts: str = "dv_loadts") -> Column:
+    """A struct that sorts by (applied, load) time with NULL as the newest, as
+    the SQL the loader was written for sorts ``DESC`` (NULLS FIRST)."""
+    return F.struct(F.col(appts).isNull().alias("no_appts"), F.col(appts).alias("appts"),
+                    F.col(loadts).isNull().alias("no_loadts"), F.col(loadts).alias("loadts"))
 
 
-def latest_rows(df: DataFrame, partition_cols: list[str], keep_cols: list[str]) -> DataFrame:
-    """Rows with rank 1 per partition, newest (appts, loadts) first.
+def latest_rows(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Distinct (keys, values) whose newest time is the newest of the keys.
 
-    Ties all stay (``rank``, not ``row_number``): several rows may share the
-    newest timestamps and all of them count as current.
+    Ties all stay: several values may share the newest times and all of them
+    count as current. Rows with a NULL key are left out: callers compare keys by
+    plain equality, which NULL never meets.
     """
-    w = Window.partitionBy(*partition_cols).orderBy(*newest_first())
-    cols = list(dict.fromkeys([*partition_cols, *keep_cols, "dv_appts", "dv_loadts"]))
-    return (
-        df.select(*cols)
-        .withColumn("_rnk", F.rank().over(w))
-        .where(F.col("_rnk") == 1)
-        .select(*dict.fromkeys([*partition_cols, *keep_cols]))
-    )
+    per_value = df.groupBy(*keys, *values).agg(F.max(time_order()).alias("_at"))
+    per_key = per_value.groupBy(*keys).agg(F.max("_at").alias("_newest"))
+    return (per_value.join(per_key, keys).where(F.col("_at") == F.col("_newest"))
+            .select(*keys, *values))
 
 
-def set_positions(pairs: DataFrame, key: str, value: str, prefix_len: int = 2) -> DataFrame:
+def set_positions(pairs: DataFrame, key: str, value: str, prefix_len: int = 2,
+                  only: DataFrame | None = None) -> DataFrame:
     """Dense rank of ``value`` within ``key`` plus the distinct count per key.
 
+    A key is split into 16**prefix_len buckets: choose it so that the hottest
+    key's values fit that many tasks. With ``only``, keys outside of it are
+    left out; they are matched with the bucket counts, of which a key has few.
     ``pairs`` must hold distinct (key, value) rows with a non-NULL ``value``
     whose leading characters spread evenly (a hex digest does). Returns
     (key, value, dv_subseq int, dvcount int).
@@ -64,6 +62,8 @@ def set_positions(pairs: DataFrame, key: str, value: str, prefix_len: int = 2) -
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
         F.sum("_n").over(whole).alias("_cnt"),
     )
+    if only is not None:
+        offsets = offsets.join(only.select(key), key, "left_semi")
     return ranked.join(offsets, [key, "_bkt"]).select(
         key,
         value,

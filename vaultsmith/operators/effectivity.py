@@ -13,8 +13,8 @@ A relation whose driving key vanished from the source altogether stays open.
 The result is appended; rerunning the same snapshot adds nothing.
 
 All of it is joins on hash keys: ``left_anti`` for "not open yet" and "no
-longer present", ``left_semi`` for "driver still present", and one
-``rank() = 1`` window (pre-limited before the shuffle) for the latest record.
+longer present", ``left_semi`` for "driver still present", and two aggregates
+for the latest record.
 """
 
 from __future__ import annotations
@@ -86,9 +86,11 @@ def effectivity_delta(stages, target: DataFrame | None, link_rows: DataFrame | N
     )
     if current is None:
         return opened
+    # Relations still in the source go first: a driver with very many relations
+    # then brings only those that ended to the join on the driver.
     moved = (
-        current.join(relations.select(*drivers).distinct(), drivers, "left_semi")
-        .join(relations.select(link.hk), link.hk, "left_anti")
+        current.join(relations.select(link.hk), link.hk, "left_anti")
+        .join(relations.select(*drivers).distinct(), drivers, "left_semi")
     )
     closed = moved.select(
         link.hk,

@@ -12,8 +12,9 @@ Physical shape (checked with ``explain``):
   keeps a shuffled join whose skewed partitions it splits;
 * several sources of one target are merged with one partial/final aggregate
   on the key (``first_source_wins``), never a window over a hot key;
-* "latest version" is ``rank() = 1``, which Catalyst pre-limits before the
-  shuffle (partial ``WindowGroupLimit``);
+* "latest version" is two aggregates that combine map-side, no window;
+* whether a multi-active set changed is three aggregates over a flagged union
+  of staged and current rows, no join on the hash key;
 * multi-active set numbering is a two-level (bucketed) dense rank.
 """
 
@@ -21,17 +22,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.meta import HASHDIFF, SUBSEQ, load_meta
-from ..functions.windows import latest_rows, newest_first, set_positions
+from ..functions.windows import latest_rows, set_positions, time_order
 from ..run import Run
-from ..session import checkpoint_dir
 from ..spec import Hub, Link, Sat
 
 _ORD = "_src_ord"
 _FIRST = "_first_ord"
+#: A multi-active key's hashdiffs are numbered in 16**SET_PREFIX buckets, so as many tasks share a hot key.
+SET_PREFIX = 2
 
 
 def _as_list(stages) -> list[DataFrame]:
@@ -42,15 +44,6 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise an intermediate delta in the cluster's shared checkpoint
-    folder (a reliable checkpoint, never a local one). Source k of a target
-    compares with the deltas of sources 1..k-1; without the cut, each later
-    plan would recompute all earlier deltas (quadratic in the sources)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 STAGED_META = ["dv_appts", "dv_recsrc", "dv_tenant", "dv_bkeycode"]
 
 
@@ -166,21 +159,19 @@ def _ckey_one(stage: DataFrame, target: DataFrame | None, sat: Sat, run: Run) ->
 
 def sat_delta_ckey(stages, target: DataFrame | None, sat: Sat, run: Run) -> DataFrame:
     """Distinct staged rows whose (hk, child keys, hashdiff) is not among the
-    latest rows (rank 1 by applied time, load time; NULLs newest) of the
+    latest rows (newest by applied time, load time; NULLs newest) of the
     same (hk, child keys).
 
     Sources load one after another: the rows source 1 adds are "latest"
-    when source 2 is compared. Each intermediate delta is checkpointed (an
-    eager job) so the next source reads it instead of recomputing it.
+    when source 2 is compared. All of it is one plan (no job runs
+    while it is built), so the caller can append a target's sources together.
     """
     stages = _as_list(stages)
     cks = list(sat.cks.values())
     compare = [sat.hk, *cks, HASHDIFF, "dv_appts", "dv_loadts"]
     outs, seen = [], (target.select(*compare) if target is not None else None)
-    for i, st in enumerate(stages):
+    for st in stages:
         d = _ckey_one(st, seen, sat, run)
-        if i < len(stages) - 1:
-            d = _cut_lineage(d)
         outs.append(d)
         seen = d.select(*compare) if seen is None else seen.unionByName(d.select(*compare))
     return union_all(outs)
@@ -191,41 +182,37 @@ def _multiactive_one(stage: DataFrame, target: DataFrame | None, sat: Sat, run:
     staged = stage.select(hk, *sat.attrs, HASHDIFF, "dv_loadts", "dv_appts", "dv_recsrc", "dv_tenant", "dv_bkeycode")
     if run.strict:
         staged = staged.distinct()
-    # Staged sets: position of each distinct hashdiff within its key, and the set size.
+    # Staged sets: position of each distinct hashdiff within its key.
     pairs = staged.select(hk, HASHDIFF).distinct()
-    sets = set_positions(pairs, hk, HASHDIFF)
-    if target is None:
-        picked = sets
-    else:
-        # Current set per key: rows of its newest (applied, load) time group,
-        # with that group's size. Equality on the timestamps (a NULL time
-        # never matches, so such a key counts as changed).
-        groups = target.groupBy(hk, "dv_appts", "dv_loadts").agg(F.max(SUBSEQ).alias("dvcount"))
-        newest = _newest_groups(groups, hk)
-        current = target.select(hk, HASHDIFF, "dv_appts", "dv_loadts").join(
-            newest, [hk, "dv_appts", "dv_loadts"]
-        ).select(hk, HASHDIFF, "dvcount")
-        # A key changed if any staged (hashdiff, set size) is not in its current
-        # set. Only the sizes are needed here: a partial/final count per key.
-        sizes = pairs.groupBy(hk).agg(F.count(F.lit(1)).cast("int").alias("dvcount"))
-        changed = (pairs.join(sizes, hk).join(current, [hk, HASHDIFF, "dvcount"], "left_anti")
-                   .select(hk).distinct())
-        picked = sets.join(changed, hk, "left_semi")
+    changed = None if target is None else _changed_sets(pairs, target, hk)
+    picked = set_positions(pairs, hk, HASHDIFF, SET_PREFIX, only=changed)
     return staged.join(picked, [hk, HASHDIFF]).select(
         hk, *sat.attrs, HASHDIFF, "dv_loadts", "dv_appts", "dv_recsrc", "dv_tenant", "dv_bkeycode",
         F.col(SUBSEQ), F.lit(run.load_task(sat.name)).alias("dv_taskid"),
     )
 
 
-def _newest_groups(groups: DataFrame, hk: str) -> DataFrame:
-    """The newest (applied, load) time group of each key; groups are few per
-    key (one per load), so this window stays small even for a hot key."""
-    w = Window.partitionBy(hk).orderBy(*newest_first())
-    return (
-        groups.withColumn("_rnk", F.rank().over(w))
-        .where(F.col("_rnk") == 1)
-        .select(hk, "dv_appts", "dv_loadts", "dvcount")
-    )
+def _changed_sets(pairs: DataFrame, target: DataFrame, hk: str) -> DataFrame:
+    """Staged keys whose set of hashdiffs is not exactly their current set.
+
+    Staged and current rows meet in one flagged union. Per (key, hashdiff): is
+    it staged, and at which newest time was it loaded with which position. Per
+    (key, time): the set's size (its largest position) and how many of its
+    hashdiffs are staged. Per key: the newest such group against the number
+    of staged hashdiffs. A group with a NULL time never equals anything, so
+    its key counts as changed.
+    """
+    at = F.struct(time_order().alias("time"), F.col(SUBSEQ).alias("position"))
+    current = target.select(hk, HASHDIFF, F.lit(0).alias("staged"), at.alias("at"))
+    fresh = pairs.select(hk, HASHDIFF, F.lit(1).alias("staged"), F.lit(None).cast(current.schema["at"].dataType).alias("at"))
+    per_value = current.unionByName(fresh).groupBy(hk, HASHDIFF).agg(F.max("staged").alias("staged"), F.max("at").alias("at"))
+    per_group = per_value.groupBy(hk, F.col("at.time").alias("time")).agg(
+        F.max("at.position").alias("size"), F.sum("staged").alias("staged"))
+    newest = F.max(F.when(F.col("time").isNotNull(), F.struct("time", "size", "staged"))).alias("newest")
+    per_key = per_group.groupBy(hk).agg(F.sum("staged").alias("staged"), newest)
+    same = ((F.col("newest.size") == F.col("staged")) & (F.col("newest.staged") == F.col("staged"))
+            & ~F.col("newest.time.no_appts") & ~F.col("newest.time.no_loadts"))
+    return per_key.where((F.col("staged") > 0) & ~F.coalesce(same, F.lit(False))).select(hk)
 
 
 def sat_delta_multiactive(stages, target: DataFrame | None, sat: Sat, run: Run) -> DataFrame:
@@ -243,10 +230,8 @@ def sat_delta_multiactive(stages, target: DataFrame | None, sat: Sat, run: Run)
         stages = [union_all(stages)]
     compare = [sat.hk, HASHDIFF, "dv_appts", "dv_loadts", SUBSEQ]
     outs, seen = [], (target.select(*compare) if target is not None else None)
-    for i, st in enumerate(stages):
+    for st in stages:
         d = _multiactive_one(st, seen, sat, run)
-        if i < len(stages) - 1:
-            d = _cut_lineage(d)
         outs.append(d)
         seen = d.select(*compare) if seen is None else seen.unionByName(d.select(*compare))
     return union_all(outs)

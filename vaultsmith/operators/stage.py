@@ -21,13 +21,15 @@ from ..functions.keys import (
     hashdiff,
     key_text,
     plain_hash,
+    output_text,
     text_of,
+    whole_key_text,
     zero_key,
 )
 from ..functions.meta import HASHDIFF, stage_meta
 from ..run import Run
 from ..spec import Hub, Link, Sat, Source
-from ..sources.tables import find_column, spread, virtual_source
+from ..sources.tables import find_column, virtual_source
 
 
 def _value(df: DataFrame, name: str) -> Column:
@@ -36,6 +38,17 @@ def _value(df: DataFrame, name: str) -> Column:
     return text_of(df, actual) if actual is not None else F.expr(name).cast("string")
 
 
+def _key(df: DataFrame, name: str, run: Run) -> Column:
+    """Normalised key part: reference semantics cut it, strict ones raise if it is too wide."""
+    return (whole_key_text if run.strict else key_text)(_value(df, name), run.max_varchar)
+
+
+def _output(df: DataFrame, name: str) -> Column:
+    """Like ``_value``, as the database prints it inside a concatenation."""
+    actual = find_column(df, name)
+    return output_text(df, actual) if actual is not None else F.expr(name).cast("string")
+
+
 def _require(df: DataFrame, names, what: str) -> None:
     missing = [n for n in names if find_column(df, n) is None]
     if missing:
@@ -46,8 +59,7 @@ def _require(df: DataFrame, names, what: str) -> None:
 def stage_hub(df: DataFrame, hub: Hub, src: Source, run: Run) -> DataFrame:
     """hk = md5(tenant|bkeycode|key...), bk = key|key..., meta."""
     _require(df, [b for b in src.bks if b.isidentifier()], f"hub {hub.name}")
-    df = spread(df) if run.spread_sources else df
-    parts = [key_text(_value(df, b), run.max_varchar) for b in src.bks]
+    parts = [_key(df, b, run) for b in src.bks]
     return df.select(
         hash_key(parts, src.tenant, src.bkeycode).alias(hub.hk),
         business_key(parts).alias(hub.bk),
@@ -72,13 +84,13 @@ def _hub_key_columns(df: DataFrame, link: Link, src: Source, run: Run, business:
             if not cols:
                 raise ValueError(f"link {link.name}: source {src.name} maps no column to {key}")
             _require(df, cols, f"link {link.name}")
-            out[key] = [key_text(_value(df, c), run.max_varchar) for c in cols]
+            out[key] = [_key(df, c, run) for c in cols]
         elif not cols or (not run.strict and find_column(df, cols[0]) is None):
             # No mapping, or the (first) mapped column is absent: one zero key.
             out[key] = [zero_key()]
         else:
             out[key] = [
-                key_text(_value(df, c), run.max_varchar) if find_column(df, c) is not None else zero_key()
+                _key(df, c, run) if find_column(df, c) is not None else zero_key()
                 for c in cols
             ]
     return out
@@ -92,7 +104,6 @@ def stage_link(df: DataFrame, link: Link, src: Source, run: Run, business: bool
     reference semantics the hub keys are unsalted ``md5(key)``.
     """
     parts = _hub_key_columns(df, link, src, run, business)
-    df = spread(df) if run.spread_sources else df
     flat = [p for key in link.hks for p in parts[key]]
     hub_cols = []
     for key in link.hks:
@@ -103,7 +114,7 @@ def stage_link(df: DataFrame, link: Link, src: Source, run: Run, business: bool
     ck_cols = []
     for column, target in link.cks.items():
         if find_column(df, column) is not None:
-            ck_cols.append(key_text(_value(df, column), run.max_varchar).alias(target))
+            ck_cols.append(_key(df, column, run).alias(target))
         elif business:
             raise ValueError(f"link {link.name}: virtual source {src.name} has no child key column {column}")
         else:
@@ -150,13 +161,12 @@ def stage_sat(df: DataFrame, sat: Sat, src: Source, run: Run, business: bool = F
     in the hashdiff.
     """
     _require(df, [b for b in src.bks if b.isidentifier()], f"sat {sat.name}")
-    df = spread(df) if run.spread_sources else df
-    key_parts = [key_text(_value(df, b), run.max_varchar) for b in src.bks]
+    key_parts = [_key(df, b, run) for b in src.bks]
     ck_cols = []
     for column, target in sat.cks.items():
         present = find_column(df, column) is not None
         if run.strict:
-            ck = key_text(_value(df, column), run.max_varchar) if present else zero_key()
+            ck = _key(df, column, run) if present else zero_key()
         elif business:
             if not present:
                 raise ValueError(f"sat {sat.name}: virtual source {src.name} has no child key column {column}")
@@ -169,14 +179,15 @@ def stage_sat(df: DataFrame, sat: Sat, src: Source, run: Run, business: bool = F
     _require(df, [c for _, c in pairs if c.isidentifier()], f"sat {sat.name}")
     raw = [_value(df, c) for _, c in pairs]
     if run.strict:
-        values = [F.trim(bounded_text(v, run.max_varchar)) for v in raw]
+        # Trimmed, never cut: the VARCHAR columns of the table reject what is too wide.
+        values = [F.trim(v) for v in raw]
         diff = hashdiff(values, null_as_empty=True)
     elif business:
         values = raw
         diff = hashdiff([F.trim(bounded_text(v, run.max_varchar)) for v in raw])
     else:
         values = raw
-        diff = hashdiff(raw)
+        diff = hashdiff([_output(df, c) for _, c in pairs])
     return df.select(
         hash_key(key_parts, src.tenant, src.bkeycode).alias(sat.hk),
         *ck_cols,

@@ -16,9 +16,11 @@ from ..spec import VaultModel
 
 def task_names(model: VaultModel) -> list[str]:
     """All task names, in the order the original DAG registers them."""
-    rv = [f"load__{e.name}" for e in model.rv.entities()]
-    bv_stage = [f"stage__{e.name}" for e in model.bv.entities()]
-    bv_load = [f"load__{e.name}" for e in model.bv.entities()]
+    rv_all = [*model.rv.entities(), *model.rv.effs.values()]
+    bv_all = [*model.bv.entities(), *model.bv.effs.values()]
+    rv = [f"load__{e.name}" for e in rv_all]
+    bv_stage = [f"stage__{e.name}" for e in bv_all]
+    bv_load = [f"load__{e.name}" for e in bv_all]
     return [*rv, *bv_stage, *bv_load]
 
 

@@ -1,9 +1,7 @@
 """Run a whole vault model: stage, then load raw vault, then business vault.
 
-The driver only decides the order and issues one Spark job per target
-(one per source for child-key and multi-active satellites, whose later
-sources compare against what earlier ones appended). Executors do all row
-work. Each delta is computed and appended in one job and never reused:
+The driver only decides the order and issues one append per target, all
+of its sources together. Executors do all row work. Each delta is computed and appended in one job and never reused:
 after the append the same lazy DataFrame would mean something else.
 """
 
@@ -21,6 +19,7 @@ from ..operators.effectivity import effectivity_delta
 from ..operators.load import hub_delta, link_delta, sat_delta
 from ..operators.stage import stage
 from ..run import Run
+from ..session import tune
 from ..sinks.tables import append, ensure_schema, ensure_table, table_columns, write_stage
 from ..sources.tables import SourceResolver, catalog_sources, vault_table, virtual_source
 from ..spec import Effectivity, Hub, Layer, Link, Sat, VaultModel
@@ -57,14 +56,20 @@ class VaultRunner:
     # from this many driver threads at once (1 = one after another).
     parallelism: int = 4
 
+    # Apply the settings the loads rely on (AQE, measured broadcasts) to the session.
+    tune_session: bool = True
+
     def __post_init__(self):
         self.model.validate()
+        if self.tune_session:
+            tune(self.spark)
         if self.sources is None:
             self.sources = catalog_sources(self.spark, self.model.source_schema)
 
     # ---------------------------------------------------------------- api
     def run(self, run: Run) -> RunReport:
         report = RunReport()
+        self.check_sources(run)
         ensure_schema(self.spark, self.model.vault_schema)
         if self.materialize_stage:
             ensure_schema(self.spark, self.model.stage_schema)
@@ -78,6 +83,15 @@ class VaultRunner:
             self._wave([by_name[n] for n in level], bv, run, True, report)
         return report
 
+    def check_sources(self, run: Run) -> None:
+        """Resolve every raw-vault source and build its stage plan, which checks the
+        mapped columns, before anything is written. (Business-vault sources may
+        read tables that this run loads; they are checked when their turn comes.)"""
+        for ent in [*self.model.rv.entities(), *self.model.rv.effs.values()]:
+            spec = self.model.rv.links[ent.link] if isinstance(ent, Effectivity) else ent
+            for src in spec.sources:
+                stage(self._source_frame(src, False), spec, src, run, False)
+
     def _wave(self, entities, layer: Layer, run: Run, business: bool, report: RunReport) -> None:
         """Load independent targets; an effectivity satellite listed after its
         link starts once that link is loaded."""
@@ -116,7 +130,8 @@ class VaultRunner:
         out = []
         for src in spec.sources:
             st = stage(self._source_frame(src, business), spec, src, run, business)
-            if self.materialize_stage:
+            # An effectivity satellite stages its start and end rows instead (``_load_entity``).
+            if self.materialize_stage and not isinstance(ent, Effectivity):
                 st = write_stage(st, f"{self.model.stage_schema}.{src.name}__{ent.name}")
             out.append(st)
         return out
@@ -147,7 +162,10 @@ class VaultRunner:
             link = layer.links[ent.link]
             target = vault_table(self.spark, name)
             link_rows = vault_table(self.spark, self.table_name(link.name), [link.hk, *ent.drivers])
-            append(effectivity_delta(stages, target, link_rows, ent, link, run), name)
+            delta = effectivity_delta(stages, target, link_rows, ent, link, run)
+            if self.materialize_stage:
+                delta = write_stage(delta, f"{self.model.stage_schema}.{link.name}__{ent.name}")
+            append(delta, name)
         report.order.append(f"{'bv' if business else 'rv'}.{ent.name}")
         report.seconds[ent.name] = round(time.perf_counter() - started, 3)
         if self.count_rows:
@@ -158,16 +176,10 @@ class VaultRunner:
         if sat.variant == "regular" and not run.strict:
             append(sat_delta(stages, vault_table(self.spark, name, [sat.hk]), sat, run), name)
             return
-        if sat.variant == "multiactive" and run.strict and len(stages) > 1:
-            from ..operators.load import union_all
-
-            stages = [union_all(stages)]
         cols = [sat.hk, *sat.cks.values(), HASHDIFF, "dv_appts", "dv_loadts"]
         if sat.variant == "multiactive":
             cols.append(SUBSEQ)
-        # One source at a time: each compares with what the earlier ones appended.
-        for st in stages:
-            append(sat_delta(st, vault_table(self.spark, name, cols), sat, run), name)
+        append(sat_delta(stages, vault_table(self.spark, name, cols), sat, run), name)
 
 
 def run_vault(spark: SparkSession, model: VaultModel, run: Run, **kw) -> RunReport:

@@ -31,8 +31,6 @@ class Run:
     semantics: str = REFERENCE
     task_prefix: str = ""
     max_varchar: int = MAX_VARCHAR
-    # Opt-in: round-robin a source with fewer partitions than cores before hashing.
-    spread_sources: bool = False
 
     def __post_init__(self):
         if self.semantics not in (REFERENCE, STRICT):

@@ -65,10 +65,26 @@ def ensure_table(spark: SparkSession, name: str, columns: list[tuple[str, str]],
     spark.sql(ddl)
 
 
+def bucketing(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
+    """(number of buckets, bucket columns) of a table, or None."""
+    found = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    if "Num Buckets" not in found:
+        return None
+    return int(found["Num Buckets"]), [c.strip(" `[]") for c in found["Bucket Columns"].split(",")]
+
+
 def append(df: DataFrame, name: str) -> None:
-    """Append rows (``INSERT INTO``), columns matched to the table by name."""
-    cols = df.sparkSession.table(name).columns
-    df.select(*cols).write.insertInto(name)
+    """Append rows (``INSERT INTO``), columns matched to the table by name.
+
+    The rows are rebalanced first, by the bucket key if the table has buckets:
+    each bucket is then written by one task (a hot one by several, which AQE
+    splits), instead of every task writing a file for every bucket.
+    """
+    spark = df.sparkSession
+    rows = df.select(*spark.table(name).columns)
+    buckets = bucketing(spark, name)
+    rows = rows.hint("rebalance", buckets[0], *buckets[1]) if buckets else rows.hint("rebalance")
+    rows.write.insertInto(name)
 
 
 def write_stage(df: DataFrame, name: str) -> DataFrame:

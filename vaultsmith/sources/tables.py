@@ -23,16 +23,6 @@ def find_column(df: DataFrame, name: str) -> str | None:
     return None
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a source over the cluster's cores when it arrives in fewer
-    partitions (a file with one row group is read by one task), so that the
-    hashing projection after it runs in parallel. A source already split
-    into at least that many partitions is returned unchanged."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
-
-
 def source_columns(df: DataFrame) -> list[str]:
     """Column names of a source (replaces an information_schema lookup)."""
     return list(df.columns)
@@ -53,11 +43,24 @@ def mapping_sources(frames: Mapping[str, DataFrame]) -> SourceResolver:
     return lambda name: frames[name]
 
 
-def jdbc_sources(spark: SparkSession, url: str, schema: str, properties: dict | None = None) -> SourceResolver:
+def jdbc_sources(spark: SparkSession, url: str, schema: str, partitioning: Mapping[str, dict],
+                 properties: dict | None = None) -> SourceResolver:
     """Resolve source names to JDBC tables (``schema.name``); filters and the
-    selected columns are pushed into the database query by Spark."""
+    selected columns are pushed into the database query by Spark.
+
+    ``partitioning`` gives per table either ``column``, ``lowerBound``,
+    ``upperBound`` and ``numPartitions``, or ``predicates``: without them one
+    task would read the whole table, so a table that is missing is an error.
+    """
     props = dict(properties or {})
-    return lambda name: spark.read.jdbc(url, f"{schema}.{name}", properties=props)
+
+    def read(name: str) -> DataFrame:
+        how = partitioning.get(name)
+        if not how or not (how.get("predicates") or {"column", "lowerBound", "upperBound", "numPartitions"} <= set(how)):
+            raise ValueError(f"JDBC table {name}: give a partition column with bounds and number, or predicates")
+        return spark.read.jdbc(url, f"{schema}.{name}", properties=props, **how)
+
+    return read
 
 
 def virtual_source(spark: SparkSession, sql: str) -> DataFrame:

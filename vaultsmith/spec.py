@@ -194,6 +194,24 @@ def validate_entity(ent: Hub | Link | Sat, virtual: bool) -> list[str]:
 
 
 # ---------------------------------------------------------------- parsing
+def _map(value, where: str) -> dict:
+    """A mapping, also when written as a YAML list of one-entry mappings."""
+    if not value:
+        return {}
+    if isinstance(value, dict):
+        return dict(value)
+    if isinstance(value, list) and all(isinstance(x, dict) for x in value):
+        return {k: v for x in value for k, v in x.items()}
+    raise ValueError(f"{where}: expected a mapping or a list of mappings, got {value!r}")
+
+
+def _bks(value, where: str):
+    """Business keys: a list of columns, or (links) column -> hub key in either form of a mapping."""
+    if isinstance(value, list) and any(isinstance(x, dict) for x in value):
+        return _map(value, where)
+    return value or []
+
+
 def _sources(entry: dict, virtual: bool) -> list[Source]:
     out = []
     for name, s in (entry.get("src") or {}).items():
@@ -201,8 +219,8 @@ def _sources(entry: dict, virtual: bool) -> list[Source]:
         out.append(
             Source(
                 name=name,
-                bks=s.get("bks") or [],
-                attrs=s.get("attrs") or {},
+                bks=_bks(s.get("bks"), f"source {name}: bks"),
+                attrs=_map(s.get("attrs"), f"source {name}: attrs"),
                 tenant=s.get("tenant") or DEFAULT_CODE,
                 bkeycode=s.get("bkeycode") or DEFAULT_CODE,
                 sql=s.get("sql"),
@@ -217,12 +235,12 @@ def _layer(conf: dict, virtual: bool) -> Layer:
         layer.hubs[name] = Hub(name, e["hk"], e["bk"], _sources(e, virtual), list(e.get("dependencies") or []))
     for name, e in (conf.get("links") or {}).items():
         layer.links[name] = Link(
-            name, e["hk"], list(e["hks"]), _sources(e, virtual), dict(e.get("cks") or {}),
+            name, e["hk"], list(e["hks"]), _sources(e, virtual), _map(e.get("cks"), f"link {name}: cks"),
             list(e.get("dependencies") or []),
         )
     for name, e in (conf.get("sats") or {}).items():
         layer.sats[name] = Sat(
-            name, e["hk"], list(e["attrs"]), _sources(e, virtual), dict(e.get("cks") or {}),
+            name, e["hk"], list(e["attrs"]), _sources(e, virtual), _map(e.get("cks"), f"sat {name}: cks"),
             bool(e.get("multiactive") or False), list(e.get("dependencies") or []),
         )
     for name, e in (conf.get("effs") or {}).items():

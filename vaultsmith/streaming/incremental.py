@@ -22,6 +22,7 @@ from ..functions.meta import HASHDIFF, SUBSEQ
 from ..operators.load import hub_delta, link_delta, sat_delta
 from ..operators.stage import stage
 from ..run import Run
+from ..session import tune
 from ..sinks.tables import append, ensure_table, table_columns
 from ..sources.tables import vault_table
 from ..spec import Hub, Link, Sat, Source
@@ -68,6 +69,9 @@ def start_incremental_load(spark: SparkSession, source_stream: DataFrame, entity
     (for example ``{"availableNow": True}``). ``run_factory`` makes the run
     (load time, semantics) of each micro-batch from its epoch id.
     """
+    if getattr(entity, "multiactive", False):
+        raise ValueError(f"{entity.name}: a micro-batch may hold part of a multi-active set, which would replace the whole set")
+    tune(spark)
     ensure_table(spark, table, table_columns(entity))
     if checkpoint_location is None:
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
