@@ -8,8 +8,13 @@ candidate counts as a link only after the full shingle sets were compared.
 The candidate search emits no all-pairs lists. Exact copies are one node. Inside the
 buckets every node is first compared with one leader (the bucket minimum it meets in most
 bands). Then, with the components so found, only nodes outside their bucket's largest
-component are compared with the bucket's nodes of other components. All candidate pairs
-are thus compared or already connected.
+component are held against the bucket's nodes of other components. In groups whose
+members are just too different to link, these would be nearly all pairs; so a pair is
+made only if its shingle sets can reach the similarity at all. Two upper bounds of the
+intersection decide that, both exact: shingles that no other open node has can't be
+shared, and the rest are hashed into a bitmap of ``SKETCH_WORDS`` * 64 slots, where an
+intersection has at most the common slots plus the smaller set's collisions. Every
+candidate pair is thus compared, connected already, or proven too different.
 
 With ``ROWS`` values a band and ``BANDS`` bands a pair of similarity s is no candidate
 with probability (1 - s^ROWS)^BANDS, and (as two shared bands are asked for after the
@@ -39,6 +44,8 @@ ROWS = 5
 BANDS = 40
 SEED = 20240607
 MIN_SHARED_BANDS = 2
+#: Long words of the bitmap that bounds intersections.
+SKETCH_WORDS = 32
 #: Word hashes kept by a Python worker; the table is emptied when it is full.
 MAX_CACHED_WORDS = 400_000
 _CHUNK = 4096
@@ -147,6 +154,35 @@ def _shingling(shingle: int):
     return run
 
 
+def _sketching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, shared shingles -> node, their number, slot collisions, bitmap words."""
+    slots = SKETCH_WORDS * 64
+    for batch in batches:
+        size, lost, maps = [], [], []
+        for shared in batch.column(1):
+            h = np.asarray(shared.values).view(np.uint64) if len(shared) else np.empty(0, np.uint64)
+            taken = np.zeros(slots, bool)
+            taken[(_mix(h) % np.uint64(slots)).astype(np.int64)] = True
+            size.append(len(h))
+            lost.append(len(h) - int(taken.sum()))
+            maps.append(np.packbits(taken).view(np.int64))
+        words = np.array(maps, np.int64).reshape(len(maps), SKETCH_WORDS)
+        yield pa.record_batch([batch.column(0), pa.array(size, pa.int64()), pa.array(lost, pa.int64()),
+                               *[pa.array(words[:, k]) for k in range(SKETCH_WORDS)]],
+                              names=["node", "core", "lost", *[f"w{k}" for k in range(SKETCH_WORDS)]])
+
+
+def _sketches(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Per node: how many of its shingles some other of the ``nodes`` has, and their bitmap."""
+    own = sets.join(nodes, "node", "left_semi")
+    lone = (own.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+            .groupBy("node").agg(F.collect_list("shingle").alias("lone")))
+    core = F.when(F.col("lone").isNull(), F.col("shingles")).otherwise(F.array_except("shingles", "lone"))
+    schema = "node long, core long, lost long, " + ", ".join(f"w{k} long" for k in range(SKETCH_WORDS))
+    return own.join(lone, "node", "left").select("node", core.alias("core")).mapInArrow(_sketching, schema)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity. AQE splits a node with many pairs."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -179,7 +215,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = keep(texts.join(involved, "doc_id", "left_semi").mapInArrow(_shingling(shingle), "node long, shingles array<long>"),
                 "minmax-sets")
 
-    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent  # sizes further apart can't be linked
     met = members.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("times"))
     parent = met.groupBy("node").agg(F.max(F.struct("times", (-F.col("leader")).alias("neg"))).alias("x"))
     first = keep(_linked(parent.select((-F.col("x.neg")).alias("a"), F.col("node").alias("b")), sets, percent), "minmax-first")
@@ -191,11 +226,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                            F.count(F.lit(1)).alias("parts"))
                  .where("parts > 1").select("band", (-F.col("x.neg")).alias("main")), "minmax-mixed")
     open_rows = keep(grouped.join(mixed, "band"), "minmax-open")
-    outside = open_rows.where("c <> main").select("band", F.col("node").alias("o"), F.col("n").alias("m"), F.col("c").alias("oc"))
+    sketches = keep(_sketches(sets, open_rows.select("node").distinct()), "minmax-sketches")
+    x = keep(open_rows.join(sketches, "node"), "minmax-held")
+    y = x.where("c <> main").select("band", *[F.col(c).alias(f"o_{c}") for c in x.columns if c not in ("band", "main")])
+    bits = sum(F.bit_count(F.col(f"w{k}").bitwiseAND(F.col(f"o_w{k}"))) for k in range(SKETCH_WORDS))
+    total = (F.col("n") + F.col("o_n")) * percent
+    reaches = lambda shared: shared * (100 + percent) >= total  # noqa: E731  100 * shared >= percent * union
     pairs = (
-        open_rows.join(outside, "band")
-        .where((F.col("c") != F.col("oc")) & ((F.col("c") == F.col("main")) | (F.col("o") < F.col("node"))) & fits)
-        .groupBy(F.least("o", "node").alias("a"), F.greatest("o", "node").alias("b"))
+        x.join(y, "band")
+        .where((F.col("c") != F.col("o_c")) & ((F.col("c") == F.col("main")) | (F.col("o_node") < F.col("node")))
+               & reaches(F.least("core", "o_core")) & reaches(bits + F.least("lost", "o_lost")))
+        .groupBy(F.least("o_node", "node").alias("a"), F.greatest("o_node", "node").alias("b"))
         .agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= MIN_SHARED_BANDS)
     )
     second = _linked(pairs, sets, percent)
