@@ -18,21 +18,28 @@ from vaultsmith.llm.quality import quality_rules
 from vaultsmith.llm.toxicity import toxicity
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """Every row as one struct beside the columns that the rules read: no name can clash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, "doc_id", "text", "lang", "source")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules(docs).where("kept").select(*docs.columns)
+    return quality_rules(_whole(docs)).where("kept").select("row.*")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted severity is not toxic."""
-    return toxicity(docs, table(spark, sf_dir, "labels")).where(~F.col("toxicity.toxic")).select(*docs.columns)
+    scored = toxicity(_whole(docs), table(spark, sf_dir, "labels"))
+    return scored.where(~F.col("toxicity.toxic")).select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, similarity 0.8 or more)."""
     judged = near_duplicates(docs)
     dropped = keep(judged.where(~F.col("kept")).select("doc_id").distinct(), "pipeline-dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(dropped, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,9 @@ run, which is checked). Each distinct unit of the corpus is encoded once:
 3. group the edges by unit and fold them with ``aggregate``: the best score of every
    prefix by Viterbi, then the way back.
 
-All of that runs in the partitions that counting the units made: no further shuffle. A
+All of that runs in the partitions that counting the units made: no further shuffle. The
+fold copies its state for every character, so units of more than ``LONG_UNIT``
+characters take the same recurrence in a loop inside the task instead. A
 character without a piece costs ``UNKNOWN`` below the lowest score and is written as its
 UTF-8 bytes' pieces. Ties go to the longer last piece, then the larger id.
 
@@ -47,6 +49,7 @@ UNKNOWN = 10.0
 MAX_BROADCAST_UNITS = 1 << 22
 MAX_BROADCAST_CHARS = 64
 MAX_HELD = 200_000
+LONG_UNIT = 512
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
 
 
@@ -67,6 +70,7 @@ class Pieces:
         crossing = [self.text[i] for i in self.usable if SPACE in self.text[i].lstrip(SPACE)]
         if crossing or not m.is_byte(self.first_byte):
             raise ValueError(f"{path}: needs byte pieces and no piece across the start of a word, found {crossing[:3]}")
+        self.by_text = {self.text[i]: (self.score[i], i) for i in self.usable}
         self.bytes = [self.text[i].replace(SPACE, " ").encode() for i in range(n)]
         for b in range(256):
             self.bytes[self.first_byte + b] = bytes([b])
@@ -136,6 +140,34 @@ def _viterbi(unit: Column, edges: Column, model: Pieces) -> Column:
     return bind(F.aggregate(positions, none, best), back)
 
 
+def best_path(unit: str, model: Pieces) -> list[int]:
+    """Ids of the best path through one unit, in time linear in its length."""
+    best: list[tuple[float, int, int]] = [(0.0, 0, -1)]  # score, size of the last piece, its id
+    for p in range(1, len(unit) + 1):
+        ways = [(best[p - 1][0] + model.unknown, 1, -1)]
+        for size in range(1, min(model.longest, p) + 1):
+            found = model.by_text.get(unit[p - size:p])
+            if found:
+                ways.append((best[p - size][0] + found[0], size, found[1]))
+        best.append(max(ways))
+    p, out = len(unit), []
+    while p:
+        _, size, i = best[p]
+        out.append([i] if i >= 0 else [model.first_byte + b for b in unit[p - 1].encode()])
+        p -= size
+    return [i for ids in reversed(out) for i in ids]
+
+
+def _long_units(model_path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pieces(model_path)
+        for batch in batches:
+            ids = [best_path(u.as_py(), model) for u in batch.column(0)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["unit", "n", "ids"])
+
+    return run
+
+
 def dictionary(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """unit, n (occurrences), ids of every distinct unit of the texts."""
     spark, model = docs.sparkSession, pieces(model_path)
@@ -148,11 +180,14 @@ def dictionary(docs: DataFrame, model_path: str, text_col: str = "text") -> Data
         F.sequence(F.lit(1), F.least(F.lit(model.longest), F.length("unit") - a)),
         lambda n: F.struct((a + n).alias("stop"), n.alias("size"), F.substring("unit", a + 1, n).alias("piece")))))
     empty = F.array(F.struct(F.lit(0).alias("stop"), F.lit(0).alias("size"), F.lit("").alias("piece")))
-    edges = counted.select("unit", "n", F.explode(F.concat(spans, empty)).alias("s")).select(
+    short = F.length("unit") <= LONG_UNIT
+    edges = counted.select("unit", "n", F.explode(F.when(short, F.concat(spans, empty)).otherwise(empty)).alias("s")).select(
         "unit", "n", "s.stop", "s.size", "s.piece").join(known, "piece")
     listed = F.collect_list(F.struct("stop", "size", "score", "id")).alias("edges")
-    return (edges.groupBy("unit", "n").agg(listed)
-            .select("unit", "n", _viterbi(F.col("unit"), F.col("edges"), model).alias("ids")))
+    folded = F.when(short, _viterbi(F.col("unit"), F.col("edges"), model))
+    words = keep(edges.groupBy("unit", "n").agg(listed).select("unit", "n", folded.alias("ids")), "lattice-dictionary")
+    rest = words.where("ids IS NULL").select("unit", "n").mapInArrow(_long_units(model_path), "unit string, n long, ids array<int>")
+    return words.where("ids IS NOT NULL").unionByName(rest)
 
 
 # ------------------------------------------------------------- applying a dictionary
@@ -230,7 +265,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     """doc_id, text, ids (little-endian unsigned 32-bit numbers) of every row."""
     spark = docs.sparkSession
     pairs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    words = keep(dictionary(pairs, model_path), "lattice-dictionary")
+    words = dictionary(pairs, model_path)
     size = words.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("unit")).alias("longest")).first()
     if size["n"] <= max_units and (size["longest"] or 0) <= MAX_BROADCAST_CHARS:
         packed = _pack(words)

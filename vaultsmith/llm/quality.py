@@ -9,7 +9,8 @@ with the fences of their group and judged.
 
 Defined results: null or empty text has no words and fails the base rules; a null
 language or source is a group of its own; repeated rows are judged one by one; other
-columns of the input are carried along untouched; an empty table gives an empty result.
+columns of the input are carried along untouched (own ones named quality, base_failed or
+kept are replaced); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -165,19 +166,19 @@ def fences(sketched: DataFrame, group_cols: list[str], reach: int = 3) -> DataFr
 
 def judge(measured: DataFrame, fenced: DataFrame, group_cols: list[str]) -> DataFrame:
     """``measured`` joined with its group's fences: adds base_failed and kept."""
-    right = fenced.select(*[F.col(c).alias(f"fence_{c}") for c in group_cols], "fences")
+    right = fenced.select(*[F.col(c).alias(f"_fence_{c}") for c in group_cols], F.col("fences").alias("_fences"))
     on = None
     for c in group_cols:
-        same = measured[c].eqNullSafe(right[f"fence_{c}"])
+        same = measured[c].eqNullSafe(right[f"_fence_{c}"])
         on = same if on is None else on & same
     joined = measured.join(bounded_broadcast(right, MAX_BROADCAST_GROUPS), on, "left")
     q = F.col("quality")
     failed = (q["n_words"] < 10) | (q["n_repeat_words"] * 100 > q["n_words"] * 20)
-    inside = F.forall(F.zip_with(_measures(), F.col("fences"),
+    inside = F.forall(F.zip_with(_measures(), F.col("_fences"),
                                  lambda m, f: (m["value"] >= f["low"]) & (m["value"] <= f["high"])), lambda ok: ok)
     return (joined.withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
-            .drop("fences", *[f"fence_{c}" for c in group_cols]))
+            .drop("_fences", *[f"_fence_{c}" for c in group_cols]))
 
 
 def quality_rules(docs: DataFrame, group_cols: tuple[str, ...] = ("lang", "source"), reach: int = 3) -> DataFrame:

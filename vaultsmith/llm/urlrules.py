@@ -13,7 +13,8 @@ for the start of the host). Among host rules the longest wins, ties by name; lik
 among patterns. A url that no rule matches is allowed.
 
 Defined results: a null url or one without ``://`` has an empty host and path and is
-allowed by default; repeated rows are judged each; other columns are carried along;
+allowed by default; repeated rows are judged each; other columns are carried along (own
+ones named like a result column are replaced);
 empty tables and an empty list of rules are fine.
 """
 
@@ -131,15 +132,15 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url") -> Dat
         bounded_broadcast(index, MAX_BROADCAST_RULES), "token")
     best = F.max(F.struct("tier", "weight", "rule", "action")).alias("best")
     judged = keep(candidates.where(F.rlike("full", F.col("pattern"))).groupBy("url").agg(best), "urlrules-judged")
-    judged = judged.select(F.col("url").alias("judged_url"), "best")
+    judged = judged.select(F.col("url").alias("_judged_url"), F.col("best").alias("_judged_best"))
     own_host, own_path, _ = host_and_path(F.col(f"`{url_col}`"))
     return (
         pages.withColumn("host", own_host).withColumn("path", own_path)
-        .join(judged, F.col(f"`{url_col}`") == F.col("judged_url"), "left")
-        .withColumn("rule", F.when(F.col("best.tier") == 1, F.col("best.rule")))
-        .withColumn("pattern", F.when(F.col("best.tier") == 0, F.col("best.rule")))
-        .withColumn("verdict", F.coalesce("best.action", F.lit("allow")))
-        .drop("judged_url", "best")
+        .join(judged, F.col(f"`{url_col}`") == F.col("_judged_url"), "left")
+        .withColumn("rule", F.when(F.col("_judged_best.tier") == 1, F.col("_judged_best.rule")))
+        .withColumn("pattern", F.when(F.col("_judged_best.tier") == 0, F.col("_judged_best.rule")))
+        .withColumn("verdict", F.coalesce("_judged_best.action", F.lit("allow")))
+        .drop("_judged_url", "_judged_best")
     )
 
 
