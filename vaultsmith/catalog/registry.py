@@ -27,7 +27,15 @@ def register(name: str, sql: str | None = None):
 
 
 def _load_all() -> None:
-    from . import bv_queries, effectivity_queries, hot_key_queries, hub_queries, link_queries, sat_queries  # noqa: F401
+    from . import (  # noqa: F401
+        bv_queries,
+        effectivity_queries,
+        hot_key_queries,
+        hub_queries,
+        link_queries,
+        roundtrip_queries,
+        sat_queries,
+    )
 
 
 def queries() -> dict[str, QueryFn]:
