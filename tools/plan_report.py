@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def main() -> None:
-    import __spark_entry__ as E
+    from vaultsmith.catalog import registry
     from vaultsmith.plans.explain import plan_summary
     from vaultsmith.session import local_session
 
@@ -24,10 +24,10 @@ def main() -> None:
     print(f"Generated by `tools/plan_report.py` at `{os.path.basename(sf_dir)}` with the session settings of "
           "`vaultsmith/session.py` (static broadcasts off; AQE decides joins at run time from measured sizes). "
           "Counts are for the initial physical plan of the whole query, *including the earlier loads the query "
-          "builds its target from*. `WGL` = `WindowGroupLimit` (rank = 1 pre-limited before the shuffle).\n")
+          "builds its target from*. `WGL` = `WindowGroupLimit` (a pre-limited rank).\n")
     print("| query | exchanges | windows | WGL | forbidden | widest scan |")
     print("|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in registry.queries().items():
         s = plan_summary(fn(spark, sf_dir))
         widest = max(s["read_schemas"], key=lambda x: x.count(","), default="")
         ncols = widest.count(",") + 1 if widest else 0
