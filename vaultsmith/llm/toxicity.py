@@ -12,8 +12,9 @@ share of their words that carry a feature of the model, cut at its terciles.
 The classifier is fitted on a bounded sample of labelled rows: at most ``TRAIN_ROWS``
 documents of each label, those with the smallest hashes of doc_id (equal texts once),
 and at most ``MAX_FEATURES`` features: those in most toxic documents (in at least
-``MIN_SHARE`` of them and ``MIN_RATIO`` times the share of clean ones). Their weights
-are held at 0 or more. Scoring reads every whole text.
+``MIN_SHARE`` of them and ``MIN_RATIO`` times the share of clean ones, or ``SURE_RATIO``
+times if their log odds differ by ``SURE_Z`` standard errors). Their weights are held at
+0 or more. Scoring reads every whole text.
 
 Defined results: null or empty text has no features and grade 0; a label other than 0
 and 1 or without document is ignored, repeated labels of one document count as toxic if
@@ -43,6 +44,8 @@ MAX_FEATURES = 1_024
 MIN_DOCS = 5
 MIN_SHARE = 0.02
 MIN_RATIO = 8.0
+SURE_RATIO = 4.0
+SURE_Z = 6.0
 MAX_VALUE = 30.0
 #: A document counts as toxic from this probability of grade 1 or more.
 FLAG = 0.2
@@ -151,7 +154,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, max_features
     counted = (sample.mapInArrow(_distinct_features, "toxic int, feature string").groupBy("feature")
                .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")))
     often = F.col("t") >= max(MIN_DOCS, MIN_SHARE * pos)
-    leaning = F.col("t") * neg >= MIN_RATIO * pos * (F.col("c") + 0.5)
+    ratio = F.col("t") * neg / (pos * (F.col("c") + 0.5))
+    t, c, t0, c0 = F.col("t") + 0.5, F.col("c") + 0.5, F.lit(pos) - F.col("t") + 0.5, F.lit(neg) - F.col("c") + 0.5
+    z = (F.log(t / t0) - F.log(c / c0)) / F.sqrt(1 / t + 1 / t0 + 1 / c + 1 / c0)
+    leaning = (ratio >= MIN_RATIO) | (ratio >= SURE_RATIO) & (z >= SURE_Z)
     chosen = counted.where(often & leaning).orderBy(F.desc("t"), "feature").limit(max_features).collect()
     features = tuple(r["feature"] for r in chosen)
     # Bounded: at most 2 * rows documents with at most max_features numbers each.
