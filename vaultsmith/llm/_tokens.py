@@ -1,9 +1,11 @@
 """Token ids of whole texts by a tokenizers file, with words remembered.
 
-A byte-level BPE never joins characters across the start of a white-space separated
-chunk, so the ids of a text are the ids of its chunks in order. Most chunks repeat:
-their ids are kept in a bounded table, and only unseen ones go to the tokenizer. A text
-that holds one of the tokenizer's special strings is encoded in one piece instead.
+A BPE over pre-split text never joins characters across the start of a white-space
+separated chunk, so the ids of a text are the ids of its chunks in order. Most chunks
+repeat: their ids are kept in a bounded table. An unseen chunk of Latin-1 text is split by
+the tokenizer's own pattern and its parts go straight to the tokenizer's model (which
+skips its costly bookkeeping of offsets); any other chunk, and any text that holds one of
+the tokenizer's special strings, is encoded by the tokenizer as it is.
 """
 
 from __future__ import annotations
@@ -12,22 +14,64 @@ import functools
 import json
 import os
 import re
+from array import array
+from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
+import regex
 
-MAX_CACHED = 400_000
+#: Entries of a table: those made or used since its last turn, and as many from before it.
+MAX_CACHED = 450_000
+MAX_CACHED_PARTS = 200_000
 MAX_CACHED_CHARS = 48
 
 # Fixed value: Unicode white space.
-_WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_WORD = re.compile(f"[^{_WS}]+")
+_WS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_WORD = re.compile(f"[^{re.escape(_WS)}]+").findall
 # One space belongs to the word behind it; a run of white space gives up its last character.
-_SPACED = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+_SPACED = re.compile(f" ?[^{re.escape(_WS)}]+|[{re.escape(_WS)}]+(?![^{re.escape(_WS)}])|[{re.escape(_WS)}]+").findall
+#: Where a space touches more white space, or with these, the simple split at spaces would be wrong.
+_TOUCHING = ("  ", "\n ", " \n", *[c for c in _WS if c not in " \n"])
+#: str.split() also cuts at these, which are no white space to a tokenizer.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_OTHER_SPACE = re.compile(f"[{re.escape(_WS)}]").search
+_PROBE = ["word", " word,", "'tis", " it's", " x1y22", "ÀÉ", " ñandú!?", "A.B-C", " ...", "\n", "3.14", " don't", "ŁÓDŹ", "_a_", "İs"]
+
+
+def _byte_alphabet() -> dict[int, int]:
+    """The public byte-level alphabet: printable Latin-1 as itself, other bytes from U+0100 on."""
+    kept = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in kept]
+    return {b: 256 + k for k, b in enumerate(others)}
+
+
+def _latin(text: str) -> bool:
+    return text.isascii() or len(text.encode("latin-1", "ignore")) == len(text)
+
+
+class _Table(dict):
+    """Key -> ids as bytes, made on first use. When the table is full its entries become the
+    old ones: those used again come back, the others are forgotten at the next turn."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.make(key)
+        if len(key) <= MAX_CACHED_CHARS:
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+            self[key] = ids
+        return ids
 
 
 class ChunkEncoder:
-    """ids of whole texts, as bytes of little-endian ``dtype`` numbers."""
+    """ids of whole texts, as bytes of ``dtype`` numbers."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -36,36 +80,66 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        pre = json.dumps(spec["pre_tokenizer"])
-        drops_space = '"Removed"' in pre
-        if not drops_space and '"use_regex": true' not in pre:
-            raise ValueError(f"{path}: words can't be encoded one by one")
-        self.chunks = (_WORD if drops_space else _SPACED).findall
+        steps = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
+        self.drops_space = steps[0]["type"] == "Split"
+        pattern = steps[0]["pattern"]["Regex"] if self.drops_space else public_tokenizers.PATTERN
+        self._split = regex.compile(pattern).findall
+        self._normalize = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else None
+        self._alphabet = _byte_alphabet()
+        self._space = chr(self._alphabet[32])
+        self._model = self.tokenizer.model.tokenize
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2" if self.vocab_size <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-
-    def _fresh(self, chunks: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch(chunks, add_special_tokens=False)
-        return {c: np.array(e.ids, self.dtype).tobytes() for c, e in zip(chunks, found)}
+        self._typecode = "H" if self.vocab_size <= 1 << 16 else "I"
+        self.dtype = np.dtype(self._typecode)
+        self._parts = _Table(self._part, MAX_CACHED_PARTS)
+        self._chunks = _Table(self._chunk, MAX_CACHED if self.drops_space else MAX_CACHED_PARTS)
+        self._spaced = _Table(self._piece, MAX_CACHED)
+        for probe in _PROBE:
+            if self._chunk(probe) != self._whole(probe):
+                raise ValueError(f"{path}: chunks can't be encoded one by one, tried {probe!r}")
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array(self._typecode, ids).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _part(self, part: str) -> bytes:
+        if part.isascii() and part.isprintable():
+            letters = part.replace(" ", self._space)
+        else:
+            letters = part.encode().decode("latin-1").translate(self._alphabet)
+        return self._bytes([t.id for t in self._model(letters)])
+
+    def _chunk(self, chunk: str) -> bytes:
+        if not _latin(chunk):
+            return self._whole(chunk)
+        text = chunk
+        if self._normalize:
+            text = chunk.lower() if chunk.isascii() else self._normalize(chunk)
+        if text.isalpha() or text[:1] == " " and text[1:].isalpha():
+            return self._parts[text]  # letters alone, with or without the space before them, are one part
+        return b"".join([self._parts[p] for p in self._split(text)])
+
+    def _piece(self, piece: str) -> bytes:
+        """What follows a space up to the next one, with that space."""
+        if piece.isalpha() and _latin(piece) and not self._normalize:
+            return self._parts[" " + piece]
+        if _OTHER_SPACE(piece) or not piece:
+            return b"".join([self._chunks[c] for c in _SPACED(" " + piece)])
+        return self._chunk(" " + piece)
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        chunks = self.chunks(text)
-        known = self.known
-        unseen = [c for c in dict.fromkeys(chunks) if c not in known]
-        if not unseen:
-            return b"".join([known[c] for c in chunks])
-        if len(known) + len(unseen) > MAX_CACHED:
-            known.clear()
-            unseen = list(dict.fromkeys(chunks))
-        fresh = self._fresh(unseen)
-        out = b"".join([known[c] if c in known else fresh[c] for c in chunks])
-        if len(unseen) <= MAX_CACHED:
-            known.update((c, ids) for c, ids in fresh.items() if len(c) <= MAX_CACHED_CHARS)
-        return out
+            return self._whole(text)
+        if self.drops_space:
+            words = _WORD(text) if any(c in text for c in _SEPARATORS) else text.split()
+            return b"".join(map(self._chunks.__getitem__, words))
+        if any(p in text for p in _TOUCHING):
+            return b"".join(map(self._chunks.__getitem__, _SPACED(text)))
+        first, *rest = text.split(" ")
+        return b"".join([*map(self._chunks.__getitem__, _SPACED(first)), *map(self._spaced.__getitem__, rest)])
 
 
 @functools.lru_cache(maxsize=2)
