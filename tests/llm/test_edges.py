@@ -253,7 +253,7 @@ def test_unusable_vectors_take_no_part(spark):
 # ------------------------------------------------------------- op 7
 def test_lattice_edges(spark, docs, none):
     model = lattice.pieces(PIECE)
-    want = sorted((str(i), [p for u in lattice.units(t) for p in lattice.best_path(u, model)]) for i, t in ROWS)
+    want = sorted((str(i), [p for u in lattice.words(t) for p in lattice.best_path(lattice.SPACE + u, model)]) for i, t in ROWS)
     for max_units in (lattice.MAX_BROADCAST_UNITS, 0):
         encoded = lattice.encode(docs, PIECE, max_units=max_units)
         rows = encoded.collect()

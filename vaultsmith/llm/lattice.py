@@ -1,8 +1,9 @@
 """Subword encoding by relational lattices, and decoding.
 
-A text becomes ``▁`` + text with spaces as ``▁``, cut into units: a run of ``▁`` and the
-other characters behind it (no piece of the model reaches across the start of such a
-run, which is checked). Each distinct unit of the corpus is encoded once:
+A text becomes ``▁`` + text with spaces as ``▁``, cut into units wherever two neighbouring
+characters stand side by side in no piece of the model: no piece can reach across, so the
+best path of a text is those of its units in order. Each distinct unit of the corpus is
+encoded once:
 
 1. explode its substrings up to the longest piece,
 2. equi-join them to the piece table (bounded by the vocabulary, so broadcast),
@@ -33,7 +34,7 @@ import functools
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +68,8 @@ class Pieces:
         self.first_byte = m.piece_to_id("<0x00>")
         self.longest = max(len(self.text[i]) for i in self.usable)
         self.unknown = min(self.score[i] for i in self.usable) - UNKNOWN
-        crossing = [self.text[i] for i in self.usable if SPACE in self.text[i].lstrip(SPACE)]
+        self.neighbours = {t[k:k + 2] for t in map(self.text.__getitem__, self.usable) for k in range(len(t) - 1)}
+        crossing = [p for p in self.neighbours if p[1] == SPACE and p[0] != SPACE]
         if crossing or not m.is_byte(self.first_byte):
             raise ValueError(f"{path}: needs byte pieces and no piece across the start of a word, found {crossing[:3]}")
         self.by_text = {self.text[i]: (self.score[i], i) for i in self.usable}
@@ -81,24 +83,62 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def units(text: str | None) -> list[str]:
-    return _UNITS(SPACE + text.replace(" ", SPACE)) if text else []
+Batches = Iterator[pa.RecordBatch]
+ENCODED = "doc_id long, text string, ids binary"
 
 
-def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+def _few(batches: Batches, rows: int = 512) -> Batches:
+    """The batches in small slices, which bounds what a worker holds besides its input."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
-    def flush() -> pa.RecordBatch:
-        out = pa.record_batch([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["unit", "n"])
-        held.clear()
-        return out
 
-    for batch in batches:
-        for text in batch.column(0):
-            held.update(units(text.as_py()))
-            if len(held) > MAX_HELD:
-                yield flush()
-    yield flush()
+def words(text: str | None) -> list[str]:
+    """Runs of ``▁`` with the other characters behind them, each without its first ``▁``."""
+    if not text:
+        return []
+    if "  " in text or SPACE in text or text[0] == " ":
+        return [w[1:] for w in _UNITS(SPACE + text.replace(" ", SPACE))]
+    return text.split(" ")
+
+
+def cut(word: str, model: Pieces) -> list[str]:
+    """The units of one of ``words``."""
+    word = SPACE + word
+    out, start, joined = [], 0, model.neighbours
+    for k in range(1, len(word)):
+        if word[k - 1:k + 1] not in joined:
+            out.append(word[start:k])
+            start = k
+    return [*out, word[start:]]
+
+
+def units(text: str | None, model: Pieces) -> list[str]:
+    return [u for w in words(text) for u in cut(w, model)]
+
+
+def _counting(model_path: str):
+    def run(batches: Batches) -> Batches:
+        model = pieces(model_path)
+        held: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            found: Counter = Counter()
+            for word, n in held.items():
+                for u in cut(word, model):
+                    found[u] += n
+            held.clear()
+            return pa.record_batch([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["unit", "n"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                held.update(words(text.as_py()))
+                if len(held) > MAX_HELD:
+                    yield flush()
+        yield flush()
+
+    return run
 
 
 def _byte_ids(code: Column, first: int) -> Column:
@@ -120,7 +160,7 @@ def _viterbi(unit: Column, edges: Column, model: Pieces) -> Column:
 
     def best(done: Column, p: Column) -> Column:
         before = lambda size: F.when(p == size, F.lit(0.0)).otherwise(F.get(done, p - size - 1)["score"])
-        ending = F.transform(F.filter(edges, lambda e: (e["stop"] == p) & (e["size"] > 0)),
+        ending = F.transform(F.filter(edges, lambda e: e["stop"] == p),
                              lambda e: step(before(e["size"]) + e["score"], e["size"], e["id"]))
         unknown = step(before(F.lit(1)) + F.lit(model.unknown), F.lit(1), F.lit(-1))
         return F.concat(done, F.array(F.array_max(F.concat(ending, F.array(unknown)))))
@@ -171,9 +211,9 @@ def _long_units(model_path: str):
 def dictionary(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """unit, n (occurrences), ids of every distinct unit of the texts."""
     spark, model = docs.sparkSession, pieces(model_path)
-    counted = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_counting, "unit string, n long")
+    counted = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_counting(model_path), "unit string, n long")
                .groupBy("unit").agg(F.sum("n").alias("n")))
-    # The empty piece keeps units without any matching substring.
+    # The empty piece keeps units without any matching substring; it stops at 0, before all positions.
     rows = [(model.text[i], i, model.score[i]) for i in model.usable] + [("", -1, 0.0)]
     known = F.broadcast(spark.createDataFrame(rows, "piece string, id int, score double"))
     spans = F.flatten(F.transform(F.sequence(F.lit(0), F.length("unit") - 1), lambda a: F.transform(
@@ -185,9 +225,9 @@ def dictionary(docs: DataFrame, model_path: str, text_col: str = "text") -> Data
         "unit", "n", "s.stop", "s.size", "s.piece").join(known, "piece")
     listed = F.collect_list(F.struct("stop", "size", "score", "id")).alias("edges")
     folded = F.when(short, _viterbi(F.col("unit"), F.col("edges"), model))
-    words = keep(edges.groupBy("unit", "n").agg(listed).select("unit", "n", folded.alias("ids")), "lattice-dictionary")
-    rest = words.where("ids IS NULL").select("unit", "n").mapInArrow(_long_units(model_path), "unit string, n long, ids array<int>")
-    return words.where("ids IS NOT NULL").unionByName(rest)
+    made = keep(edges.groupBy("unit", "n").agg(listed).select("unit", "n", folded.alias("ids")), "lattice-dictionary")
+    rest = made.where("ids IS NULL").select("unit", "n").mapInArrow(_long_units(model_path), "unit string, n long, ids array<int>")
+    return made.where("ids IS NOT NULL").unionByName(rest)
 
 
 # ------------------------------------------------------------- applying a dictionary
@@ -215,63 +255,83 @@ class PackedDictionary:
         return self.ids[a:a + int(self.sizes[k])].tobytes()
 
 
-def _pack(words: DataFrame) -> PackedDictionary:
-    rows = words.select("unit", "ids").mapInArrow(_packing, "h binary, s binary, i binary").collect()
+def _pack(known: DataFrame) -> PackedDictionary:
+    rows = known.select("unit", "ids").mapInArrow(_packing, "h binary, s binary, i binary").collect()
     join = lambda c, t: np.frombuffer(b"".join(bytes(r[c]) for r in rows), t)
     return PackedDictionary(join("h", np.uint64), join("s", "<u4").astype(np.int64), join("i", "<u4"))
 
 
 class _Held(dict):
-    def __init__(self, packed: PackedDictionary):
+    """Word -> ids as bytes, remembered up to a bound."""
+
+    def __init__(self, packed: PackedDictionary, model: Pieces):
         super().__init__()
-        self.packed = packed
+        self.packed, self.model = packed, model
 
-    def __missing__(self, unit: str) -> bytes:
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= MAX_HELD:
             self.clear()
-        found = self[unit] = self.packed.find(unit)
+        found = b"".join([self.packed.find(u) for u in cut(word, self.model)])
+        if len(word) <= MAX_BROADCAST_CHARS:
+            self[word] = found
         return found
 
 
-def _looking_up(shared):
+def _looking_up(shared, model_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(shared.value)
-        for batch in batches:
-            ids = [b"".join([held[u] for u in units(t.as_py())]) for t in batch.column(1)]
+        held = _Held(shared.value, pieces(model_path))
+        for batch in _few(batches):
+            ids = [b"".join(map(held.__getitem__, words(t.as_py()))) for t in batch.column(1)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "text", "ids"])
 
     return run
 
 
-def _joined(pairs: DataFrame, words: DataFrame) -> DataFrame:
+def _splitting(model_path: str):
+    def run(batches: Batches) -> Batches:
+        model = pieces(model_path)
+        for batch in _few(batches):
+            yield pa.record_batch([batch.column(0), pa.array([units(t.as_py(), model) for t in batch.column(1)], pa.list_(pa.string()))],
+                                  names=["row", "units"])
+
+    return run
+
+
+def _joined(pairs: DataFrame, known: DataFrame, model_path: str, then: Callable[[Batches], Batches], schema: str) -> DataFrame:
     """Look-up by joins: for dictionaries of any size. AQE splits frequent units."""
-    split = F.regexp_extract_all(F.concat(F.lit(SPACE), F.translate("text", " ", SPACE)), F.lit(f"{SPACE}*[^{SPACE}]+|{SPACE}+"), F.lit(0))
     rows = keep(pairs.withColumn("row", F.monotonically_increasing_id()), "lattice-rows")
-    occurring = rows.where("text <> ''").select("row", F.posexplode(split).alias("at", "unit"))
-    listed = (occurring.join(words.select("unit", F.col("ids").alias("unit_ids")), "unit").groupBy("row")
+    split = rows.select("row", "text").mapInArrow(_splitting(model_path), "row long, units array<string>")
+    occurring = split.select("row", F.posexplode("units").alias("at", "unit"))
+    listed = (occurring.join(known.select("unit", F.col("ids").alias("unit_ids")), "unit").groupBy("row")
               .agg(F.sort_array(F.collect_list(F.struct("at", "unit_ids"))).alias("x"))
               .select("row", F.flatten(F.transform("x", lambda p: p["unit_ids"])).alias("list")))
 
     def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             ids = [np.array(x.as_py() or [], "<u4").tobytes() for x in batch.column(2)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "text", "ids"])
 
-    return rows.join(listed, "row", "left").select("doc_id", "text", "list").mapInArrow(as_bytes, "doc_id long, text string, ids binary")
+    return rows.join(listed, "row", "left").select("doc_id", "text", "list").mapInArrow(lambda b: then(as_bytes(b)), schema)
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-           max_units: int = MAX_BROADCAST_UNITS) -> DataFrame:
-    """doc_id, text, ids (little-endian unsigned 32-bit numbers) of every row."""
+           max_units: int = MAX_BROADCAST_UNITS, then: Callable[[Batches], Batches] = iter,
+           schema: str = ENCODED) -> DataFrame:
+    """doc_id, text, ids (little-endian unsigned 32-bit numbers) of every row.
+
+    ``then`` may turn these batches into others (of ``schema``) in the same worker, which
+    saves a second Python process per task.
+    """
     spark = docs.sparkSession
     pairs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    words = dictionary(pairs, model_path)
-    size = words.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("unit")).alias("longest")).first()
+    known = dictionary(pairs, model_path)
+    size = known.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("unit")).alias("longest")).first()
     if size["n"] <= max_units and (size["longest"] or 0) <= MAX_BROADCAST_CHARS:
-        packed = _pack(words)
+        packed = _pack(known)
         if packed.unique:
-            return pairs.mapInArrow(_looking_up(spark.sparkContext.broadcast(packed)), "doc_id long, text string, ids binary")
-    return _joined(pairs, words)
+            look_up = _looking_up(spark.sparkContext.broadcast(packed), model_path)
+            return pairs.mapInArrow(lambda b: then(look_up(b)), schema)
+    return _joined(pairs, known, model_path, then, schema)
 
 
 def decode_ids(ids: np.ndarray, model: Pieces) -> str:
@@ -314,8 +374,8 @@ def _checking(model_path: str):
 def op7_lattice_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded, with a checksum of its ids and whether they decode to it."""
     path = tokenizer_path("piece_bpe_32k.model")
-    encoded = encode(table(spark, sf_dir, "documents"), path)
-    return encoded.mapInArrow(_checking(path), "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean")
+    return encode(table(spark, sf_dir, "documents"), path, then=_checking(path),
+                  schema="doc_id long, n_tokens long, ids_crc32 long, round_trip boolean")
 
 
 QUERIES = {"op7_lattice_encoding": op7_lattice_encoding}
