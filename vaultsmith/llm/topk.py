@@ -34,7 +34,9 @@ K = 20
 SCALE = 64
 BLOCK = 8192
 QUERY_BLOCK = 1024
-FIRST_DEPTH = 16
+#: Depth of the first look at the bound, and how much deeper each next one is.
+FIRST_DEPTH = 32
+DEEPER = 8
 
 
 def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
@@ -76,7 +78,8 @@ class SortedLists:
             new = np.flatnonzero(fresh)
             new = new[self.ids[new] != query_id]
             rows = np.concatenate([rows, new])
-            scores = np.concatenate([scores, self.vectors[new] @ q])
+            scored = (self.vectors @ q)[new] if 4 * len(new) > n else self.vectors[new] @ q
+            scores = np.concatenate([scores, scored])
             if len(scores) > k:
                 floor = np.partition(scores, len(scores) - k)[len(scores) - k]
                 near = scores >= floor  # ties at the kth score stay
@@ -87,7 +90,8 @@ class SortedLists:
                 bound = self.sorted[n - depth, up] @ q[up] + self.sorted[depth - 1, down] @ q[down]
                 if bound < scores.min():
                     break
-            depth *= 4
+            # Where most of the block is seen already, scoring the rest is cheaper than walking on.
+            depth = n if 2 * int(seen.sum()) > n else depth * DEEPER
         best = np.lexsort((self.ids[rows], -scores))[:k]
         return rows[best], scores[best]
 
