@@ -14,7 +14,8 @@ points of the output) of the assistant texts.
 
 Defined results: null text or role is empty; turns are in order of their turn number,
 nulls first, ties by role and text (repeated rows are repeated turns); a null conv_id is
-one conversation; a record of no known layout has layout null and no turns; fields and
+one conversation (a conversation is one output row, so its turns meet in one task); a
+record of no known layout has layout null and no turns; fields and
 columns that no layout knows are ignored; an empty table gives only what is added to it.
 """
 
