@@ -1,23 +1,21 @@
 """Subword encoding by relational lattices, and decoding.
 
 A text becomes ``▁`` + text with spaces as ``▁``, cut into units wherever two neighbouring
-characters stand side by side in no piece of the model: no piece can reach across, so the
-best path of a text is those of its units in order. Each distinct unit of the corpus is
+characters stand side by side in no piece of the model: no merge can reach across, so the
+ids of a text are those of its units in order. Each distinct unit of the corpus is
 encoded once:
 
 1. explode its substrings up to the longest piece,
 2. equi-join them to the piece table (bounded by the vocabulary, so broadcast),
-3. group the edges by unit and fold them with ``aggregate``: the best score of every
-   prefix by Viterbi, then the way back.
+3. group the edges by unit and fold them with ``aggregate``: from single characters on,
+   every step merges the adjacent pair whose piece has the best score (the leftmost of
+   equals), until no pair makes a piece. These are sentencepiece's own ids for a model of
+   merges; one that encodes otherwise is refused.
 
 All of that runs in the partitions that counting the units made: no further shuffle. The
-fold copies its state for every character, so units of more than ``LONG_UNIT``
-characters take the same recurrence in a loop inside the task instead. A
-character without a piece costs ``UNKNOWN`` below the lowest score and is written as its
-UTF-8 bytes' pieces. Ties go to the longer last piece, then the larger id.
-
-The segmentation is the best path under the model's scores. A model trained by merges
-may itself segment some words otherwise (see README); both decode to the same text.
+fold holds the boundaries between symbols in one long, so units of more than
+``LONG_UNIT`` characters take the same merges in a loop inside the task instead. A
+character without a piece is written as its UTF-8 bytes' pieces.
 
 Texts are then encoded by dictionary look-up. A dictionary of at most
 ``MAX_BROADCAST_UNITS`` units of at most ``MAX_BROADCAST_CHARS`` characters is packed
@@ -31,6 +29,7 @@ read; an empty table gives an empty result.
 from __future__ import annotations
 
 import functools
+import heapq
 import re
 import zlib
 from collections import Counter
@@ -46,11 +45,12 @@ from ._common import bind, keep, table
 from ._tokens import tokenizer_path
 
 SPACE = "▁"
-UNKNOWN = 10.0
 MAX_BROADCAST_UNITS = 1 << 22
 MAX_BROADCAST_CHARS = 64
 MAX_HELD = 200_000
-LONG_UNIT = 512
+#: Boundaries of a folded unit are the bits of a long.
+LONG_UNIT = 61
+_PROBE = ["Enpaeux", "relationship of words", "  two  spaces ", "ñandú 漢字 😀\t\n", "aaaaaaa"]
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
 
 
@@ -67,7 +67,6 @@ class Pieces:
         self.score = [m.get_score(i) for i in range(n)]
         self.first_byte = m.piece_to_id("<0x00>")
         self.longest = max(len(self.text[i]) for i in self.usable)
-        self.unknown = min(self.score[i] for i in self.usable) - UNKNOWN
         self.neighbours = {t[k:k + 2] for t in map(self.text.__getitem__, self.usable) for k in range(len(t) - 1)}
         crossing = [p for p in self.neighbours if p[1] == SPACE and p[0] != SPACE]
         if crossing or not m.is_byte(self.first_byte):
@@ -76,6 +75,9 @@ class Pieces:
         self.bytes = [self.text[i].replace(SPACE, " ").encode() for i in range(n)]
         for b in range(256):
             self.bytes[self.first_byte + b] = bytes([b])
+        for probe in _PROBE:
+            if [i for u in units(probe, self) for i in best_path(u, self)] != m.encode(probe):
+                raise ValueError(f"{path}: not a model of merges alone, tried {probe!r}")
 
 
 @functools.lru_cache(maxsize=2)
@@ -152,50 +154,70 @@ def _byte_ids(code: Column, first: int) -> Column:
     return F.transform(raw, lambda b: (b + first).cast("int"))
 
 
-def _viterbi(unit: Column, edges: Column, model: Pieces) -> Column:
-    """Ids of the best path; ``edges`` are (stop, size, score, id) of matched substrings."""
-    none = F.array().cast("array<struct<score: double, size: int, id: int>>")
-    step = lambda score, size, i: F.struct(score.cast("double").alias("score"), size.cast("int").alias("size"),
-                                           i.cast("int").alias("id"))
+def _merged(unit: Column, edges: Column, model: Pieces) -> Column:
+    """Ids of one unit; ``edges`` are (rank, start, around, within, id) of matched substrings.
+
+    The state is the bitmap of the symbols' boundaries. A substring can be merged while both
+    its ends (``around``) are boundaries and one more is ``within`` it; merging removes that one.
+    """
+    inner = lambda m, e: m.bitwiseAND(e["within"])
+    ends = lambda m, e: m.bitwiseAND(e["around"]) == e["around"]
+    state = lambda m, left: F.struct(m.alias("m"), left.alias("left"))
 
-    def best(done: Column, p: Column) -> Column:
-        before = lambda size: F.when(p == size, F.lit(0.0)).otherwise(F.get(done, p - size - 1)["score"])
-        ending = F.transform(F.filter(edges, lambda e: e["stop"] == p),
-                             lambda e: step(before(e["size"]) + e["score"], e["size"], e["id"]))
-        unknown = step(before(F.lit(1)) + F.lit(model.unknown), F.lit(1), F.lit(-1))
-        return F.concat(done, F.array(F.array_max(F.concat(ending, F.array(unknown)))))
+    def merge(s: Column, _: Column) -> Column:
+        # Boundaries only vanish: substrings without their ends, or merged already, are done with.
+        alive = F.filter(s["left"], lambda e: ends(s["m"], e) & (inner(s["m"], e) != 0))
+        best = lambda left: F.get(F.filter(left, lambda e: F.bit_count(inner(s["m"], e)) == 1), 0)["within"]
+        step = bind(alive, lambda left: bind(best(left), lambda w: F.when(w.isNotNull(), state(s["m"].bitwiseAND(F.bitwise_not(w)), left))
+                                             .otherwise(state(s["m"], F.slice(left, 1, 0)))))
+        return F.when(F.size(s["left"]) > 0, step).otherwise(s)
 
-    positions = F.sequence(F.lit(1), F.length(unit))
-    start = lambda: F.struct(F.length(unit).alias("p"), F.array().cast("array<int>").alias("ids"))
+    def ids(m: Column) -> Column:
+        known = F.transform(F.filter(edges, lambda e: (e["id"] >= 0) & ends(m, e) & (inner(m, e) == 0)),
+                            lambda e: F.struct(e["start"].alias("start"), F.array(e["id"]).alias("ids")))
 
-    def back(done: Column) -> Column:
-        def take(s: Column, _: Column) -> Column:
-            here = F.get(done, s["p"] - 1)
-            own = F.when(here["id"] >= 0, F.array(here["id"])).otherwise(
-                _byte_ids(F.ascii(F.substring(unit, s["p"], F.lit(1))), model.first_byte))
-            return F.when(s["p"] > 0, F.struct((s["p"] - here["size"]).alias("p"), F.concat(own, s["ids"]).alias("ids"))).otherwise(s)
+        def with_unknown(found: Column) -> Column:
+            at = F.filter(F.sequence(F.lit(0), F.length(unit) - 1), lambda p: (F.getbit(m, p) == 1) & ~F.exists(found, lambda e: e["start"] == p))
+            other = F.transform(at, lambda p: F.struct(p.alias("start"), _byte_ids(
+                F.ascii(F.substring(unit, p + 1, F.lit(1))), model.first_byte).alias("ids")))
+            return F.when(F.size(found) == F.bit_count(m) - 1, found).otherwise(F.concat(found, other))
 
-        return F.aggregate(positions, start(), take, lambda s: s["ids"])
+        return F.flatten(F.transform(F.array_sort(bind(known, with_unknown)), lambda e: e["ids"]))
 
-    return bind(F.aggregate(positions, none, best), back)
+    every = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(unit) + 1) - 1
+    by_rank = lambda e: F.filter(F.array_sort(e), lambda x: x["within"] > 0)
+    done = F.aggregate(F.sequence(F.lit(1), F.length(unit)), state(every, by_rank(edges)), merge, lambda s: s["m"])
+    return bind(done, ids)
 
 
 def best_path(unit: str, model: Pieces) -> list[int]:
-    """Ids of the best path through one unit, in time linear in its length."""
-    best: list[tuple[float, int, int]] = [(0.0, 0, -1)]  # score, size of the last piece, its id
-    for p in range(1, len(unit) + 1):
-        ways = [(best[p - 1][0] + model.unknown, 1, -1)]
-        for size in range(1, min(model.longest, p) + 1):
-            found = model.by_text.get(unit[p - size:p])
+    """Ids of one unit: the adjacent pair with the best score is merged until none is left."""
+    stop = list(range(1, len(unit) + 1))  # end of the symbol that starts here, 0 if none does
+    before = list(range(-1, len(unit)))  # start of the symbol in front
+    waiting: list[tuple[float, int, int, int]] = []
+
+    def offer(a: int, b: int) -> None:
+        """The symbols that start at a and b, if they are there and make a piece."""
+        if a >= 0 and b < len(unit) and stop[b] - a <= model.longest:
+            found = model.by_text.get(unit[a:stop[b]])
             if found:
-                ways.append((best[p - size][0] + found[0], size, found[1]))
-        best.append(max(ways))
-    p, out = len(unit), []
-    while p:
-        _, size, i = best[p]
-        out.append([i] if i >= 0 else [model.first_byte + b for b in unit[p - 1].encode()])
-        p -= size
-    return [i for ids in reversed(out) for i in ids]
+                heapq.heappush(waiting, (-found[0], a, b, stop[b]))
+
+    for k in range(1, len(unit)):
+        offer(k - 1, k)
+    while waiting:
+        _, a, b, end = heapq.heappop(waiting)
+        if stop[a] == b and stop[b] == end:
+            stop[a], stop[b], before[end] = end, 0, a
+            offer(before[a], a)
+            offer(a, end)
+    out: list[int] = []
+    at = 0
+    while at < len(unit):
+        found = model.by_text.get(unit[at:stop[at]])
+        out += [found[1]] if found else [model.first_byte + b for b in unit[at].encode()]
+        at = stop[at]
+    return out
 
 
 def _long_units(model_path: str):
@@ -213,18 +235,21 @@ def dictionary(docs: DataFrame, model_path: str, text_col: str = "text") -> Data
     spark, model = docs.sparkSession, pieces(model_path)
     counted = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_counting(model_path), "unit string, n long")
                .groupBy("unit").agg(F.sum("n").alias("n")))
-    # The empty piece keeps units without any matching substring; it stops at 0, before all positions.
-    rows = [(model.text[i], i, model.score[i]) for i in model.usable] + [("", -1, 0.0)]
-    known = F.broadcast(spark.createDataFrame(rows, "piece string, id int, score double"))
+    # The empty piece keeps units without any matching substring; nothing is within it.
+    rows = [(model.text[i], i, -model.score[i]) for i in model.usable] + [("", -1, 0.0)]
+    known = F.broadcast(spark.createDataFrame(rows, "piece string, id int, rank double"))
     spans = F.flatten(F.transform(F.sequence(F.lit(0), F.length("unit") - 1), lambda a: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(model.longest), F.length("unit") - a)),
-        lambda n: F.struct((a + n).alias("stop"), n.alias("size"), F.substring("unit", a + 1, n).alias("piece")))))
-    empty = F.array(F.struct(F.lit(0).alias("stop"), F.lit(0).alias("size"), F.lit("").alias("piece")))
+        lambda n: F.struct(a.alias("start"), n.alias("size"), F.substring("unit", a + 1, n).alias("piece")))))
+    empty = F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("size"), F.lit("").alias("piece")))
     short = F.length("unit") <= LONG_UNIT
     edges = counted.select("unit", "n", F.explode(F.when(short, F.concat(spans, empty)).otherwise(empty)).alias("s")).select(
-        "unit", "n", "s.stop", "s.size", "s.piece").join(known, "piece")
-    listed = F.collect_list(F.struct("stop", "size", "score", "id")).alias("edges")
-    folded = F.when(short, _viterbi(F.col("unit"), F.col("edges"), model))
+        "unit", "n", "s.start", "s.size", "s.piece").join(known, "piece")
+    bit = lambda at: f"shiftleft(1L, {at})"
+    around = F.expr(f"{bit('start')} | {bit('start + size')}").alias("around")
+    within = F.expr(f"{bit('start + size')} - {bit('start + 1')}").alias("within")
+    listed = F.collect_list(F.struct("rank", "start", around, within, "id")).alias("edges")
+    folded = F.when(short, _merged(F.col("unit"), F.col("edges"), model))
     made = keep(edges.groupBy("unit", "n").agg(listed).select("unit", "n", folded.alias("ids")), "lattice-dictionary")
     rest = made.where("ids IS NULL").select("unit", "n").mapInArrow(_long_units(model_path), "unit string, n long, ids array<int>")
     return made.where("ids IS NOT NULL").unionByName(rest)
