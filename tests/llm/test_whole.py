@@ -1,11 +1,13 @@
 """Results held against what other programs or plain readings of the inputs give."""
 
+import hashlib
+import json
 import zlib
 
 import numpy as np
 import pytest
 
-from vaultsmith.llm import catalog, lattice
+from vaultsmith.llm import catalog, chat, lattice
 from vaultsmith.llm._tokens import tokenizer_path
 
 from ..conftest import SF_SMALL
@@ -37,3 +39,30 @@ def test_merges_take_the_best_pair_first(spark, sentencepiece, max_units):
     for r in lattice.encode(df, PIECE, max_units=max_units).collect():
         text = texts[r["doc_id"]] or ""
         assert np.frombuffer(r["ids"], "<u4").tolist() == sentencepiece.encode(text), text
+
+
+# ------------------------------------------------------------- op 1
+def test_turns_without_any_number_stay(spark):
+    rows = [(1, None, "user", "b"), (1, None, "assistant", "a"), (2, None, None, None), (3, None, "user", "x"), (3, 0, "user", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chats = chat.canonical_turns(chat.conversation_records(df)).select("conv_id", "chat.layout", "chat.turns")
+    made = {r["conv_id"]: r for r in chat.read_back(chat.format_chat(chats)).collect()}
+    assert {r["layout"] for r in made.values()} == {"turn rows"}
+    assert chat.parse(made[1]["formatted"]) == [("assistant", "a"), ("user", "b")]
+    assert made[1]["back"]["loss_sha256"] == hashlib.sha256(b"a").hexdigest()
+    assert chat.parse(made[2]["formatted"]) == [("", "")]
+    assert chat.parse(made[3]["formatted"]) == [("user", "x"), ("user", "y")]
+
+
+@pytest.mark.parametrize("record,layout,turns", [
+    ({"prompt": "hi", "response": None}, "prompt/response", [("user", "hi"), ("assistant", "")]),
+    ({"prompt": None, "completion": "yo", "response": None}, "prompt/completion", [("user", ""), ("assistant", "yo")]),
+    ({"question": "hi", "answer": None, "context": None}, "question/answer", [("user", "hi"), ("assistant", "")]),
+    ({"messages": [{"role": "user", "content": None}, {"role": "assistant", "content": None}]}, "messages", [("user", ""), ("assistant", "")]),
+    ({"conversations": [{"from": None, "value": "hi"}], "system": None}, "from/value", [("", "hi")]),
+    ({"turns": [{"turn": None, "role": "user", "text": None}]}, "turn rows", [("user", "")]),
+    ({"prompt": "hi", "response": "yo", "messages": None, "completion": None}, "prompt/response", [("user", "hi"), ("assistant", "yo")]),
+    ({"prompt": "only", "system": None}, None, []),
+])
+def test_null_fields_are_empty_texts(record, layout, turns):
+    assert chat.turns_of(json.dumps(record))[1:] == (layout, turns)

@@ -12,7 +12,8 @@ backslash after their first character, and backslashes are doubled, so the outpu
 back to exactly the same turns. The loss mask lists the spans (start, length in code
 points of the output) of the assistant texts.
 
-Defined results: null text or role is empty; turns are in order of their turn number,
+Defined results: null text or role is empty (a null field counts as absent where a layout
+fits without it, else as a field without text); turns are in order of their turn number,
 nulls first, ties by role and text (repeated rows are repeated turns); a null conv_id is
 one conversation (a conversation is one output row, so its turns meet in one task); a
 record of no known layout has layout null and no turns; fields and
@@ -70,7 +71,7 @@ class Layout:
 
 
 LAYOUTS = [
-    Layout("turn rows", lists=(("turns", "role", "text", "turn"),)),
+    Layout("turn rows", lists=(("turns", "role", "text", "turn"),), optional=("turns[].turn",)),
     Layout("messages", fields=(("system", "system"),), lists=(("messages", "role", "content", None),), optional=("system",)),
     Layout("from/value", fields=(("system", "system"),), lists=(("conversations", "from", "value", None),), optional=("system",)),
     Layout("instruction", fields=(("system", "system"), ("instruction", "user"), ("input", "user"), ("output", "assistant")),
@@ -104,6 +105,29 @@ def field_paths(value, path: str = "") -> set[str]:
     return {path}
 
 
+def null_paths(value, path: str = "") -> set[str]:
+    """Paths of the fields that are there with a null value."""
+    if isinstance(value, dict):
+        return set().union(*[null_paths(v, f"{path}.{k}" if path else k) for k, v in value.items()])
+    if isinstance(value, list):
+        return set().union(*[null_paths(v, f"{path}[]") for v in value])
+    return {path} if value is None else set()
+
+
+def layout_of(data: dict) -> tuple[str, Layout | None]:
+    """Fingerprint and layout of a record; null fields count where only they complete a layout."""
+    found = field_paths(data) & KNOWN
+    mark = fingerprint(found)
+    if mark in REGISTRY:
+        return mark, REGISTRY[mark]
+    nulls = null_paths(data)
+    for layout in LAYOUTS:
+        filled = fingerprint(found | (nulls & layout.paths()))
+        if REGISTRY.get(filled) is layout:
+            return filled, layout
+    return mark, None
+
+
 def turns_of(record: str | None) -> tuple[str | None, str | None, list[tuple[str, str]]]:
     """(fingerprint, layout name, canonical turns) of a JSON record."""
     try:
@@ -112,15 +136,16 @@ def turns_of(record: str | None) -> tuple[str | None, str | None, list[tuple[str
         return None, None, []
     if not isinstance(data, dict):
         return None, None, []
-    mark = fingerprint(field_paths(data) & KNOWN)
-    layout = REGISTRY.get(mark)
+    mark, layout = layout_of(data)
     if layout is None:
         return mark, None, []
     out: list[tuple[str, str]] = []
     for path, role in layout.fields:
         text = data.get(path)
         if text is None:
-            continue
+            if path in layout.optional:
+                continue
+            text = ""
         if out and out[-1][0] == role:
             out[-1] = (role, f"{out[-1][1]}\n\n{text}")
         else:
