@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from vaultsmith.llm import catalog, chat, lattice
+from vaultsmith.llm import catalog, chat, lattice, quality
 from vaultsmith.llm._tokens import tokenizer_path
 
 from ..conftest import SF_SMALL
@@ -66,3 +66,20 @@ def test_turns_without_any_number_stay(spark):
 ])
 def test_null_fields_are_empty_texts(record, layout, turns):
     assert chat.turns_of(json.dumps(record))[1:] == (layout, turns)
+
+
+# ------------------------------------------------------------- op 9
+def test_small_groups_take_wider_fences(spark):
+    clean = "the quick brown fox jumps over a lazy dog near some river bank today and then it sleeps"
+    junk = clean.replace(" ", " ## ")
+    rows = [(i, f"{clean} n{i}", "en", "big") for i in range(60)]
+    rows += [(100, junk, "en", "host a"), (101, clean, "en", "host b"), (102, junk, "en", None), (103, clean, "en", None)]
+    rows += [(200, junk, "xx", "rare"), (201, clean, "xx", "rare"), (202, junk, None, None), (203, clean, None, None)]
+    rows += [(300 + i, f"{junk} n{i}", "en", "code") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality_rules(docs.where("doc_id < 300")).collect()}
+    assert len(kept) == 68 and {i for i, k in kept.items() if not k} == {100, 102, 200, 202}
+    own = {r["doc_id"]: r["kept"] for r in quality.quality_rules(docs.where("doc_id < 300"), min_docs=0).collect()}
+    assert all(own.values())
+    # A group of its own size keeps its own fences.
+    assert all(r["kept"] for r in quality.quality_rules(docs).where("doc_id >= 300").collect())

@@ -7,6 +7,12 @@ the result does not depend on partitioning. A measure's fence is its upper quart
 plus ``reach`` interquartile ranges (and likewise below); documents are then joined
 with the fences of their group and judged.
 
+In a group of a few documents the upper quartile is the largest of its own values, so no
+fence rejects anything. ``quality_rules`` takes the fences of groups with fewer than
+``MIN_DOCS`` documents from the merged sketch of the language, or of all documents where
+that has too few as well. The registered query and the pipeline do without
+(``min_docs=0``): the query's SQL takes every group's own fences, whatever its size.
+
 Defined results: null or empty text has no words and fails the base rules; a null
 language or source is a group of its own; repeated rows are judged one by one; other
 columns of the input are carried along untouched (own ones named quality, base_failed or
@@ -28,6 +34,8 @@ WINDOW_WORDS = 5
 SKETCH_BITS = 6
 #: Fences are broadcast up to this many groups; beyond, the join is shuffled.
 MAX_BROADCAST_GROUPS = 100_000
+#: Documents (with words) from which on a group's own quartiles are used.
+MIN_DOCS = 32
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -164,6 +172,38 @@ def fences(sketched: DataFrame, group_cols: list[str], reach: int = 3) -> DataFr
         *group_cols, F.array(*[F.col("by_name")[m.name] for m in MEASURES]).alias("fences"))
 
 
+def pooled_fences(sketched: DataFrame, group_cols: list[str], reach: int = 3, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``fences``, for groups of fewer than ``min_docs`` documents from the next wider group.
+
+    Wider groups leave out the last group column, then the one before, up to all documents;
+    their sketches are sums of the same bucket counts. Only fences are joined, one row a group.
+    """
+    def level(cols: list[str]) -> DataFrame:
+        own = merge(sketched.select(*cols, "measure", "bucket", "n"))
+        size = F.sum(F.when(F.col("measure") == MEASURES[0].name, F.col("n")))
+        named = [F.col(c).alias(f"_{len(cols)}_{c}") for c in cols]
+        right = own.groupBy(*cols).agg(size.alias(f"_size_{len(cols)}"))
+        fenced = fences(own, cols, reach).select(*named, F.col("fences").alias(f"_fences_{len(cols)}"))
+        return _null_safe(fenced, right, [f"_{len(cols)}_{c}" for c in cols], cols).drop(*cols)
+
+    n = len(group_cols)
+    found = level(group_cols).select(*[F.col(f"_{n}_{c}").alias(c) for c in group_cols], f"_size_{n}", f"_fences_{n}")
+    for k in range(n - 1, -1, -1):
+        wider = group_cols[:k]
+        found = _null_safe(found, bounded_broadcast(level(wider), MAX_BROADCAST_GROUPS), wider, [f"_{k}_{c}" for c in wider])
+    chosen = F.coalesce(*[F.when(F.col(f"_size_{k}") >= min_docs, F.col(f"_fences_{k}")) for k in range(n, 0, -1)], F.col("_fences_0"))
+    return found.select(*group_cols, chosen.alias("fences"))
+
+
+def _null_safe(left: DataFrame, right: DataFrame, left_cols: list[str], right_cols: list[str]) -> DataFrame:
+    """Inner join on equal columns, nulls being equal (all rows by all rows without columns)."""
+    on = None
+    for a, b in zip(left_cols, right_cols):
+        same = left[a].eqNullSafe(right[b])
+        on = same if on is None else on & same
+    return left.crossJoin(right) if on is None else left.join(right, on)
+
+
 def judge(measured: DataFrame, fenced: DataFrame, group_cols: list[str]) -> DataFrame:
     """``measured`` joined with its group's fences: adds base_failed and kept."""
     right = fenced.select(*[F.col(c).alias(f"_fence_{c}") for c in group_cols], F.col("fences").alias("_fences"))
@@ -181,7 +221,8 @@ def judge(measured: DataFrame, fenced: DataFrame, group_cols: list[str]) -> Data
             .drop("_fences", *[f"_fence_{c}" for c in group_cols]))
 
 
-def quality_rules(docs: DataFrame, group_cols: tuple[str, ...] = ("lang", "source"), reach: int = 3) -> DataFrame:
+def quality_rules(docs: DataFrame, group_cols: tuple[str, ...] = ("lang", "source"), reach: int = 3,
+                  min_docs: int = MIN_DOCS) -> DataFrame:
     """Every row of ``docs`` with columns quality, base_failed, kept.
 
     Two passes over the texts and no shuffle of them: the first makes the sketches, the
@@ -189,7 +230,11 @@ def quality_rules(docs: DataFrame, group_cols: tuple[str, ...] = ("lang", "sourc
     """
     group = list(group_cols)
     measured = measure(docs)
-    fenced = keep(fences(sketch(measured, group), group, reach), "quality-fences")
+    if min_docs > 0:
+        sketched = keep(sketch(measured, group), "quality-sketches")
+        fenced = keep(pooled_fences(sketched, group, reach, min_docs), "quality-fences")
+    else:
+        fenced = keep(fences(sketch(measured, group), group, reach), "quality-fences")
     return judge(measured, fenced, group)
 
 
