@@ -36,10 +36,22 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five words, similarity 0.8 or more)."""
-    judged = near_duplicates(docs)
-    dropped = keep(judged.where(~F.col("kept")).select("doc_id").distinct(), "pipeline-dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """One row of each group of near-duplicates (five words, similarity 0.8 or more): that of the smallest doc_id.
+
+    Rows are told apart by a number of their own, so a doc_id may occur with several texts and
+    rows may repeat. Rows without a doc_id take no part and stay.
+    """
+    at = "row"
+    while at in [c.lower() for c in docs.columns]:
+        at += "_"
+    # Written before it is read several times: the numbers must not change between the reads.
+    rows = keep(docs.withColumn(at, F.monotonically_increasing_id()), "pipeline-rows")
+    named = rows.where("doc_id IS NOT NULL")
+    judged = near_duplicates(named, id_col=at).select(F.col("doc_id").alias(at), "component_id")
+    judged = keep(judged.join(named.select(at, "doc_id"), at), "pipeline-judged")
+    first = judged.groupBy("component_id").agg(F.min(F.struct("doc_id", at)).alias("x")).select(F.col(f"x.{at}").alias(at))
+    dropped = keep(judged.select(at).join(first, at, "left_anti"), "pipeline-dropped")
+    return rows.join(dropped, at, "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from vaultsmith.llm import catalog, chat, lattice, quality
 from vaultsmith.llm._tokens import tokenizer_path
 
@@ -83,3 +84,13 @@ def test_small_groups_take_wider_fences(spark):
     assert all(own.values())
     # A group of its own size keeps its own fences.
     assert all(r["kept"] for r in quality.quality_rules(docs).where("doc_id >= 300").collect())
+
+
+# ------------------------------------------------------------- pipeline
+def test_near_duplicates_leave_by_row(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(5, a, "en"), (5, b, "en"), (3, b, "en"), (7, c, "en"), (7, c, "en"), (8, f"{c} more", "en"), (None, a, "en"), (9, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Row string").repartition(3)
+    left = corpus_pipeline.near_duplicate_stage(spark, docs, SF_SMALL)
+    assert left.columns == docs.columns
+    assert sorted(map(str, left.collect())) == sorted(map(str, spark.createDataFrame([rows[k] for k in (0, 2, 3, 6, 7)], docs.schema).collect()))

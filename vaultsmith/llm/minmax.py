@@ -22,9 +22,9 @@ first round) at most about 2e-9 at 0.85 and 3e-6 at 0.8.
 
 Defined results: null text, empty text and text without words have an empty shingle set,
 link with nothing and are their own component; fewer words than a shingle: the whole
-sequence is one shingle. A row with a null id takes no part (component null, kept). Rows
-repeated under one id share its component and are all kept or dropped with it. Other
-columns of the input are not read. An empty table gives an empty result.
+sequence is one shingle. A row with a null id takes no part (component null, kept). Ids
+should be unique: different texts under one id are taken as linked, and rows repeated
+under one id are all kept or dropped with it. Other columns of the input are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
