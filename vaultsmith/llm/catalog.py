@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ans, chat, lattice, minmax, packing, phrases, quality, topk, toxicity, urlrules, warc
+from . import ans, chat, lattice, manifest, minmax, packing, parttrie, phrases, quality, topk, toxicity, urlrules, warc
 
-MODULES = [chat, packing, warc, ans, urlrules, topk, lattice, toxicity, quality, minmax, phrases]
+MODULES = [chat, packing, warc, ans, urlrules, topk, lattice, toxicity, quality, minmax, phrases, parttrie, manifest]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
