@@ -23,7 +23,7 @@ def documents():
 
 def test_one_query_per_operator():
     names = sorted(catalog.queries(), key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(E.queries())
 
 
