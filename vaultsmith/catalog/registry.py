@@ -33,6 +33,7 @@ def _load_all() -> None:
         hot_key_queries,
         hub_queries,
         link_queries,
+        many_source_queries,
         roundtrip_queries,
         sat_queries,
     )

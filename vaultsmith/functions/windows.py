@@ -3,9 +3,8 @@
 * ``latest_rows`` keeps the rows with the newest times of each key. Both of
   its aggregates combine map-side, so repeated rows of a hot key collapse
   before the shuffle; there is no window over a key's rows.
-* ``set_positions`` numbers the distinct values of a key (a dense rank) in
-  two levels: per (key, value prefix) bucket, then a running offset over the
-  at most 16**prefix_len buckets of a key. A hot key is split across buckets.
+* ``with_set_positions`` numbers the distinct values of a key (a dense rank) by
+  ranges, of which a key has as many as its number of values needs.
 """
 
 from __future__ import annotations
@@ -34,39 +33,23 @@ def latest_rows(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
             .select(*keys, *values))
 
 
-def set_positions(pairs: DataFrame, key: str, value: str, prefix_len: int = 2,
-                  only: DataFrame | None = None) -> DataFrame:
-    """Dense rank of ``value`` within ``key`` plus the distinct count per key.
+def with_set_positions(rows: DataFrame, keys: list[str], value: str, count: str, in_range: int = 1 << 14) -> DataFrame:
+    """``rows`` with ``dv_subseq``, the dense rank of ``value`` within ``keys``, in place of column
+    ``count``, the number of distinct values of the keys.
 
-    A key is split into 16**prefix_len buckets: choose it so that the hottest
-    key's values fit that many tasks. With ``only``, keys outside of it are
-    left out; they are matched with the bucket counts, of which a key has few.
-    ``pairs`` must hold distinct (key, value) rows with a non-NULL ``value``
-    whose leading characters spread evenly (a hex digest does). Returns
-    (key, value, dv_subseq int, dvcount int).
+    ``value`` must be a hex digest, so equal prefixes cut its values into even ranges. A
+    key with more than ``in_range`` values is cut by as many digits as its count needs, at
+    most ``in_range`` expected in a range; ranges are ranked apart, and a range's offset is the sum of the
+    ranges before it. Other keys are one range with offset 0. So no task ranks much more than
+    ``in_range`` values of a key.
     """
-    bucket = F.substring(F.col(value), 1, prefix_len)
-    pb = pairs.select(key, value, bucket.alias("_bkt"))
-    in_bucket = Window.partitionBy(key, "_bkt").orderBy(value)
-    ranked = pb.withColumn("_pos", F.row_number().over(in_bucket))
-    # The largest position in a bucket is its size; the ranked rows are
-    # already partitioned by (key, bucket), so this needs no exchange.
-    counts = ranked.groupBy(key, "_bkt").agg(F.max("_pos").alias("_n"))
-    # Same partitioning and order for both sums: one Window operator, one exchange.
-    by_key = Window.partitionBy(key).orderBy("_bkt")
-    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = counts.select(
-        key,
-        "_bkt",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-        F.sum("_n").over(whole).alias("_cnt"),
-    )
-    if only is not None:
-        offsets = offsets.join(only.select(key), key, "left_semi")
-    return ranked.join(offsets, [key, "_bkt"]).select(
-        key,
-        value,
-        (F.col("_off") + F.col("_pos")).cast("int").alias("dv_subseq"),
-        F.col("_cnt").cast("int").alias("dvcount"),
-    )
+    digits = F.when(F.col(count) > in_range, F.ceil(F.log(16.0, F.col(count) / in_range))).otherwise(0).cast("int")
+    ranged = rows.withColumn("_digits", digits).withColumn("_range", F.expr(f"substring({value}, 1, _digits)"))
+    ranked = ranged.withColumn("_pos", F.dense_rank().over(Window.partitionBy(*keys, "_range").orderBy(value)))
+    # The largest rank of a range is its number of values; only keys of several ranges have offsets.
+    sizes = ranked.where("_digits > 0").groupBy(*keys, "_range").agg(F.max("_pos").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return ranked.join(offsets, [*keys, "_range"], "left").withColumn(
+        "dv_subseq", (F.coalesce("_off", F.lit(0)) + F.col("_pos")).cast("int")
+    ).drop("_digits", "_range", "_pos", "_off", count)

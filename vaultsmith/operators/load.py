@@ -10,30 +10,35 @@ Physical shape (checked with ``explain``):
 * existence checks are ``left_anti`` / ``left_semi`` joins; AQE broadcasts the
   small side when its measured size is under the threshold and otherwise
   keeps a shuffled join whose skewed partitions it splits;
+* a target of some size is first cut down to the staged keys (``functions.prune``);
 * several sources of one target are merged with one partial/final aggregate
   on the key (``first_source_wins``), never a window over a hot key;
-* "latest version" is two aggregates that combine map-side, no window;
-* whether a multi-active set changed is three aggregates over a flagged union
-  of staged and current rows, no join on the hash key;
-* multi-active set numbering is a two-level (bucketed) dense rank.
+* child-key and multi-active loads compare all sources with the target at once:
+  aggregates over a flagged union of staged and target rows, combined map-side,
+  give one row per key; only that row is joined back, with heavy keys
+  spread (``functions.heavy``); no step is repeated per source;
+* multi-active sets are numbered in ranges, as many as a key's size needs.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.heavy import join_one_per_key
 from ..functions.meta import HASHDIFF, SUBSEQ, load_meta
-from ..functions.windows import latest_rows, set_positions, time_order
+from ..functions.prune import pruned
+from ..functions.windows import time_order, with_set_positions
 from ..run import Run
 from ..spec import Hub, Link, Sat
 
 _ORD = "_src_ord"
 _FIRST = "_first_ord"
-#: A multi-active key's hashdiffs are numbered in 16**SET_PREFIX buckets, so as many tasks share a hot key.
-SET_PREFIX = 2
+#: Sources of a child-key or multi-active satellite that one plan loads: a key's counts are at most 2**16.
+SOURCES_AT_ONCE = 16
+_TIME = "struct<no_appts: boolean, appts: timestamp_ntz, no_loadts: boolean, loadts: timestamp_ntz>"
 
 
 def _as_list(stages) -> list[DataFrame]:
@@ -146,15 +151,87 @@ def sat_delta_regular(stages, target: DataFrame | None, sat: Sat, run: Run) -> D
     return rows.select(*cols, *load_meta(run, run.load_task(sat.name)))
 
 
-def _ckey_one(stage: DataFrame, target: DataFrame | None, sat: Sat, run: Run) -> DataFrame:
-    cks = list(sat.cks.values())
-    cols = [sat.hk, *cks, *sat.attrs, HASHDIFF]
-    rows = _distinct_staged(stage, cols)
-    if target is not None:
-        current = latest_rows(target, [sat.hk, *cks], [HASHDIFF])
-        # Plain equality: a NULL child key never matches, so such rows load again.
-        rows = rows.join(current, [sat.hk, *cks, HASHDIFF], "left_anti")
-    return rows.select(*cols, *load_meta(run, run.load_task(sat.name)))
+def _now(run: Run) -> Column:
+    """The time, as ``time_order`` makes it, of all rows that a run loads."""
+    return F.struct(F.lit(False).alias("no_appts"), run.applied_ts_col().alias("appts"),
+                    F.lit(False).alias("no_loadts"), run.load_ts_col().alias("loadts"))
+
+
+def _of_run(stage: DataFrame, run: Run, *times: str) -> DataFrame:
+    """``stage``, failing on rows that another run staged: the loads of several sources count on one time."""
+    want = {"dv_appts": run.applied_ts_col(), "dv_loadts": run.load_ts_col()}
+    for t in times:
+        stage = stage.withColumn(t, F.when(F.col(t).eqNullSafe(want[t]), F.col(t)).otherwise(
+            F.raise_error(F.lit(f"{t} differs from the run's: stage and load the sources of a target in one run"))))
+    return stage
+
+
+def _in_groups(stages: list[DataFrame], target: DataFrame | None, compare: list[str], load) -> DataFrame:
+    """``load(stages, target)`` over at most SOURCES_AT_ONCE sources at a time, each group seeing the ones before."""
+    outs, seen = [], target
+    for i in range(0, len(stages), SOURCES_AT_ONCE):
+        d = load(stages[i:i + SOURCES_AT_ONCE], seen)
+        outs.append(d)
+        seen = d.select(*compare) if seen is None else seen.select(*compare).unionByName(d.select(*compare))
+    return union_all(outs)
+
+
+def _bit(ordinal: Column | int) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(ordinal) if isinstance(ordinal, int) else ordinal)
+
+
+def _tagged(stages: list[DataFrame]) -> DataFrame:
+    return union_all([s.withColumn(_ORD, F.lit(i)) for i, s in enumerate(stages)])
+
+
+def _lowest(mask: Column) -> Column:
+    return mask.bitwiseAND(-mask)
+
+
+def _not_loaded(staged: DataFrame, target: DataFrame, keys: list[str], n: int, run: Run) -> DataFrame:
+    """(keys, hashdiff, mask of sources) of the staged values that their sources do not load.
+
+    Staged and target rows meet in one flagged union. Per (key, hashdiff): which
+    sources have it, and at which newest time the target has it. Per key: the target's
+    newest time, and for every source the oldest time among its hashdiffs; the
+    source brings something new if that is older. A value is current if its newest
+    time is the key's. What the sources load one after another follows in closed form,
+    as all of it gets the run's time:
+
+    * the target's newest time is older (or there is none): the first source with a new
+      value loads its values that aren't current, and these alone are current then; of
+      the others, the first later source that has a value loads it;
+    * it is the run's own: the first source that has a value loads it unless it is current;
+    * it is newer: what is current stays, so every source loads what isn't.
+    """
+    time = time_order()
+    fresh = staged.select(*keys, HASHDIFF, _bit(F.col(_ORD)).alias("sources"), F.lit(None).cast(_TIME).alias("at"))
+    known = target.select(*keys, HASHDIFF, F.lit(0).cast("long").alias("sources"), time.cast(_TIME).alias("at"))
+    values = fresh.unionByName(known).groupBy(*keys, HASHDIFF).agg(F.bit_or("sources").alias("sources"), F.max("at").alias("at"))
+
+    own = lambda j: F.col("sources").bitwiseAND(1 << j) != 0
+    aged = F.struct(F.col("at").isNotNull().alias("known"), F.col("at"))
+    oldest = [F.min(F.when(own(j), aged)).alias(f"_oldest{j}") for j in range(n if n > 1 else 0)]
+    per_key = values.groupBy(*keys).agg(F.max("at").alias("newest"), F.bit_or("sources").alias("staged"), *oldest)
+    per_key = per_key.where("staged <> 0")
+    if n > 1:
+        news = [F.when(~F.col(f"_oldest{j}.known") | (F.col(f"_oldest{j}.at") < F.col("newest")), F.lit(j)) for j in range(n)]
+        per_key = per_key.withColumn("first", F.coalesce(*news))
+    per_key = per_key.select(*keys, "newest", *(["first"] if n > 1 else []))
+
+    met = join_one_per_key(values.where("sources <> 0"), per_key, keys, HASHDIFF, staged)
+    sources, nothing = F.col("sources"), F.lit(0).cast("long")
+    is_new = ~F.coalesce(F.col("at") == F.col("newest"), F.lit(False))
+    if n == 1:
+        loads = F.when(is_new, sources).otherwise(nothing)
+    else:
+        now = _now(run).cast(_TIME)
+        first = _bit(F.col("first"))
+        later = _lowest(sources.bitwiseAND(-(first * 2)))  # sources behind the first
+        older = F.when(is_new & (sources.bitwiseAND(first) != 0), first).otherwise(later)
+        loads = (F.when(F.coalesce(F.col("newest") < now, F.lit(True)), F.coalesce(older, nothing))
+                 .when(~is_new, nothing).when(F.col("newest") == now, _lowest(sources)).otherwise(sources))
+    return met.select(*keys, HASHDIFF, sources.bitwiseAND(F.bitwise_not(loads)).alias("_mask")).where("_mask <> 0")
 
 
 def sat_delta_ckey(stages, target: DataFrame | None, sat: Sat, run: Run) -> DataFrame:
@@ -163,56 +240,102 @@ def sat_delta_ckey(stages, target: DataFrame | None, sat: Sat, run: Run) -> Data
     same (hk, child keys).
 
     Sources load one after another: the rows source 1 adds are "latest"
-    when source 2 is compared. All of it is one plan (no job runs
-    while it is built), so the caller can append a target's sources together.
+    when source 2 is compared. The plan is the same for any number of sources (up
+    to SOURCES_AT_ONCE; more are loaded in groups) but for the scans of the sources
+    themselves, see ``_not_loaded``. Rows with a NULL key are never matched, so they
+    always load. Several sources must be staged by the run that loads them.
     """
     stages = _as_list(stages)
-    cks = list(sat.cks.values())
-    compare = [sat.hk, *cks, HASHDIFF, "dv_appts", "dv_loadts"]
-    outs, seen = [], (target.select(*compare) if target is not None else None)
-    for st in stages:
-        d = _ckey_one(st, seen, sat, run)
-        outs.append(d)
-        seen = d.select(*compare) if seen is None else seen.unionByName(d.select(*compare))
-    return union_all(outs)
-
-
-def _multiactive_one(stage: DataFrame, target: DataFrame | None, sat: Sat, run: Run) -> DataFrame:
-    hk = sat.hk
-    staged = stage.select(hk, *sat.attrs, HASHDIFF, "dv_loadts", "dv_appts", "dv_recsrc", "dv_tenant", "dv_bkeycode")
-    if run.strict:
-        staged = staged.distinct()
-    # Staged sets: position of each distinct hashdiff within its key.
-    pairs = staged.select(hk, HASHDIFF).distinct()
-    changed = None if target is None else _changed_sets(pairs, target, hk)
-    picked = set_positions(pairs, hk, HASHDIFF, SET_PREFIX, only=changed)
-    return staged.join(picked, [hk, HASHDIFF]).select(
-        hk, *sat.attrs, HASHDIFF, "dv_loadts", "dv_appts", "dv_recsrc", "dv_tenant", "dv_bkeycode",
-        F.col(SUBSEQ), F.lit(run.load_task(sat.name)).alias("dv_taskid"),
-    )
-
-
-def _changed_sets(pairs: DataFrame, target: DataFrame, hk: str) -> DataFrame:
-    """Staged keys whose set of hashdiffs is not exactly their current set.
-
-    Staged and current rows meet in one flagged union. Per (key, hashdiff): is
-    it staged, and at which newest time was it loaded with which position. Per
-    (key, time): the set's size (its largest position) and how many of its
-    hashdiffs are staged. Per key: the newest such group against the number
-    of staged hashdiffs. A group with a NULL time never equals anything, so
-    its key counts as changed.
+    keys = [sat.hk, *sat.cks.values()]
+    cols = [*keys, *sat.attrs, HASHDIFF]
+
+    def load(group: list[DataFrame], seen: DataFrame | None) -> DataFrame:
+        if len(stages) > 1:
+            group = [_of_run(s, run, "dv_appts") for s in group]
+        # One distinct for all sources: a source's copies collapse map-side.
+        tagged = _tagged(group)
+        rows = tagged.select(*cols, *STAGED_META, _ORD).distinct()
+        if seen is not None or len(group) > 1:
+            if seen is None:
+                seen = group[0].select(*keys, HASHDIFF, "dv_appts", "dv_loadts").where("false")
+            held = _not_loaded(tagged, pruned(seen, group, sat.hk), keys, len(group), run)
+            # Plain equality: a NULL child key never matches, so such rows load again.
+            match = [*keys, HASHDIFF]
+            held = held.select("_mask", *[F.col(k).alias(f"_held_{k}") for k in match])
+            same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_held_{k}") for k in match])
+            rows = rows.join(held, same & (F.col("_mask").bitwiseAND(_bit(F.col(_ORD))) != 0), "left_anti")
+        return rows.select(*cols, *load_meta(run, run.load_task(sat.name)))
+
+    return _in_groups(stages, target, [*keys, HASHDIFF, "dv_appts", "dv_loadts"], load)
+
+
+def _sets_to_load(staged: DataFrame, target: DataFrame, hk: str, n: int, run: Run) -> DataFrame:
+    """(hk, ``_load``: mask of the sources whose whole set loads, ``_sizes``: their number of distinct hashdiffs).
+
+    Staged and target rows meet in one flagged union. Per (key, hashdiff): which
+    sources have it, and at which newest time the target has it in which
+    position. Hashdiffs of a key with the same sources and time are then only
+    counted: a key's counts say for any union of sources how many of a source's hashdiffs
+    lie in it. So the sources are folded in order over these few counts: a source
+    loads unless the current set has its size (the largest position) and holds all of
+    its hashdiffs. The sets that a run loads share the run's time, so they are one
+    current set: their union, of the size of the largest; with the target's newest set if
+    that has the run's time too, and not current at all if the target's is newer. A set
+    with a NULL time never equals anything.
     """
-    at = F.struct(time_order().alias("time"), F.col(SUBSEQ).alias("position"))
-    current = target.select(hk, HASHDIFF, F.lit(0).alias("staged"), at.alias("at"))
-    fresh = pairs.select(hk, HASHDIFF, F.lit(1).alias("staged"), F.lit(None).cast(current.schema["at"].dataType).alias("at"))
-    per_value = current.unionByName(fresh).groupBy(hk, HASHDIFF).agg(F.max("staged").alias("staged"), F.max("at").alias("at"))
-    per_group = per_value.groupBy(hk, F.col("at.time").alias("time")).agg(
-        F.max("at.position").alias("size"), F.sum("staged").alias("staged"))
-    newest = F.max(F.when(F.col("time").isNotNull(), F.struct("time", "size", "staged"))).alias("newest")
-    per_key = per_group.groupBy(hk).agg(F.sum("staged").alias("staged"), newest)
-    same = ((F.col("newest.size") == F.col("staged")) & (F.col("newest.staged") == F.col("staged"))
-            & ~F.col("newest.time.no_appts") & ~F.col("newest.time.no_loadts"))
-    return per_key.where((F.col("staged") > 0) & ~F.coalesce(same, F.lit(False))).select(hk)
+    at = F.struct(time_order().cast(_TIME).alias("time"), F.col(SUBSEQ).alias("position"))
+    known = target.select(hk, HASHDIFF, F.lit(0).cast("long").alias("sources"), at.alias("at"))
+    fresh = staged.select(hk, HASHDIFF, _bit(F.col(_ORD)).alias("sources"), F.lit(None).cast(known.schema["at"].dataType).alias("at"))
+    values = known.unionByName(fresh).groupBy(hk, HASHDIFF).agg(F.bit_or("sources").alias("sources"), F.max("at").alias("at"))
+    now, newest = _now(run).cast(_TIME), F.col("newest.time")
+    comparable = F.coalesce(~newest["no_appts"] & ~newest["no_loadts"], F.lit(False))
+    target_size = F.coalesce("newest.position", F.lit(0)).cast("int")
+    when_known = lambda *c: F.max(F.when(F.col("time").isNotNull(), F.struct("time", "position", *c))).alias("newest")
+    if n == 1:
+        sets = values.groupBy(hk, F.col("at.time").alias("time")).agg(F.max("at.position").alias("position"), F.sum("sources").alias("staged"))
+        per_key = sets.groupBy(hk).agg(F.sum("staged").alias("staged"), when_known("staged")).where("staged > 0")
+        same = comparable & (F.col("newest.staged") == F.col("staged")) & (target_size == F.col("staged"))
+        return per_key.where(~F.coalesce(same, F.lit(False))).select(
+            hk, F.lit(1).cast("long").alias("_load"), F.array("staged").alias("_sizes"))
+
+    counts = values.groupBy(hk, "sources", F.col("at.time").alias("time")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("at.position").alias("position"))
+    is_staged = F.when(F.col("sources") != 0, F.struct("time", "sources", "n"))
+    per_key = counts.groupBy(hk).agg(F.bit_or("sources").alias("staged"), when_known(), F.collect_list(is_staged).alias("parts"))
+    per_key = per_key.where("staged <> 0")
+    # -1, 0, 1: the target's newest set is older than the run (or there is none), as old, newer.
+    age = F.when(newest > now, 1).when(newest == now, 0).otherwise(-1)
+    per_key = per_key.select(
+        hk, target_size.alias("size"), comparable.alias("comparable"), age.alias("age"),
+        F.transform("parts", lambda p: F.struct(p["sources"], p["n"], F.coalesce(p["time"] == newest, F.lit(False)).alias("current"))
+                    ).alias("parts"))
+
+    def count(keeps) -> Column:
+        return F.aggregate("parts", F.lit(0).cast("long"), lambda total, p: total + F.when(keeps(p), p["n"]).otherwise(0))
+
+    has = lambda p, mask: p["sources"].bitwiseAND(mask) != 0
+
+    def step(state, j):
+        bit = _bit(j)
+        on_target = (F.col("age") == 1) | (state["load"] == 0)  # nothing of this run is current yet
+        in_run = lambda p: has(p, state["load"]) | ((F.col("age") == 0) & p["current"])
+        held = count(lambda p: has(p, bit) & F.when(on_target, p["current"]).otherwise(in_run(p)))
+        size = (F.when(on_target, F.col("size")).when(F.col("age") == 0, F.greatest(state["size"], F.col("size")))
+                .otherwise(state["size"]))
+
+        def decide(x):
+            same = (~on_target | F.col("comparable")) & (x["held"] == x["own"]) & (x["size"] == x["own"])
+            loads = (x["own"] > 0) & ~same
+            return F.struct(F.when(loads, state["load"].bitwiseOR(bit)).otherwise(state["load"]).alias("load"),
+                            F.when(loads, F.greatest(state["size"], x["own"].cast("int"))).otherwise(state["size"]).alias("size"))
+
+        seen = F.struct(count(lambda p: has(p, bit)).alias("own"), held.alias("held"), size.alias("size"))
+        return F.transform(F.array(seen), decide)[0]
+
+    start = F.struct(F.lit(0).cast("long").alias("load"), F.lit(0).alias("size"))
+    load = F.aggregate(F.array(*[F.lit(j) for j in range(n)]), start, step, lambda s: s["load"])
+    sizes = F.transform(F.array(*[F.lit(j) for j in range(n)]), lambda j: count(lambda p: has(p, _bit(j))))
+    return per_key.select(hk, load.alias("_load"), sizes.alias("_sizes")).where("_load <> 0")
 
 
 def sat_delta_multiactive(stages, target: DataFrame | None, sat: Sat, run: Run) -> DataFrame:
@@ -222,16 +345,29 @@ def sat_delta_multiactive(stages, target: DataFrame | None, sat: Sat, run: Run)
     staged load time is kept.
 
     Reference semantics keep staged duplicates and load several sources one
-    after another; strict semantics drop duplicates and load the union of
-    the sources at once.
+    after another, in one plan that has the same shape for any number of sources
+    (see ``_sets_to_load``; more than SOURCES_AT_ONCE are loaded in groups); these must be
+    staged by the run that loads them. Strict semantics drop duplicates and load the union
+    of the sources at once.
     """
     stages = _as_list(stages)
     if run.strict and len(stages) > 1:
         stages = [union_all(stages)]
-    compare = [sat.hk, HASHDIFF, "dv_appts", "dv_loadts", SUBSEQ]
-    outs, seen = [], (target.select(*compare) if target is not None else None)
-    for st in stages:
-        d = _multiactive_one(st, seen, sat, run)
-        outs.append(d)
-        seen = d.select(*compare) if seen is None else seen.unionByName(d.select(*compare))
-    return union_all(outs)
+    hk = sat.hk
+    meta = ["dv_loadts", "dv_appts", "dv_recsrc", "dv_tenant", "dv_bkeycode"]
+
+    def load(group: list[DataFrame], seen: DataFrame | None) -> DataFrame:
+        if len(stages) > 1:
+            group = [_of_run(s, run, "dv_appts", "dv_loadts") for s in group]
+        tagged = _tagged([s.select(hk, *sat.attrs, HASHDIFF, *meta) for s in group])
+        rows = tagged.distinct() if run.strict else tagged
+        if seen is None:
+            seen = tagged.select(hk, HASHDIFF, "dv_appts", "dv_loadts", F.lit(None).cast("int").alias(SUBSEQ)).where("false")
+        to_load = _sets_to_load(tagged, pruned(seen, group, hk), hk, len(group), run)
+        picked = join_one_per_key(rows, to_load, [hk], HASHDIFF, tagged)
+        picked = picked.where(F.col("_load").bitwiseAND(_bit(F.col(_ORD))) != 0)
+        picked = picked.withColumn("_n", F.element_at("_sizes", F.col(_ORD) + 1)).drop("_load", "_sizes")
+        placed = with_set_positions(picked, [hk, _ORD], HASHDIFF, "_n")
+        return placed.select(hk, *sat.attrs, HASHDIFF, *meta, F.col(SUBSEQ), F.lit(run.load_task(sat.name)).alias("dv_taskid"))
+
+    return _in_groups(stages, target, [hk, HASHDIFF, "dv_appts", "dv_loadts", SUBSEQ], load)
