@@ -11,7 +11,7 @@ from vaultsmith.catalog.effectivity_queries import effectivity_open_close
 from vaultsmith.catalog.model import (
     H_CUSTOMER, H_ORDER, H_PART, H_SUPPLIER, L_LINEITEM, S_CUSTOMER, S_LINE, S_ORDER_PARTS, table,
 )
-from vaultsmith.functions.windows import set_positions
+from vaultsmith.functions.windows import with_set_positions
 
 from .conftest import SF_SMALL
 
@@ -87,7 +87,7 @@ def test_effectivity_opens_and_closes(spark):
 def test_bucketed_dense_rank_equals_dense_rank(spark, pairs):
     df = spark.createDataFrame(pairs, "k string, v int").select(
         "k", F.md5(F.col("v").cast("string")).alias("h")).distinct()
-    got = set_positions(df, "k", "h", prefix_len=1)
-    want = df.select("k", "h", F.dense_rank().over(Window.partitionBy("k").orderBy("h")).cast("int").alias("dv_subseq"),
-                     F.count("*").over(Window.partitionBy("k")).cast("int").alias("dvcount"))
+    counted = df.withColumn("n", F.count("*").over(Window.partitionBy("k")))
+    got = with_set_positions(counted, ["k"], "h", "n", in_range=3)
+    want = df.select("k", "h", F.dense_rank().over(Window.partitionBy("k").orderBy("h")).cast("int").alias("dv_subseq"))
     assert sorted(got.collect()) == sorted(want.collect())

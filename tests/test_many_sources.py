@@ -8,6 +8,7 @@ import pytest
 
 from vaultsmith import Run, Sat, Source
 from vaultsmith.catalog.many_source_queries import load_sat_ckey_five_sources
+from vaultsmith.functions import prune
 from vaultsmith.operators import load
 from vaultsmith.operators.load import sat_delta
 from vaultsmith.plans.explain import plan_text
@@ -131,16 +132,22 @@ def test_first_load_of_several_sources(spark):
     assert sorted((r["hk"], r["v"], r["dv_subseq"]) for r in got) == sorted(want)
 
 
-def shuffles(df):
-    return len(re.findall(r"Exchange hashpartitioning", plan_text(df, "simple")))
+def shuffles(spark, make):
+    """Hash exchanges that run: planned without AQE, equal ones show as reused."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return len(re.findall(r"[- ] Exchange hashpartitioning", plan_text(make(), "simple")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_exchanges_do_not_grow_with_the_sources(spark):
+def test_exchanges_do_not_grow_with_the_sources(spark, monkeypatch):
+    monkeypatch.setattr(prune, "PRUNE_FROM", 2**63)  # the bitmap has one more of its own
     target, stages = scenarios(6, seed=1, keys=5)
     for sat, multi in ((CKEY, False), (MULTI, True)):
         tgt, st = frames(spark, target, stages, multi)
-        counts = [shuffles(sat_delta(st[:n], tgt, sat, RUN)) for n in range(1, 7)]
-        assert max(counts) <= 10 and len(set(counts[1:])) == 1, counts
+        counts = [shuffles(spark, lambda n=n: sat_delta(st[:n], tgt, sat, RUN)) for n in range(1, 7)]
+        assert max(counts) <= (12 if multi else 10) and max(counts[1:]) == min(counts[1:]), counts
 
 
 def test_sources_of_another_run_are_refused(spark):
@@ -151,4 +158,4 @@ def test_sources_of_another_run_are_refused(spark):
 
 
 def test_five_sources_plan_is_small(spark):
-    assert shuffles(load_sat_ckey_five_sources(spark, SF_SMALL)) <= 16
+    assert shuffles(spark, lambda: load_sat_ckey_five_sources(spark, SF_SMALL)) <= 16

@@ -61,11 +61,6 @@ def test_scans_are_pruned(spark):
     assert all("c_name" not in s for s in schemas[:1])
 
 
-def test_latest_version_is_pre_limited_before_shuffle(spark):
-    text = plan_text(registry.queries()["load_sat_ckey"](spark, SF_SMALL), "simple")
-    assert "WindowGroupLimit" in text and "Partial" in text
-
-
 def test_date_filters_reach_the_scan(spark):
     text = plan_text(registry.queries()["load_link_incremental"](spark, SF_SMALL), "formatted")
     assert "PushedFilters: [IsNotNull(l_shipdate), LessThan(l_shipdate," in text

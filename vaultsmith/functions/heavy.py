@@ -40,6 +40,8 @@ def join_one_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], sprea
     one row goes to all parts. The other keys join as usual. NULL keys meet nothing.
     """
     heavy = F.coalesce(F.array_contains(heavy_hashes(sketched, keys), key_hash(keys)), F.lit(False))
-    dealt = rows.withColumn(_SALT, F.when(heavy, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0))
+    part = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    # Never NULL, and Spark shall see it: else it tests the salt again in every scan.
+    dealt = rows.withColumn(_SALT, F.coalesce(F.when(heavy, part), F.lit(0)))
     every = F.when(heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     return dealt.join(per_key.withColumn(_SALT, F.explode(every)), [*keys, _SALT]).drop(_SALT)

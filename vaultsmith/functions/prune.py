@@ -29,19 +29,19 @@ def key_bitmap(staged: DataFrame, key: str, words: int = WORDS) -> Column:
     word, bit = _word_and_bit(key, words)
     bits = staged.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"))
     every = staged.sparkSession.range(words).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("bits"))
-    dense = bits.groupBy("word").agg(F.bit_or("bits").alias("bits")).unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    dense = bits.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
     whole = dense.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("w"), F.sum(F.bit_count("bits")).alias("n"))
     return whole.select(F.when(F.col("n") * 2 <= words * 64, F.transform("w", lambda x: x["bits"])).alias("words")).scalar()
 
 
 def table_bytes(df: DataFrame) -> int:
-    """The size of the table or files that ``df`` reads, as the optimizer knows it; 0 if ``df`` is more than a
+    """The size of the table or files that ``df`` reads, as the optimizer knows it; -1 if ``df`` is more than a
     selection from one table."""
     plan = df._jdf.queryExecution().optimizedPlan()
     size, node = plan.stats().sizeInBytes(), plan
     while node.children().size() == 1 and node.nodeName() in ("Project", "Filter"):
         node = node.children().head()
-    return int(str(size)) if node.children().size() == 0 else 0
+    return int(str(size)) if node.children().size() == 0 else -1
 
 
 def pruned(target: DataFrame, staged: list[DataFrame], key: str, words: int = WORDS, prune_from: int | None = None) -> DataFrame:

@@ -50,6 +50,8 @@ def with_set_positions(rows: DataFrame, keys: list[str], value: str, count: str,
     sizes = ranked.where("_digits > 0").groupBy(*keys, "_range").agg(F.max("_pos").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # Naming _digits here as well keeps both uses of the ranked rows alike, so they are shuffled once.
+    offset = F.when(F.col("_digits") > 0, F.coalesce("_off", F.lit(0))).otherwise(0)
     return ranked.join(offsets, [*keys, "_range"], "left").withColumn(
-        "dv_subseq", (F.coalesce("_off", F.lit(0)) + F.col("_pos")).cast("int")
+        "dv_subseq", (offset + F.col("_pos")).cast("int")
     ).drop("_digits", "_range", "_pos", "_off", count)

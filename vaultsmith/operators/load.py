@@ -62,6 +62,11 @@ def _distinct_staged(stage: DataFrame, cols: list[str]) -> DataFrame:
     return stage.select(*cols, *STAGED_META).distinct()
 
 
+def _existing(target: DataFrame, stages: list[DataFrame], keys: list[str]) -> DataFrame:
+    """The target's keys that staged rows can meet."""
+    return pruned(target.select(*keys), stages, keys[0])
+
+
 def first_source_wins(stages: list[DataFrame], keys: list[str], target: DataFrame | None = None) -> DataFrame:
     """Rows of the first source (in list order) that has each key, minus keys
     already in ``target``.
@@ -75,11 +80,11 @@ def first_source_wins(stages: list[DataFrame], keys: list[str], target: DataFram
     stages = _as_list(stages)
     if len(stages) == 1:
         rows = stages[0]
-        return rows if target is None else rows.join(target.select(*keys), keys, "left_anti")
+        return rows if target is None else rows.join(_existing(target, stages, keys), keys, "left_anti")
     tagged = union_all([s.withColumn(_ORD, F.lit(i)) for i, s in enumerate(stages)])
     first = tagged.groupBy(*keys).agg(F.min(_ORD).alias(_FIRST))
     if target is not None:
-        first = first.join(target.select(*keys), keys, "left_anti")
+        first = first.join(_existing(target, stages, keys), keys, "left_anti")
     return tagged.join(first, keys).where(F.col(_ORD) == F.col(_FIRST)).drop(_ORD, _FIRST)
 
 
@@ -269,12 +274,19 @@ def sat_delta_ckey(stages, target: DataFrame | None, sat: Sat, run: Run) -> Data
     return _in_groups(stages, target, [*keys, HASHDIFF, "dv_appts", "dv_loadts"], load)
 
 
-def _sets_to_load(staged: DataFrame, target: DataFrame, hk: str, n: int, run: Run) -> DataFrame:
+def _set_values(staged: DataFrame, target: DataFrame, hk: str) -> DataFrame:
+    """Staged and target rows in one flagged union. Per (key, hashdiff): which ``sources`` have
+    it, and ``at`` which newest time the target has it in which position."""
+    at = F.struct(time_order().cast(_TIME).alias("time"), F.col(SUBSEQ).alias("position"))
+    known = target.select(hk, HASHDIFF, F.lit(0).cast("long").alias("sources"), at.alias("at"))
+    fresh = staged.select(hk, HASHDIFF, _bit(F.col(_ORD)).alias("sources"), F.lit(None).cast(known.schema["at"].dataType).alias("at"))
+    return known.unionByName(fresh).groupBy(hk, HASHDIFF).agg(F.bit_or("sources").alias("sources"), F.max("at").alias("at"))
+
+
+def _sets_to_load(values: DataFrame, hk: str, n: int, run: Run) -> DataFrame:
     """(hk, ``_load``: mask of the sources whose whole set loads, ``_sizes``: their number of distinct hashdiffs).
 
-    Staged and target rows meet in one flagged union. Per (key, hashdiff): which
-    sources have it, and at which newest time the target has it in which
-    position. Hashdiffs of a key with the same sources and time are then only
+    ``values`` are those of ``_set_values``. Hashdiffs of a key with the same sources and time are then only
     counted: a key's counts say for any union of sources how many of a source's hashdiffs
     lie in it. So the sources are folded in order over these few counts: a source
     loads unless the current set has its size (the largest position) and holds all of
@@ -283,10 +295,6 @@ def _sets_to_load(staged: DataFrame, target: DataFrame, hk: str, n: int, run: Ru
     that has the run's time too, and not current at all if the target's is newer. A set
     with a NULL time never equals anything.
     """
-    at = F.struct(time_order().cast(_TIME).alias("time"), F.col(SUBSEQ).alias("position"))
-    known = target.select(hk, HASHDIFF, F.lit(0).cast("long").alias("sources"), at.alias("at"))
-    fresh = staged.select(hk, HASHDIFF, _bit(F.col(_ORD)).alias("sources"), F.lit(None).cast(known.schema["at"].dataType).alias("at"))
-    values = known.unionByName(fresh).groupBy(hk, HASHDIFF).agg(F.bit_or("sources").alias("sources"), F.max("at").alias("at"))
     now, newest = _now(run).cast(_TIME), F.col("newest.time")
     comparable = F.coalesce(~newest["no_appts"] & ~newest["no_loadts"], F.lit(False))
     target_size = F.coalesce("newest.position", F.lit(0)).cast("int")
@@ -363,11 +371,14 @@ def sat_delta_multiactive(stages, target: DataFrame | None, sat: Sat, run: Run)
         rows = tagged.distinct() if run.strict else tagged
         if seen is None:
             seen = tagged.select(hk, HASHDIFF, "dv_appts", "dv_loadts", F.lit(None).cast("int").alias(SUBSEQ)).where("false")
-        to_load = _sets_to_load(tagged, pruned(seen, group, hk), hk, len(group), run)
-        picked = join_one_per_key(rows, to_load, [hk], HASHDIFF, tagged)
-        picked = picked.where(F.col("_load").bitwiseAND(_bit(F.col(_ORD))) != 0)
-        picked = picked.withColumn("_n", F.element_at("_sizes", F.col(_ORD) + 1)).drop("_load", "_sizes")
-        placed = with_set_positions(picked, [hk, _ORD], HASHDIFF, "_n")
+        values = _set_values(tagged, pruned(seen, group, hk), hk)
+        to_load = _sets_to_load(values, hk, len(group), run)
+        picked = join_one_per_key(values.where("sources <> 0"), to_load, [hk], HASHDIFF, tagged)
+        # One row per (key, source, hashdiff) that loads; their positions are looked up for the rows.
+        mine = F.array(*[F.when(F.col("sources").bitwiseAND(F.col("_load")).bitwiseAND(1 << j) != 0, F.lit(j)) for j in range(len(group))])
+        picked = picked.select(hk, HASHDIFF, "_sizes", F.explode(F.array_compact(mine)).alias(_ORD))
+        picked = picked.withColumn("_n", F.element_at("_sizes", F.col(_ORD) + 1)).drop("_sizes")
+        placed = rows.join(with_set_positions(picked, [hk, _ORD], HASHDIFF, "_n"), [hk, _ORD, HASHDIFF])
         return placed.select(hk, *sat.attrs, HASHDIFF, *meta, F.col(SUBSEQ), F.lit(run.load_task(sat.name)).alias("dv_taskid"))
 
     return _in_groups(stages, target, [hk, HASHDIFF, "dv_appts", "dv_loadts", SUBSEQ], load)
