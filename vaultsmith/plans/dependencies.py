@@ -36,7 +36,7 @@ def resolve(dep: str, tasks: list[str], strict: bool) -> str | None:
     return None
 
 
-def _bv_graph(model: VaultModel, strict: bool) -> tuple[list[str], dict[str, set[str]]]:
+def _bv_graph(model: VaultModel, strict: bool, reads: dict[str, set[str]] | None = None) -> tuple[list[str], dict[str, set[str]]]:
     tasks = task_names(model)
     names = [e.name for e in model.bv.entities()] + list(model.bv.effs)
     deps_of = {}
@@ -51,15 +51,25 @@ def _bv_graph(model: VaultModel, strict: bool) -> tuple[list[str], dict[str, set
                 before.add(target)
         if hasattr(ent, "link") and ent.link in names:
             before.add(ent.link)
+        undeclared = (reads or {}).get(ent.name, set()) & set(names) - before - {ent.name}
+        if undeclared:
+            text = f"{ent.name} reads {sorted(undeclared)} without declaring a dependency"
+            if strict:
+                raise ValueError(text)
+            warnings.warn(text + "; loaded in that order all the same", stacklevel=3)
+            before |= undeclared
         deps_of[ent.name] = before
     return names, deps_of
 
 
-def bv_levels(model: VaultModel, strict: bool = False) -> list[list[str]]:
+def bv_levels(model: VaultModel, strict: bool = False, reads: dict[str, set[str]] | None = None) -> list[list[str]]:
     """Business-vault entity names in dependency levels: every entity comes
     after all the entities it depends on; entities of one level are
-    independent (model order kept inside a level)."""
-    names, deps_of = _bv_graph(model, strict)
+    independent (model order kept inside a level).
+
+    ``reads`` (see ``dry_run.vault_reads``) adds the tables that an entity's SQL
+    names: one that isn't declared is an error in strict semantics, else a warning."""
+    names, deps_of = _bv_graph(model, strict, reads)
     levels, done = [], set()
     while len(done) < len(names):
         ready = [n for n in names if n not in done and deps_of[n] <= done]

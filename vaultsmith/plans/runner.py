@@ -20,10 +20,11 @@ from ..operators.load import hub_delta, link_delta, sat_delta
 from ..operators.stage import stage
 from ..run import Run
 from ..session import tune
-from ..sinks.tables import append, ensure_schema, ensure_table, table_columns, write_stage
+from ..sinks.tables import append, by_partition, ensure_schema, ensure_table, table_columns, write_batch, write_stage
 from ..sources.tables import SourceResolver, catalog_sources, vault_table, virtual_source
 from ..spec import Effectivity, Hub, Layer, Link, Sat, VaultModel
 from .dependencies import bv_levels
+from .dry_run import check_virtual_sources, vault_reads
 
 log = logging.getLogger(__name__)
 
@@ -56,6 +57,10 @@ class VaultRunner:
     # from this many driver threads at once (1 = one after another).
     parallelism: int = 4
 
+    # New vault tables get a partition per run, and a run replaces its own: a run that died
+    # half-way is simply run again, with the same times, and the tables come out the same.
+    repeatable: bool = False
+
     # Apply the settings the loads rely on (AQE, measured broadcasts) to the session.
     tune_session: bool = True
 
@@ -63,13 +68,15 @@ class VaultRunner:
         self.model.validate()
         if self.tune_session:
             tune(self.spark)
+        if self.repeatable:
+            by_partition(self.spark)
         if self.sources is None:
             self.sources = catalog_sources(self.spark, self.model.source_schema)
 
     # ---------------------------------------------------------------- api
     def run(self, run: Run) -> RunReport:
         report = RunReport()
-        self.check_sources(run)
+        levels = self.check_sources(run)
         ensure_schema(self.spark, self.model.vault_schema)
         if self.materialize_stage:
             ensure_schema(self.spark, self.model.stage_schema)
@@ -79,18 +86,20 @@ class VaultRunner:
         self._wave([*rv.entities(), *rv.effs.values()], rv, run, False, report)
         # Business vault: dependency levels, each level one wave.
         by_name = {e.name: e for e in [*bv.entities(), *bv.effs.values()]}
-        for level in bv_levels(self.model, run.strict):
+        for level in levels:
             self._wave([by_name[n] for n in level], bv, run, True, report)
         return report
 
-    def check_sources(self, run: Run) -> None:
-        """Resolve every raw-vault source and build its stage plan, which checks the
-        mapped columns, before anything is written. (Business-vault sources may
-        read tables that this run loads; they are checked when their turn comes.)"""
+    def check_sources(self, run: Run) -> list[list[str]]:
+        """Resolve every source and build its stage plan, which checks the mapped columns,
+        before anything is written; business-vault texts are analysed against empty relations of the
+        tables this run loads (see ``dry_run``). Returns the order of the business vault."""
         for ent in [*self.model.rv.entities(), *self.model.rv.effs.values()]:
             spec = self.model.rv.links[ent.link] if isinstance(ent, Effectivity) else ent
             for src in spec.sources:
                 stage(self._source_frame(src, False), spec, src, run, False)
+        check_virtual_sources(self.spark, self.model, run)
+        return bv_levels(self.model, run.strict, vault_reads(self.spark, self.model))
 
     def _wave(self, entities, layer: Layer, run: Run, business: bool, report: RunReport) -> None:
         """Load independent targets; an effectivity satellite listed after its
@@ -140,7 +149,8 @@ class VaultRunner:
         name = self.table_name(ent.name)
         link = layer.links[ent.link] if isinstance(ent, Effectivity) else None
         key = link.hk if link is not None else ent.hk
-        ensure_table(self.spark, name, table_columns(ent, run.max_varchar, link), key, self.buckets)
+        ensure_table(self.spark, name, table_columns(ent, run.max_varchar, link), key, self.buckets,
+                     by_run=self.repeatable)
         return name
 
     def _count(self, name: str) -> int:
@@ -151,35 +161,36 @@ class VaultRunner:
         name = self._ensure(ent, layer, run)
         before = self._count(name)
         stages = self._stages(ent, layer, run, business)
+        write = write_batch if self.repeatable else append
         if isinstance(ent, Hub):
-            append(hub_delta(stages, vault_table(self.spark, name, [ent.hk]), ent, run), name)
+            write(hub_delta(stages, self._target(name, run, [ent.hk]), ent, run), name)
         elif isinstance(ent, Link):
             keys = [ent.hk, *ent.cks.values()] if run.strict else [ent.hk]
-            append(link_delta(stages, vault_table(self.spark, name, keys), ent, run), name)
+            write(link_delta(stages, self._target(name, run, keys), ent, run), name)
         elif isinstance(ent, Sat):
-            self._load_sat(ent, stages, name, run)
+            write(sat_delta(stages, self._target(name, run, self._sat_columns(ent, run)), ent, run), name)
         else:
             link = layer.links[ent.link]
-            target = vault_table(self.spark, name)
+            target = self._target(name, run)
             link_rows = vault_table(self.spark, self.table_name(link.name), [link.hk, *ent.drivers])
             delta = effectivity_delta(stages, target, link_rows, ent, link, run)
             if self.materialize_stage:
                 delta = write_stage(delta, f"{self.model.stage_schema}.{link.name}__{ent.name}")
-            append(delta, name)
+            write(delta, name)
         report.order.append(f"{'bv' if business else 'rv'}.{ent.name}")
         report.seconds[ent.name] = round(time.perf_counter() - started, 3)
         if self.count_rows:
             report.appended[ent.name] = self._count(name) - before
         log.info("loaded %s", name)
 
-    def _load_sat(self, sat: Sat, stages: list[DataFrame], name: str, run: Run) -> None:
+    def _target(self, name: str, run: Run, columns: list[str] | None = None) -> DataFrame | None:
+        return vault_table(self.spark, name, columns, before=run if self.repeatable else None)
+
+    def _sat_columns(self, sat: Sat, run: Run) -> list[str]:
         if sat.variant == "regular" and not run.strict:
-            append(sat_delta(stages, vault_table(self.spark, name, [sat.hk]), sat, run), name)
-            return
+            return [sat.hk]
         cols = [sat.hk, *sat.cks.values(), HASHDIFF, "dv_appts", "dv_loadts"]
-        if sat.variant == "multiactive":
-            cols.append(SUBSEQ)
-        append(sat_delta(stages, vault_table(self.spark, name, cols), sat, run), name)
+        return [*cols, SUBSEQ] if sat.variant == "multiactive" else cols
 
 
 def run_vault(spark: SparkSession, model: VaultModel, run: Run, **kw) -> RunReport:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SourceResolver = Callable[[str], DataFrame]
 
@@ -77,15 +78,18 @@ def register_views(spark: SparkSession, resolver: SourceResolver, names: list[st
         resolver(name).createOrReplaceTempView(name)
 
 
-def vault_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame | None:
+def vault_table(spark: SparkSession, name: str, columns: list[str] | None = None, before=None) -> DataFrame | None:
     """A vault target, pruned to the columns a loader compares; None if the
-    table does not exist yet (first load)."""
+    table does not exist yet (first load). ``before``: a run whose own rows are
+    left out (its partition is not read)."""
     if not spark.catalog.tableExists(name):
         return None
     # Vault tables are appended by other jobs and sessions (a streaming
     # micro-batch runs in a cloned session): drop any cached file listing.
     spark.catalog.refreshTable(name)
     df = spark.table(name)
+    if before is not None:
+        df = df.where(~F.col("dv_loadts").eqNullSafe(before.load_ts_col()))
     return df.select(*columns) if columns else df
 
 
