@@ -116,6 +116,15 @@ def bv_stage_sat(spark, d):
     return stage_bv_sat(spark, BV_S_ORDER, _SAT_SRC, RUN)
 
 
+@register("strict_bv_stage_sat",
+          sat_stage_sql(BV_S_ORDER, _SAT_SRC, _from(SQL_ORDER_NULL_CK), business=True, strict=True,
+                        columns=["c_name", "n_name", "o_orderdate"]))
+def strict_bv_stage_sat(spark, d):
+    """Strict: child keys are trimmed and zero-keyed, attributes trimmed, NULLs kept apart in the hashdiff."""
+    _views(spark, d)
+    return stage_bv_sat(spark, BV_S_ORDER, _SAT_SRC, RUN_STRICT)
+
+
 def _bv_ckey_sql() -> str:
     return (
         f"WITH os AS ({sat_stage_sql(BV_S_ORDER, _SAT_SRC, _from(SQL_ORDER_NULL_CK), T_OLD, business=True)}), "

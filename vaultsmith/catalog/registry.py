@@ -35,6 +35,7 @@ def _load_all() -> None:
         link_queries,
         many_source_queries,
         roundtrip_queries,
+        run_queries,
         sat_queries,
     )
 
