@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .heavy import join_one_per_key
+
 
 def time_order(appts: str = "dv_appts", loadts: str = "dv_loadts") -> Column:
     """A struct that sorts by (applied, load) time with NULL as the newest, as
@@ -20,22 +22,25 @@ def time_order(appts: str = "dv_appts", loadts: str = "dv_loadts") -> Column:
                     F.col(loadts).isNull().alias("no_loadts"), F.col(loadts).alias("loadts"))
 
 
-def latest_rows(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+def latest_rows(df: DataFrame, keys: list[str], values: list[str], sketched: DataFrame | None = None) -> DataFrame:
     """Distinct (keys, values) whose newest time is the newest of the keys.
 
-    Ties all stay: several values may share the newest times and all of them
+    Keys that are heavy in ``sketched`` are spread by their last value. Ties all stay: several values may share the newest times and all of them
     count as current. Rows with a NULL key are left out: callers compare keys by
     plain equality, which NULL never meets.
     """
     per_value = df.groupBy(*keys, *values).agg(F.max(time_order()).alias("_at"))
     per_key = per_value.groupBy(*keys).agg(F.max("_at").alias("_newest"))
-    return (per_value.join(per_key, keys).where(F.col("_at") == F.col("_newest"))
-            .select(*keys, *values))
+    if sketched is None:
+        both = per_value.join(per_key, keys)
+    else:
+        both = join_one_per_key(per_value, per_key, keys, values[-1], sketched)
+    return both.where(F.col("_at") == F.col("_newest")).select(*keys, *values)
 
 
 def with_set_positions(rows: DataFrame, keys: list[str], value: str, count: str, in_range: int = 1 << 14) -> DataFrame:
-    """``rows`` with ``dv_subseq``, the dense rank of ``value`` within ``keys``, in place of column
-    ``count``, the number of distinct values of the keys.
+    """``rows``, one per (``keys``, ``value``), with ``dv_subseq``, the rank of ``value`` within ``keys``, in place
+    of column ``count``, the number of values of the keys.
 
     ``value`` must be a hex digest, so equal prefixes cut its values into even ranges. A
     key with more than ``in_range`` values is cut by as many digits as its count needs, at
@@ -45,13 +50,11 @@ def with_set_positions(rows: DataFrame, keys: list[str], value: str, count: str,
     """
     digits = F.when(F.col(count) > in_range, F.ceil(F.log(16.0, F.col(count) / in_range))).otherwise(0).cast("int")
     ranged = rows.withColumn("_digits", digits).withColumn("_range", F.expr(f"substring({value}, 1, _digits)"))
-    ranked = ranged.withColumn("_pos", F.dense_rank().over(Window.partitionBy(*keys, "_range").orderBy(value)))
-    # The largest rank of a range is its number of values; only keys of several ranges have offsets.
-    sizes = ranked.where("_digits > 0").groupBy(*keys, "_range").agg(F.max("_pos").alias("_n"))
+    ranked = ranged.withColumn("_pos", F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(value)))
+    # Only keys of several ranges have offsets: few rows are counted a second time.
+    sizes = ranged.where("_digits > 0").groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # Naming _digits here as well keeps both uses of the ranked rows alike, so they are shuffled once.
-    offset = F.when(F.col("_digits") > 0, F.coalesce("_off", F.lit(0))).otherwise(0)
     return ranked.join(offsets, [*keys, "_range"], "left").withColumn(
-        "dv_subseq", (offset + F.col("_pos")).cast("int")
+        "dv_subseq", (F.coalesce("_off", F.lit(0)) + F.col("_pos")).cast("int")
     ).drop("_digits", "_range", "_pos", "_off", count)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.heavy import join_one_per_key
 from ..functions.meta import HASHDIFF, SUBSEQ, load_meta
 from ..functions.prune import pruned
-from ..functions.windows import time_order, with_set_positions
+from ..functions.windows import latest_rows, time_order, with_set_positions
 from ..run import Run
 from ..spec import Hub, Link, Sat
 
@@ -216,26 +216,19 @@ def _not_loaded(staged: DataFrame, target: DataFrame, keys: list[str], n: int, r
 
     own = lambda j: F.col("sources").bitwiseAND(1 << j) != 0
     aged = F.struct(F.col("at").isNotNull().alias("known"), F.col("at"))
-    oldest = [F.min(F.when(own(j), aged)).alias(f"_oldest{j}") for j in range(n if n > 1 else 0)]
+    oldest = [F.min(F.when(own(j), aged)).alias(f"_oldest{j}") for j in range(n)]
     per_key = values.groupBy(*keys).agg(F.max("at").alias("newest"), F.bit_or("sources").alias("staged"), *oldest)
-    per_key = per_key.where("staged <> 0")
-    if n > 1:
-        news = [F.when(~F.col(f"_oldest{j}.known") | (F.col(f"_oldest{j}.at") < F.col("newest")), F.lit(j)) for j in range(n)]
-        per_key = per_key.withColumn("first", F.coalesce(*news))
-    per_key = per_key.select(*keys, "newest", *(["first"] if n > 1 else []))
+    news = [F.when(~F.col(f"_oldest{j}.known") | (F.col(f"_oldest{j}.at") < F.col("newest")), F.lit(j)) for j in range(n)]
+    per_key = per_key.where("staged <> 0").select(*keys, "newest", F.coalesce(*news).alias("first"))
 
     met = join_one_per_key(values.where("sources <> 0"), per_key, keys, HASHDIFF, staged)
-    sources, nothing = F.col("sources"), F.lit(0).cast("long")
+    sources, nothing, now = F.col("sources"), F.lit(0).cast("long"), _now(run).cast(_TIME)
     is_new = ~F.coalesce(F.col("at") == F.col("newest"), F.lit(False))
-    if n == 1:
-        loads = F.when(is_new, sources).otherwise(nothing)
-    else:
-        now = _now(run).cast(_TIME)
-        first = _bit(F.col("first"))
-        later = _lowest(sources.bitwiseAND(-(first * 2)))  # sources behind the first
-        older = F.when(is_new & (sources.bitwiseAND(first) != 0), first).otherwise(later)
-        loads = (F.when(F.coalesce(F.col("newest") < now, F.lit(True)), F.coalesce(older, nothing))
-                 .when(~is_new, nothing).when(F.col("newest") == now, _lowest(sources)).otherwise(sources))
+    first = _bit(F.col("first"))
+    later = _lowest(sources.bitwiseAND(-(first * 2)))  # sources behind the first
+    older = F.when(is_new & (sources.bitwiseAND(first) != 0), first).otherwise(later)
+    loads = (F.when(F.coalesce(F.col("newest") < now, F.lit(True)), F.coalesce(older, nothing))
+             .when(~is_new, nothing).when(F.col("newest") == now, _lowest(sources)).otherwise(sources))
     return met.select(*keys, HASHDIFF, sources.bitwiseAND(F.bitwise_not(loads)).alias("_mask")).where("_mask <> 0")
 
 
@@ -260,12 +253,16 @@ def sat_delta_ckey(stages, target: DataFrame | None, sat: Sat, run: Run) -> Data
         # One distinct for all sources: a source's copies collapse map-side.
         tagged = _tagged(group)
         rows = tagged.select(*cols, *STAGED_META, _ORD).distinct()
-        if seen is not None or len(group) > 1:
+        match = [*keys, HASHDIFF]
+        if seen is not None and len(group) == 1:
+            # A single source just loads what isn't current. Plain equality: a NULL
+            # child key never matches, so such rows load again (here as below).
+            current = latest_rows(pruned(seen, group, sat.hk), keys, [HASHDIFF], sketched=tagged)
+            rows = rows.join(current, match, "left_anti")
+        elif len(group) > 1:
             if seen is None:
                 seen = group[0].select(*keys, HASHDIFF, "dv_appts", "dv_loadts").where("false")
             held = _not_loaded(tagged, pruned(seen, group, sat.hk), keys, len(group), run)
-            # Plain equality: a NULL child key never matches, so such rows load again.
-            match = [*keys, HASHDIFF]
             held = held.select("_mask", *[F.col(k).alias(f"_held_{k}") for k in match])
             same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_held_{k}") for k in match])
             rows = rows.join(held, same & (F.col("_mask").bitwiseAND(_bit(F.col(_ORD))) != 0), "left_anti")
@@ -369,15 +366,17 @@ def sat_delta_multiactive(stages, target: DataFrame | None, sat: Sat, run: Run)
             group = [_of_run(s, run, "dv_appts", "dv_loadts") for s in group]
         tagged = _tagged([s.select(hk, *sat.attrs, HASHDIFF, *meta) for s in group])
         rows = tagged.distinct() if run.strict else tagged
-        if seen is None:
-            seen = tagged.select(hk, HASHDIFF, "dv_appts", "dv_loadts", F.lit(None).cast("int").alias(SUBSEQ)).where("false")
-        values = _set_values(tagged, pruned(seen, group, hk), hk)
-        to_load = _sets_to_load(values, hk, len(group), run)
-        picked = join_one_per_key(values.where("sources <> 0"), to_load, [hk], HASHDIFF, tagged)
-        # One row per (key, source, hashdiff) that loads; their positions are looked up for the rows.
-        mine = F.array(*[F.when(F.col("sources").bitwiseAND(F.col("_load")).bitwiseAND(1 << j) != 0, F.lit(j)) for j in range(len(group))])
-        picked = picked.select(hk, HASHDIFF, "_sizes", F.explode(F.array_compact(mine)).alias(_ORD))
-        picked = picked.withColumn("_n", F.element_at("_sizes", F.col(_ORD) + 1)).drop("_sizes")
+        # One row per (key, source, hashdiff); those that load get positions, which are looked up for the rows.
+        pairs = tagged.select(hk, _ORD, HASHDIFF).distinct()
+        if seen is None and len(group) == 1:
+            to_load = pairs.groupBy(hk).agg(F.lit(1).cast("long").alias("_load"), F.array(F.count(F.lit(1))).alias("_sizes"))
+        else:
+            if seen is None:
+                seen = tagged.select(hk, HASHDIFF, "dv_appts", "dv_loadts", F.lit(None).cast("int").alias(SUBSEQ)).where("false")
+            to_load = _sets_to_load(_set_values(tagged, pruned(seen, group, hk), hk), hk, len(group), run)
+        picked = join_one_per_key(pairs, to_load, [hk], HASHDIFF, tagged)
+        picked = picked.where(F.col("_load").bitwiseAND(_bit(F.col(_ORD))) != 0)
+        picked = picked.withColumn("_n", F.element_at("_sizes", F.col(_ORD) + 1)).drop("_load", "_sizes")
         placed = rows.join(with_set_positions(picked, [hk, _ORD], HASHDIFF, "_n"), [hk, _ORD, HASHDIFF])
         return placed.select(hk, *sat.attrs, HASHDIFF, *meta, F.col(SUBSEQ), F.lit(run.load_task(sat.name)).alias("dv_taskid"))
 
