@@ -2,19 +2,23 @@
 
 import hashlib
 import json
+import math
+import re
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vaultsmith.llm import catalog, chat, lattice, quality
+from vaultsmith.llm import catalog, chat, lattice, quality, toxicity
 from vaultsmith.llm._tokens import tokenizer_path
 
 from ..conftest import SF_SMALL
 from ..oracle import duck
 
 PIECE = tokenizer_path("piece_bpe_32k.model")
+END_IN_TEXT = f"x{chat.END}y\\{chat.START}"
 
 
 @pytest.fixture(scope="module")
@@ -69,7 +73,71 @@ def test_null_fields_are_empty_texts(record, layout, turns):
     assert chat.turns_of(json.dumps(record))[1:] == (layout, turns)
 
 
+def test_own_columns_stay_beside_the_formatted_text(spark):
+    df = spark.createDataFrame([(1, "mine", "x", [("user", "a\\b"), ("assistant", END_IN_TEXT)]), (2, None, None, None)],
+                               "safe long, s string, `turns.x` string, turns array<struct<role: string, text: string>>")
+    out = chat.format_chat(df)
+    assert out.columns == [*df.columns, "formatted", "loss_spans"]
+    first, second = sorted(out.collect(), key=lambda r: r["safe"])
+    assert (first["safe"], first["s"], first["turns.x"]) == (1, "mine", "x")
+    assert chat.parse(first["formatted"]) == [("user", "a\\b"), ("assistant", END_IN_TEXT)]
+    assert (second["formatted"], second["loss_spans"]) == ("", [])
+
+
+# ------------------------------------------------------------- op 8
+def by_hand(model, text):
+    """Expected severity, severity and flag from the definitions in the module's docstring."""
+    words = [w.strip() for w in (text or "").lower().split()]
+    times = {}
+    for w in words:
+        w = re.sub(r"^\W+|\W+$", "", w)
+        for f in {w, *(w[:n] + "*" for n in (4, 5, 6) if len(w) >= n)} if w else ():
+            times[f] = times.get(f, 0) + 1
+    x = sum(min(1000 * times[f] / len(words), 30) / 10 * w for f, w in zip(model.features, model.weights) if f in times)
+    tails = [1 / (1 + math.exp(b - x)) for b in model.cuts]
+    grade = [a - b for a, b in zip([1, *tails], [*tails, 0])]
+    return sum(tails), grade, tails[0]
+
+
+def test_toxicity_by_hand_on_every_document(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    rows = {r["doc_id"]: r for r in catalog.queries()["op8_toxicity"](spark, SF_SMALL).collect()}
+    texts = duck(SF_SMALL).execute("SELECT doc_id, text FROM documents").fetchall()
+    assert len(rows) == len(texts) and len(model.features) > 0
+    for i, text in texts:
+        expected, grade, flag = by_hand(model, text)
+        r = rows[i]
+        assert abs(r["expected_severity"] - expected) < 2e-6, i
+        assert grade[r["severity"]] >= max(grade) - 1e-9 and r["kept"] != r["toxic"], i
+        assert r["toxic"] == (flag >= 0.2) or abs(flag - 0.2) < 1e-9, i
+
+
+def test_toxicity_on_held_out_labels(spark):
+    """Fitted on each half of sf0.1's labels, judged by the other half; single halves differ by several points."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    flagged = {0: [], 1: []}
+    for k in (0, 1):
+        model = toxicity.fit(docs, labels.where(half == k))
+        others = labels.where(half != k).select("doc_id", F.col("toxic").alias("label"))
+        for r in toxicity.score(docs.join(others, "doc_id"), model).select("label", "toxicity.toxic").collect():
+            flagged[r["label"]].append(r["toxic"])
+    assert len(flagged[1]) > 400 and len(flagged[0]) > 3000
+    assert np.mean(flagged[1]) >= 0.9 and np.mean(flagged[0]) <= 0.04
+
+
 # ------------------------------------------------------------- op 9
+def test_quality_measures_a_text_once(spark):
+    """The rows are written with their counts; the verdict's plan holds no text work."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    judged = quality.quality_rules(docs, min_docs=0).where("kept")
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "xxhash64" not in plan and "quality" in plan
+
+
 def test_small_groups_take_wider_fences(spark):
     clean = "the quick brown fox jumps over a lazy dog near some river bank today and then it sleeps"
     junk = clean.replace(" ", " ## ")

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import table
+from ._common import bind, table
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 # Control strings of this and other public chat templates.
@@ -166,7 +166,7 @@ def _canonical(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 def canonical_turns(records: DataFrame, record_col: str = "record") -> DataFrame:
-    """``records`` with a struct column ``chat``: fingerprint, layout, turns."""
+    """``records`` with a struct column ``chat`` (one of that name is replaced): fingerprint, layout, turns."""
     chat = F.pandas_udf(_canonical, "fingerprint string, layout string, turns array<struct<role: string, text: string>>")
     return records.withColumn("chat", chat(F.col(f"`{record_col}`").cast("string")))
 
@@ -184,11 +184,11 @@ def unescaped(text: str) -> str:
 
 
 def format_chat(chats: DataFrame, turns_col: str = "turns") -> DataFrame:
-    """``chats`` with ``formatted`` (string) and ``loss_spans`` (array of start, length)."""
-    safe = F.transform(F.coalesce(F.col(turns_col), F.array()), lambda t: F.struct(
-        escaped(t["role"]).alias("role"), escaped(t["text"]).alias("text"), (t["role"] == LOSS_ROLE).alias("loss")))
+    """``chats`` with ``formatted`` (string) and ``loss_spans`` (array of start, length).
+
+    Columns of these two names are replaced, all others are carried along.
+    """
     head = lambda t: F.concat(F.lit(START), t["role"], F.lit(SEP))
-    pieces = F.transform("safe", lambda t: F.concat(head(t), t["text"], F.lit(END)))
     none = F.array().cast("array<struct<start: long, length: long>>")
 
     def add(state: Column, t: Column) -> Column:
@@ -199,9 +199,14 @@ def format_chat(chats: DataFrame, turns_col: str = "turns") -> DataFrame:
                         F.when(F.coalesce(t["loss"], F.lit(False)), F.concat(state["spans"], F.array(span)))
                         .otherwise(state["spans"]).alias("spans"))
 
-    spans = F.aggregate("safe", F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans")), add, lambda s: s["spans"])
-    return (chats.withColumn("safe", safe).withColumn("formatted", F.array_join(pieces, ""))
-            .withColumn("loss_spans", spans).drop("safe"))
+    turns = F.coalesce(F.col(f"`{turns_col}`"), F.array())
+    safe = F.transform(turns, lambda t: F.struct(
+        escaped(t["role"]).alias("role"), escaped(t["text"]).alias("text"), (t["role"] == LOSS_ROLE).alias("loss")))
+    text = lambda s: F.array_join(F.transform(s, lambda t: F.concat(head(t), t["text"], F.lit(END))), "")
+    spans = lambda s: F.aggregate(s, F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans")), add,
+                                  lambda x: x["spans"])
+    # Both results in one withColumns: neither can be read as an input of the other.
+    return chats.withColumns({"formatted": bind(safe, text), "loss_spans": bind(safe, spans)})
 
 
 def parse(formatted: str) -> list[tuple[str, str]]:
@@ -225,7 +230,7 @@ def _read_back(formatted: pd.Series, starts: pd.Series, lengths: pd.Series) -> p
 
 
 def read_back(chats: DataFrame) -> DataFrame:
-    """``chats`` with a struct column ``back``, all of it parsed from formatted and loss_spans."""
+    """``chats`` with a struct column ``back`` (one of that name is replaced), all of it parsed from formatted and loss_spans."""
     read = F.pandas_udf(_read_back, "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
     return chats.withColumn("back", read("formatted", F.col("loss_spans.start"), F.col("loss_spans.length")))
 
@@ -244,7 +249,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
                                   "conv_id long, turn long, role string, text string")
     chats = canonical_turns(conversation_records(rows.unionByName(added))).select("conv_id", "chat.layout", "chat.turns")
-    return read_back(format_chat(chats)).select("conv_id", "layout", "back.*")
+    return read_back(format_chat(chats)).select("conv_id", "back.*", "layout")
 
 
 def _sql_escape(column: str) -> str:

@@ -13,7 +13,8 @@ The classifier is fitted on a bounded sample of labelled rows: at most ``TRAIN_R
 documents of each label, those with the smallest hashes of doc_id (equal texts once),
 and at most ``MAX_FEATURES`` features: those in most toxic documents (in at least
 ``MIN_SHARE`` of them and ``MIN_RATIO`` times the share of clean ones, or ``SURE_RATIO``
-times if their log odds differ by ``SURE_Z`` standard errors). Their weights are held at
+times if their log odds differ by ``SURE_Z`` standard errors; words of more than 64
+characters are no features, their prefixes are). Their weights are held at
 0 or more. Scoring reads every whole text.
 
 Defined results: null or empty text has no features and grade 0; a label other than 0

@@ -147,7 +147,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url") -> Dat
 # ---------------------------------------------------------------- query
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return judge_urls(pages, HOST_RULES + PATTERN_RULES).select("page_id", "host", "path", "rule", "pattern", "verdict")
+    return judge_urls(pages, HOST_RULES + PATTERN_RULES).select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
 _ORACLE = f"""
