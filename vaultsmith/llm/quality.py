@@ -222,14 +222,15 @@ def judge(measured: DataFrame, fenced: DataFrame, group_cols: list[str]) -> Data
 
 
 def quality_rules(docs: DataFrame, group_cols: tuple[str, ...] = ("lang", "source"), reach: int = 3,
-                  min_docs: int = MIN_DOCS) -> DataFrame:
-    """Every row of ``docs`` with columns quality, base_failed, kept.
+                  min_docs: int = MIN_DOCS, drop: tuple[str, ...] = ()) -> DataFrame:
+    """Every row of ``docs`` with columns quality, base_failed, kept, without those in ``drop``.
 
-    Two passes over the texts and no shuffle of them: the first makes the sketches, the
-    second measures again and judges against the (small) table of fences.
+    Texts are measured once and not shuffled: the rows are written with their counts, the
+    sketches are made from the counts alone, then the written rows are judged against the
+    (small) table of fences.
     """
     group = list(group_cols)
-    measured = measure(docs)
+    measured = keep(measure(docs).drop(*drop), "quality-measured", compression="zstd")
     if min_docs > 0:
         sketched = keep(sketch(measured, group), "quality-sketches")
         fenced = keep(pooled_fences(sketched, group, reach, min_docs), "quality-fences")
