@@ -26,7 +26,8 @@ def _whole(docs: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, by each group's own fences as in the registered query."""
-    return quality_rules(_whole(docs), min_docs=0).where("kept").select("row.*")
+    judged = quality_rules(_whole(docs), min_docs=0, drop=("doc_id", "text"))  # the row holds both
+    return judged.where("kept").select("row.*")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
