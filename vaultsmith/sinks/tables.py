@@ -18,6 +18,8 @@ from ..spec import Effectivity, Hub, Link, Sat
 
 #: All rows that a run appends to a table have the run's load time, so it names the run's batch.
 BATCH = "dv_loadts"
+#: Hex digests fill most of a table; unlike Spark's default, this codec halves them.
+COMPRESSION = "zstd"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -67,6 +69,8 @@ def ensure_table(spark: SparkSession, name: str, columns: list[tuple[str, str]],
     (``dv_loadts`` is its last column then)."""
     cols = ", ".join(f"{c} {t}" for c, t in columns)
     ddl = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}"
+    if fmt == "parquet":
+        ddl += f" OPTIONS (compression '{COMPRESSION}')"
     if by_run:
         ddl += f" PARTITIONED BY ({BATCH})"
     if buckets and bucket_key:
@@ -87,9 +91,10 @@ def bucketing(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
 def append(df: DataFrame, name: str) -> None:
     """Append rows (``INSERT INTO``), columns matched to the table by name.
 
-    The rows are rebalanced first, by the bucket key if the table has buckets:
+    For a table with buckets the rows are rebalanced first, by the bucket key:
     each bucket is then written by one task (a hot one by several, which AQE
-    splits), instead of every task writing a file for every bucket.
+    splits), instead of every task writing a file for every bucket. Other tables take
+    the partitions as the load leaves them, which AQE has sized: rows are not shuffled again.
     """
     _rebalanced(df, name).write.insertInto(name)
 
@@ -98,7 +103,7 @@ def _rebalanced(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     rows = df.select(*spark.table(name).columns)
     buckets = bucketing(spark, name)
-    return rows.hint("rebalance", buckets[0], *buckets[1]) if buckets else rows.hint("rebalance")
+    return rows.hint("rebalance", buckets[0], *buckets[1]) if buckets else rows
 
 
 def write_batch(df: DataFrame, name: str) -> None:
@@ -157,5 +162,5 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     """Replace a stage table's rows (create + truncate + insert) and return
     the written table, which cuts the lineage for every load that reads it."""
     spark = df.sparkSession
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    df.write.mode("overwrite").format("parquet").option("compression", COMPRESSION).saveAsTable(name)
     return spark.table(name)
