@@ -24,6 +24,15 @@ def test_packed_texts_come_back_and_keep_apart(spark):
     assert ordered == sorted(ordered)
 
 
+def test_filters_do_not_copy_digests_into_the_scan(spark):
+    """What a load computes from its rows is computed once, however many loads it comes from."""
+    rows = spark.range(10).select(F.md5(F.col("id").cast("string")).alias("k"))
+    for _ in range(3):
+        rows = unpack(pack(rows, ["k"]).distinct().where("k IS NOT NULL"), ["k"]).where("k IS NOT NULL")
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    assert rows.count() == 10
+
+
 def test_rows_of_plain_keys_are_shuffled_once(spark):
     target, stages = scenarios(2, seed=5, keys=40)
     tgt, st = frames(spark, target, stages, False)
