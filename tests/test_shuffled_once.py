@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from vaultsmith import Run
 from vaultsmith.functions.heavy import split
 from vaultsmith.functions.keys import pack, unpack
-from vaultsmith.operators.load import _new_rows, _placed_sets, _tagged, hub_delta, sat_delta
+from vaultsmith.operators.load import _new_rows, _placed_sets, _tagged, hub_delta, link_delta, sat_delta
 from vaultsmith.plans.explain import plan_summary, plan_text
 from vaultsmith.sinks.tables import _rebalanced, ensure_table, table_columns
 
@@ -33,6 +34,29 @@ def test_filters_do_not_copy_digests_into_the_scan(spark):
     assert rows.count() == 10
 
 
+def test_strict_link_loads_shuffle_packed_digests(spark):
+    from vaultsmith import Source
+    from vaultsmith.spec import Link
+
+    link = Link("l", hk="hk", hks=["a_hk", "b_hk"], cks={"c": "ck"}, sources=[Source("x", bks={"a": "a_hk", "b": "b_hk"})])
+    strict = Run(load_ts="2024-06-01 00:00:00", semantics="strict")
+    names = ["hk", "a_hk", "b_hk", "ck", "dv_recsrc", "dv_tenant", "dv_bkeycode"]
+    known, short = "00ff" * 8, "a"
+
+    def rows(keys):
+        return spark.createDataFrame([(h, "0a" * 16, None, c, "r", "t", "c") for h, c in keys], ", ".join(f"{n} string" for n in names)
+                                     ).withColumn("dv_appts", F.lit(None).cast("timestamp_ntz"))
+
+    staged = rows([(known, "1"), (known, "2"), (known, "2"), (short, "1"), (short, None), (None, "1"), (None, "1")])
+    target = rows([(known, "1"), (known, "1"), (short, "1"), (short, None), (None, "1")])
+    delta = link_delta(staged, target, link, strict)
+    plan = plan_text(delta, "simple")
+    assert plan.index("lower(hex(") < plan.index("Join") < plan.rindex("unhex(")  # read back above the join, packed beneath
+    # A NULL never matches.
+    assert sorted((str(r["hk"]), r["a_hk"], r["b_hk"], str(r["ck"])) for r in delta.collect()) == sorted(
+        [(known, "0a" * 16, None, "2"), (short, "0a" * 16, None, "None"), ("None", "0a" * 16, None, "1")])
+
+
 def test_rows_of_plain_keys_are_shuffled_once(spark):
     target, stages = scenarios(2, seed=5, keys=40)
     tgt, st = frames(spark, target, stages, False)

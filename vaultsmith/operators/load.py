@@ -116,9 +116,16 @@ def link_delta(stages, target: DataFrame | None, link: Link, run: Run) -> DataFr
     cks = list(link.cks.values())
     keys = [link.hk, *cks] if run.strict else [link.hk]
     cols = [link.hk, *link.hks, *cks]
+    stages, digests = _as_list(stages), []
     if run.strict:
-        stages = [_distinct_staged(s, cols) for s in _as_list(stages)]
-    rows = first_source_wins(_as_list(stages), keys, target)
+        # Digests go packed through the distinct and the join.
+        digests = [c for c in text_columns(stages[0], [link.hk, *link.hks]) if all(text_columns(s, [c]) for s in stages)]
+        if target is not None:
+            if not text_columns(target, [link.hk]):
+                digests = [c for c in digests if c != link.hk]
+            target = pack(pruned(target.select(*keys), stages, keys[0]), [c for c in digests if c in keys])
+        stages = [_distinct_staged(pack(s.select(*cols, *STAGED_META), digests), cols) for s in stages]
+    rows = unpack(first_source_wins(stages, keys, target), digests)
     return rows.select(*cols, *load_meta(run, run.load_task(link.name)))
 
 
