@@ -12,19 +12,20 @@ the current source snapshot with the open effectivity records:
 A relation whose driving key vanished from the source altogether stays open.
 The result is appended; rerunning the same snapshot adds nothing.
 
-All of it is joins on hash keys: ``left_anti`` for "not open yet" and "no
-longer present", ``left_semi`` for "driver still present", and two aggregates
-for the latest record.
+Digests go packed through all of it. Open records and staged relations are dealt
+by the link key once and meet in one full join; what only one of them has, opened and
+ended relations, meets the drivers that are still there in one more. The latest records are
+found where they lie: a relation has as many records as runs that opened or closed it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import hashdiff, high_date
+from ..functions.keys import hashdiff, high_date, pack, text_columns, unpack
 from ..functions.meta import ENDTS, HASHDIFF, STARTTS
-from ..functions.windows import latest_rows
+from ..functions.windows import time_order
 from ..run import Run
 from ..spec import Effectivity, Link
 from .load import first_source_wins
@@ -43,7 +44,13 @@ def _period_hash(start, end):
 def open_records(target: DataFrame, link_rows: DataFrame, link: Link, drivers: list[str]) -> DataFrame:
     """Latest record per link key that is still open, with its driving key(s)
     taken from the link table."""
-    latest = latest_rows(target, [link.hk], [STARTTS, ENDTS, *EFFECTIVITY_META])
+    value = [STARTTS, ENDTS, *EFFECTIVITY_META]
+    rows = target.where(F.col(link.hk).isNotNull()).select(link.hk, *value, time_order().alias("_at")).repartition(link.hk)
+    # Equal records count once, by their newest time; one sort serves both windows.
+    copies = Window.partitionBy(link.hk, *value).orderBy(F.desc("_at"))
+    rows = rows.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1")
+    rows = rows.withColumn("_newest", F.max("_at").over(Window.partitionBy(link.hk)))
+    latest = rows.where(F.col("_at") == F.col("_newest")).select(link.hk, *value)
     still_open = latest.where(F.col(ENDTS) == high_date()).drop(ENDTS)
     keys = link_rows.select(link.hk, *drivers).distinct()
     return still_open.join(keys, link.hk)
@@ -61,45 +68,45 @@ def effectivity_delta(stages, target: DataFrame | None, link_rows: DataFrame | N
     drivers = list(eff.drivers)
     task = run.load_task(eff.name)
     applied = run.applied_ts_col()
-    relations = first_source_wins(
-        [s.select(link.hk, *drivers, *EFFECTIVITY_META).distinct() for s in stages], [link.hk]
-    )
+    if target is not None and link_rows is None:
+        raise ValueError(f"effectivity {eff.name}: the link table is needed to find driving keys")
+    # Digests go packed through distincts and joins, where every side has them as text.
+    keyed = [*stages, *([] if target is None else [link_rows])]
+    digests = [c for c in dict.fromkeys([link.hk, *drivers]) if all(text_columns(d, [c]) for d in keyed)]
+    if target is not None and not text_columns(target, [link.hk]):
+        digests = [c for c in digests if c != link.hk]
     # Already one row per link key: the link hash covers every hub-key part
     # (the driver's included) and first_source_wins keeps one source per key.
-    new = relations.select(link.hk, *EFFECTIVITY_META)
+    relations = first_source_wins(
+        [pack(s.select(link.hk, *drivers, *EFFECTIVITY_META), digests).distinct() for s in stages], [link.hk]
+    )
     if target is None:
-        current = None
+        rows = relations.withColumn(STARTTS, F.lit(None).cast("timestamp_ntz"))
+        is_new = F.lit(True)
     else:
-        if link_rows is None:
-            raise ValueError(f"effectivity {eff.name}: the link table is needed to find driving keys")
-        current = open_records(target, link_rows, link, drivers)
-        new = new.join(current.select(link.hk), link.hk, "left_anti")
-    opened = new.select(
-        link.hk,
-        applied.alias(STARTTS),
-        high_date().alias(ENDTS),
-        _period_hash(applied, high_date()).alias(HASHDIFF),
-        run.load_ts_col().alias("dv_loadts"),
-        applied.alias("dv_appts"),
-        *EFFECTIVITY_META,
-        F.lit(task).alias("dv_taskid"),
-    )
-    if current is None:
-        return opened
-    # Relations still in the source go first: a driver with very many relations
-    # then brings only those that ended to the join on the driver.
-    moved = (
-        current.join(relations.select(link.hk), link.hk, "left_anti")
-        .join(relations.select(*drivers).distinct(), drivers, "left_semi")
-    )
-    closed = moved.select(
+        own = [c for c in digests if c == link.hk]
+        current = open_records(pack(target.select(link.hk, STARTTS, ENDTS, *EFFECTIVITY_META, "dv_appts", "dv_loadts"), own),
+                               pack(link_rows.select(link.hk, *drivers), digests), link, drivers)
+        carried = [*drivers, *EFFECTIVITY_META]
+        staged = relations.select(link.hk, F.struct(*carried).alias("_staged"))
+        opened = current.select(link.hk, STARTTS, F.struct(*carried).alias("_open"))
+        # Of either side, what the other one lacks.
+        rows = opened.join(staged, link.hk, "full").where("_staged IS NULL OR _open IS NULL").select(
+            link.hk, STARTTS, F.col("_open").isNull().alias("_new"), F.coalesce("_open", "_staged").alias("_row")
+        ).select(link.hk, STARTTS, "_new", "_row.*")
+        # A driver with very many relations brings only those that began or ended to the join on the driver.
+        here = relations.select(*drivers).distinct().withColumn("_here", F.lit(True))
+        rows = rows.join(here, drivers, "left").where("_new OR _here")
+        is_new = F.col("_new")
+    start = F.when(is_new, applied).otherwise(F.col(STARTTS))
+    end = F.when(is_new, high_date()).otherwise(applied)
+    return unpack(rows, [link.hk] if link.hk in digests else []).select(
         link.hk,
-        F.col(STARTTS),
-        applied.alias(ENDTS),
-        _period_hash(F.col(STARTTS), applied).alias(HASHDIFF),
+        start.alias(STARTTS),
+        end.alias(ENDTS),
+        F.when(is_new, _period_hash(applied, high_date())).otherwise(_period_hash(F.col(STARTTS), applied)).alias(HASHDIFF),
         run.load_ts_col().alias("dv_loadts"),
         applied.alias("dv_appts"),
         *EFFECTIVITY_META,
         F.lit(task).alias("dv_taskid"),
     )
-    return opened.unionByName(closed)
