@@ -25,6 +25,14 @@ def test_packed_texts_come_back_and_keep_apart(spark):
     assert ordered == sorted(ordered)
 
 
+def test_packing_takes_the_bytes_once(spark):
+    """A digest is told by its letters, not by writing its bytes out again."""
+    plan = plan_text(pack(spark.range(3).select(F.col("id").cast("string").alias("k")), ["k"]), "simple")
+    assert plan.count("unhex(") == 1 and " hex(" not in plan and "(hex(" not in plan
+    mixed = spark.createDataFrame([("0" * 31 + "G",), ("0" * 31 + "A",), ("é" * 32,), ("é" * 16,), ("0" * 30 + "é",), (" " * 32,)], "k string")
+    assert unpack(pack(mixed, ["k"]), ["k"]).collect() == mixed.collect() and pack(mixed, ["k"]).where("length(k) = 16").count() == 0
+
+
 def test_filters_do_not_copy_digests_into_the_scan(spark):
     """What a load computes from its rows is computed once, however many loads it comes from."""
     rows = spark.range(10).select(F.md5(F.col("id").cast("string")).alias("k"))

@@ -122,9 +122,9 @@ def packed_digest(c: Column | str) -> Column:
     """A text of 32 lower-case hex digits as its 16 bytes, half as much to shuffle; any other text as 17 zero
     bytes and its own. Equal only for equal texts; digests keep their order. ``digest_text`` reads it back."""
     c = _col(c)
-    raw = F.unhex(c)
-    return F.when((F.length(c) == 32) & (F.lower(F.hex(raw)) == c), raw).otherwise(
-        F.concat(F.unhex(F.lit("00" * 17)), c.cast("binary")))
+    # Any other text has no bytes: a letter that is no hex digit makes them NULL.
+    raw = F.when((F.length(c) == 32) & (F.lower(c) == c), F.unhex(c))
+    return F.coalesce(raw, F.concat(F.unhex(F.lit("00" * 17)), c.cast("binary")))
 
 
 def digest_text(c: Column | str) -> Column:
