@@ -162,3 +162,35 @@ def test_near_duplicates_leave_by_row(spark):
     left = corpus_pipeline.near_duplicate_stage(spark, docs, SF_SMALL)
     assert left.columns == docs.columns
     assert sorted(map(str, left.collect())) == sorted(map(str, spark.createDataFrame([rows[k] for k in (0, 2, 3, 6, 7)], docs.schema).collect()))
+
+
+def test_words_with_marks_behind_are_cut_without_the_pattern():
+    """Most unseen chunks are letters with marks behind them: no costly split, no normalizer call, the same ids."""
+    import random
+    import string
+
+    from vaultsmith.llm._tokens import ChunkEncoder, tokenizer_path
+
+    enc = ChunkEncoder(tokenizer_path("word_bpe_49k.json"))
+    rnd, letters = random.Random(4), string.ascii_letters + "éÀßµªºÝ"
+    words = ["".join(rnd.choices(letters, k=rnd.randint(1, 7))) + "".join(rnd.choices(string.punctuation, k=rnd.randint(0, 4))) for _ in range(3000)]
+    split, seen = enc._split, []
+    enc._split = lambda text: seen.append(text) or split(text)
+    for word in words:
+        assert enc._chunk(word) == enc._whole(word), word
+    assert not seen and enc._normalize("ÀÉ") == "àé" and enc._normalize is str.lower
+
+
+def test_ids_are_counted_a_batch_at_a_time(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from vaultsmith.llm import ans
+
+    rows = [np.array(x, np.uint16).tobytes() for x in ([1, 2, 2], [], [7], [2, 1])]
+    batch = pa.record_batch([pa.array(rows, pa.binary())], names=["ids"])
+    calls, bincount = [], np.bincount
+    monkeypatch.setattr(ans.np, "bincount", lambda *a, **k: calls.append(1) or bincount(*a, **k))
+    count = lambda *b: {t: n for t, n in zip(*next(ans._counting(np.dtype(np.uint16), 9)(iter(b))).to_pydict().values())}
+    assert count(batch) == {1: 2, 2: 3, 7: 1} and len(calls) == 1
+    assert count(batch.slice(2)) == {7: 1, 2: 1, 1: 1} and count(batch.slice(1, 1)) == {} and count(batch.slice(0, 0)) == {}

@@ -14,6 +14,7 @@ import functools
 import json
 import os
 import re
+import string
 from array import array
 from collections.abc import Callable
 
@@ -36,7 +37,7 @@ _TOUCHING = ("  ", "\n ", " \n", *[c for c in _WS if c not in " \n"])
 #: str.split() also cuts at these, which are no white space to a tokenizer.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _OTHER_SPACE = re.compile(f"[{re.escape(_WS)}]").search
-_PROBE = ["word", " word,", "'tis", " it's", " x1y22", "ÀÉ", " ñandú!?", "A.B-C", " ...", "\n", "3.14", " don't", "ŁÓDŹ", "_a_", "İs"]
+_PROBE = ["word", " word,", "'tis", " it's", " x1y22", "ÀÉ", " ñandú!?", "A.B-C", "word.", "ñ)", "it'", "Wörd,***", "x_", " ...", "\n", "3.14", " don't", "ŁÓDŹ", "_a_", "İs"]
 
 
 def _byte_alphabet() -> dict[int, int]:
@@ -85,8 +86,14 @@ class ChunkEncoder:
         pattern = steps[0]["pattern"]["Regex"] if self.drops_space else public_tokenizers.PATTERN
         self._split = regex.compile(pattern).findall
         self._normalize = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else None
+        if self._normalize:
+            # Latin-1 has no marks that join the letter before them: what holds for each character holds for texts.
+            latin = [chr(c) for c in range(256) if chr(c) not in _WS]
+            if all(self._normalize(c) == c.lower() for c in latin) and self._normalize("".join(latin)) == "".join(latin).lower():
+                self._normalize = str.lower
         self._alphabet = _byte_alphabet()
-        self._space = chr(self._alphabet[32])
+        self._letters = [chr(self._alphabet.get(b, b)) for b in range(256)]
+        self._space = self._letters[32]
         self._model = self.tokenizer.model.tokenize
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -109,7 +116,7 @@ class ChunkEncoder:
         if part.isascii() and part.isprintable():
             letters = part.replace(" ", self._space)
         else:
-            letters = part.encode().decode("latin-1").translate(self._alphabet)
+            letters = "".join(map(self._letters.__getitem__, part.encode()))
         return self._bytes([t.id for t in self._model(letters)])
 
     def _chunk(self, chunk: str) -> bytes:
@@ -118,7 +125,14 @@ class ChunkEncoder:
         text = chunk
         if self._normalize:
             text = chunk.lower() if chunk.isascii() else self._normalize(chunk)
-        if text.isalpha() or text[:1] == " " and text[1:].isalpha():
+        if self.drops_space:
+            letters = text.rstrip(string.punctuation)
+            if letters.isalpha():
+                # Letters are one part, and so is the run of marks behind them; a word of small letters is remembered once.
+                if letters == chunk:
+                    return self._part(letters)
+                return self._chunks[letters] if letters == text else self._chunks[letters] + self._parts[text[len(letters):]]
+        elif text.isalpha() or text[:1] == " " and text[1:].isalpha():
             return self._parts[text]  # letters alone, with or without the space before them, are one part
         return b"".join([self._parts[p] for p in self._split(text)])
 

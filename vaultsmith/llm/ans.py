@@ -192,8 +192,12 @@ def _counting(dtype: np.dtype, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                counts += np.bincount(np.frombuffer(ids.as_buffer(), dtype), minlength=size)
+            # All ids of a batch lie side by side.
+            ids = batch.column(0)
+            ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+            held = ids.buffers()[2]
+            if len(ids) and held is not None:
+                counts += np.bincount(np.frombuffer(held, dtype, (int(ends[-1]) - int(ends[0])) // dtype.itemsize, int(ends[0])), minlength=size)
         found = np.flatnonzero(counts)
         yield pa.record_batch([pa.array(found, pa.int64()), pa.array(counts[found], pa.int64())], names=["token", "count"])
 
