@@ -32,11 +32,10 @@ _WS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
 _WORD = re.compile(f"[^{re.escape(_WS)}]+").findall
 # One space belongs to the word behind it; a run of white space gives up its last character.
 _SPACED = re.compile(f" ?[^{re.escape(_WS)}]+|[{re.escape(_WS)}]+(?![^{re.escape(_WS)}])|[{re.escape(_WS)}]+").findall
-#: Where a space touches more white space, or with these, the simple split at spaces would be wrong.
-_TOUCHING = ("  ", "\n ", " \n", *[c for c in _WS if c not in " \n"])
+#: Where white space touches more of it, or with these, the simple split at spaces and line ends would be wrong.
+_TOUCHING = ("  ", "\n ", " \n", "\n\n", *[c for c in _WS if c not in " \n"])
 #: str.split() also cuts at these, which are no white space to a tokenizer.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
-_OTHER_SPACE = re.compile(f"[{re.escape(_WS)}]").search
 _PROBE = ["word", " word,", "'tis", " it's", " x1y22", "ÀÉ", " ñandú!?", "A.B-C", "word.", "ñ)", "it'", "Wörd,***", "x_", " ...", "\n", "3.14", " don't", "ŁÓDŹ", "_a_", "İs"]
 
 
@@ -95,6 +94,8 @@ class ChunkEncoder:
         self._letters = [chr(self._alphabet.get(b, b)) for b in range(256)]
         self._space = self._letters[32]
         self._model = self.tokenizer.model.tokenize
+        # The tables below remember more than the model's own one, which then only costs time.
+        self.tokenizer.model._resize_cache(0)
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self._typecode = "H" if self.vocab_size <= 1 << 16 else "I"
@@ -137,11 +138,16 @@ class ChunkEncoder:
         return b"".join([self._parts[p] for p in self._split(text)])
 
     def _piece(self, piece: str) -> bytes:
-        """What follows a space up to the next one, with that space."""
-        if piece.isalpha() and _latin(piece) and not self._normalize:
-            return self._parts[" " + piece]
-        if _OTHER_SPACE(piece) or not piece:
-            return b"".join([self._chunks[c] for c in _SPACED(" " + piece)])
+        """What follows a space up to the next one, with that space, or a line end with what follows it."""
+        if piece[:1] == "\n":
+            return self._chunks["\n"] + self._chunk(piece[1:]) if len(piece) > 1 else self._chunk(piece)
+        if not self._normalize:
+            letters = piece.rstrip(string.punctuation)
+            if letters.isalpha() and _latin(letters):
+                # Letters are one part with the space before them, and so is the run of marks behind them.
+                if letters == piece:
+                    return self._part(" " + letters)
+                return self._spaced[letters] + self._parts[piece[len(letters):]]
         return self._chunk(" " + piece)
 
     def encode(self, text: str) -> bytes:
@@ -152,7 +158,7 @@ class ChunkEncoder:
             return b"".join(map(self._chunks.__getitem__, words))
         if any(p in text for p in _TOUCHING):
             return b"".join(map(self._chunks.__getitem__, _SPACED(text)))
-        first, *rest = text.split(" ")
+        first, *rest = text.replace("\n", " \n").split(" ")
         return b"".join([*map(self._chunks.__getitem__, _SPACED(first)), *map(self._spaced.__getitem__, rest)])
 
 
