@@ -5,17 +5,17 @@ characters stand side by side in no piece of the model: no merge can reach acros
 ids of a text are those of its units in order. Each distinct unit of the corpus is
 encoded once:
 
-1. explode its substrings up to the longest piece,
+1. explode its substrings of two characters and more, up to the longest piece,
 2. equi-join them to the piece table (bounded by the vocabulary, so broadcast),
-3. group the edges by unit and fold them with ``aggregate``: from single characters on,
-   every step merges the adjacent pair whose piece has the best score (the leftmost of
+3. group the edges by unit, each packed into a long, and fold them: from single characters
+   on, every step merges the adjacent pair whose piece has the best score (the leftmost of
    equals), until no pair makes a piece. These are sentencepiece's own ids for a model of
    merges; one that encodes otherwise is refused.
 
 All of that runs in the partitions that counting the units made: no further shuffle. The
-fold holds the boundaries between symbols in one long, so units of more than
-``LONG_UNIT`` characters take the same merges in a loop inside the task instead. A
-character without a piece is written as its UTF-8 bytes' pieces.
+fold takes a step of all units of an Arrow batch at once. It holds the boundaries between
+symbols in one long, so units of more than ``LONG_UNIT`` characters take the same merges
+one by one. A character without a piece is written as its UTF-8 bytes' pieces.
 
 Texts are then encoded by dictionary look-up. A dictionary of at most
 ``MAX_BROADCAST_UNITS`` units of at most ``MAX_BROADCAST_CHARS`` characters is packed
@@ -38,10 +38,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import bind, keep, table
+from ._common import keep, table
 from ._tokens import tokenizer_path
 
 SPACE = "▁"
@@ -50,10 +50,27 @@ MAX_BROADCAST_CHARS = 64
 MAX_HELD = 200_000
 #: Boundaries of a folded unit are the bits of a long.
 LONG_UNIT = 61
+#: An edge is a long as well: rank of its score, start, size and id, from these bits on (id: 0).
+RANK, START, SIZE = 36, 30, 24
 _PROBE = ["Enpaeux", "relationship of words", "  two  spaces ", "ñandú 漢字 😀\t\n", "aaaaaaa"]
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+
+
+def _pairs(codes: np.ndarray) -> np.ndarray:
+    """One number for each two neighbouring characters."""
+    return codes[:-1] << 21 | codes[1:]
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each value is in ``known`` (sorted), and where."""
+    at = np.minimum(np.searchsorted(known, values), max(len(known) - 1, 0))
+    return (known[at] == values if len(known) else np.zeros(len(values), bool)), at
+
+
 class Pieces:
     """The model's pieces, read once per process."""
 
@@ -67,10 +84,13 @@ class Pieces:
         self.score = [m.get_score(i) for i in range(n)]
         self.first_byte = m.piece_to_id("<0x00>")
         self.longest = max(len(self.text[i]) for i in self.usable)
-        self.neighbours = {t[k:k + 2] for t in map(self.text.__getitem__, self.usable) for k in range(len(t) - 1)}
-        crossing = [p for p in self.neighbours if p[1] == SPACE and p[0] != SPACE]
+        neighbours = {t[k:k + 2] for t in map(self.text.__getitem__, self.usable) for k in range(len(t) - 1)}
+        crossing = [p for p in neighbours if p[1] == SPACE and p[0] != SPACE]
         if crossing or not m.is_byte(self.first_byte):
             raise ValueError(f"{path}: needs byte pieces and no piece across the start of a word, found {crossing[:3]}")
+        self.joined = np.sort(_pairs(_codes("".join(neighbours)))[::2])
+        single = sorted((ord(self.text[i]), i) for i in self.usable if len(self.text[i]) == 1)
+        self.characters, self.character_ids = np.array(single, np.int64).reshape(-1, 2).T
         self.by_text = {self.text[i]: (self.score[i], i) for i in self.usable}
         self.bytes = [self.text[i].replace(SPACE, " ").encode() for i in range(n)]
         for b in range(256):
@@ -105,19 +125,23 @@ def words(text: str | None) -> list[str]:
     return text.split(" ")
 
 
-def cut(word: str, model: Pieces) -> list[str]:
-    """The units of one of ``words``."""
-    word = SPACE + word
-    out, start, joined = [], 0, model.neighbours
-    for k in range(1, len(word)):
-        if word[k - 1:k + 1] not in joined:
-            out.append(word[start:k])
-            start = k
-    return [*out, word[start:]]
+def cut(found: list[str], model: Pieces) -> tuple[list[str], np.ndarray]:
+    """The units of some ``words`` in order, and how many each word has."""
+    if not found:
+        return [], np.zeros(0, np.int64)
+    text = SPACE + SPACE.join(found)
+    begins = np.zeros(len(text), bool)
+    begins[1:] = ~_among(_pairs(_codes(text)), model.joined)[0]
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) + 1
+    first = np.cumsum(sizes) - sizes
+    begins[first] = True
+    at = np.flatnonzero(begins)
+    edges = [*at.tolist(), len(text)]
+    return [text[a:b] for a, b in zip(edges, edges[1:])], np.diff(np.append(np.searchsorted(at, first), len(at)))
 
 
 def units(text: str | None, model: Pieces) -> list[str]:
-    return [u for w in words(text) for u in cut(w, model)]
+    return cut(words(text), model)[0]
 
 
 def _counting(model_path: str):
@@ -126,10 +150,10 @@ def _counting(model_path: str):
         held: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
-            found: Counter = Counter()
-            for word, n in held.items():
-                for u in cut(word, model):
-                    found[u] += n
+            found: dict[str, int] = {}
+            parts, sizes = cut(list(held), model)
+            for u, n in zip(parts, np.repeat(np.fromiter(held.values(), np.int64, len(held)), sizes).tolist()):
+                found[u] = found.get(u, 0) + n
             held.clear()
             return pa.record_batch([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["unit", "n"])
 
@@ -143,51 +167,82 @@ def _counting(model_path: str):
     return run
 
 
-def _byte_ids(code: Column, first: int) -> Column:
-    """Ids of the UTF-8 bytes of a code point."""
-    part = lambda shift: F.shiftright(code, shift).bitwiseAND(63) + 128
-    top = lambda shift, mark: F.shiftright(code, shift) + mark
-    raw = (F.when(code < 0x80, F.array(code))
-           .when(code < 0x800, F.array(top(6, 0xC0), part(0)))
-           .when(code < 0x10000, F.array(top(12, 0xE0), part(6), part(0)))
-           .otherwise(F.array(top(18, 0xF0), part(12), part(6), part(0))))
-    return F.transform(raw, lambda b: (b + first).cast("int"))
-
+def _merged(sizes: np.ndarray, owner: np.ndarray, around: np.ndarray, within: np.ndarray) -> np.ndarray:
+    """Bitmaps of the boundaries left in units of some ``sizes``.
 
-def _merged(unit: Column, edges: Column, model: Pieces) -> Column:
-    """Ids of one unit; ``edges`` are (rank, start, around, within, id) of matched substrings.
-
-    The state is the bitmap of the symbols' boundaries. A substring can be merged while both
-    its ends (``around``) are boundaries and one more is ``within`` it; merging removes that one.
+    Edges are matched substrings in the order (unit, rank, start). One can be merged while
+    both its ends (``around``) are boundaries and one more is ``within`` it; merging removes
+    that one.
     """
-    inner = lambda m, e: m.bitwiseAND(e["within"])
-    ends = lambda m, e: m.bitwiseAND(e["around"]) == e["around"]
-    state = lambda m, left: F.struct(m.alias("m"), left.alias("left"))
-
-    def merge(s: Column, _: Column) -> Column:
+    m = (np.uint64(2) << sizes.astype(np.uint64)) - np.uint64(1)
+    one = np.uint64(1)
+    while len(owner):
+        here = m[owner]
+        inner = here & within
         # Boundaries only vanish: substrings without their ends, or merged already, are done with.
-        alive = F.filter(s["left"], lambda e: ends(s["m"], e) & (inner(s["m"], e) != 0))
-        best = lambda left: F.get(F.filter(left, lambda e: F.bit_count(inner(s["m"], e)) == 1), 0)["within"]
-        step = bind(alive, lambda left: bind(best(left), lambda w: F.when(w.isNotNull(), state(s["m"].bitwiseAND(F.bitwise_not(w)), left))
-                                             .otherwise(state(s["m"], F.slice(left, 1, 0)))))
-        return F.when(F.size(s["left"]) > 0, step).otherwise(s)
-
-    def ids(m: Column) -> Column:
-        known = F.transform(F.filter(edges, lambda e: (e["id"] >= 0) & ends(m, e) & (inner(m, e) == 0)),
-                            lambda e: F.struct(e["start"].alias("start"), F.array(e["id"]).alias("ids")))
-
-        def with_unknown(found: Column) -> Column:
-            at = F.filter(F.sequence(F.lit(0), F.length(unit) - 1), lambda p: (F.getbit(m, p) == 1) & ~F.exists(found, lambda e: e["start"] == p))
-            other = F.transform(at, lambda p: F.struct(p.alias("start"), _byte_ids(
-                F.ascii(F.substring(unit, p + 1, F.lit(1))), model.first_byte).alias("ids")))
-            return F.when(F.size(found) == F.bit_count(m) - 1, found).otherwise(F.concat(found, other))
-
-        return F.flatten(F.transform(F.array_sort(bind(known, with_unknown)), lambda e: e["ids"]))
+        alive = ((here & around) == around) & (inner != 0)
+        owner, around, within, inner = owner[alive], around[alive], within[alive], inner[alive]
+        at = np.flatnonzero((inner & (inner - one)) == 0)
+        best = at[np.diff(owner[at], prepend=-1) != 0]
+        m[owner[best]] &= ~inner[best]
+        going = np.zeros(len(m), bool)
+        going[owner[best]] = True
+        on = going[owner]
+        owner, around, within = owner[on], around[on], within[on]
+    return m
+
+
+def _folded(found: list[str], lists: pa.ListArray, model: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of units from their packed edges, and how many each unit has."""
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    owner = np.repeat(np.arange(len(found)), np.diff(np.asarray(lists.offsets)))
+    edges = np.asarray(lists.flatten(), np.int64)
+    owner, edges = owner[edges >= 0], edges[edges >= 0]  # the empty piece is none
+    order = np.lexsort((edges, owner))
+    owner, edges = owner[order], edges[order]
+    start = edges >> START & 63
+    low, high = (np.uint64(1) << x.astype(np.uint64) for x in (start, start + (edges >> SIZE & 63)))
+    around, within = low | high, high - (low << np.uint64(1))
+    m = _merged(sizes, owner, around, within)
+
+    first = np.cumsum(sizes) - sizes
+    text = "".join(found)
+    unit = np.repeat(np.arange(len(found)), sizes)
+    boundary = (m[unit] >> (np.arange(len(text)) - first[unit]).astype(np.uint64) & np.uint64(1)).astype(bool)
+    known, at = _among(_codes(text), model.characters)
+    ids = np.where(known, model.character_ids[at], -1) if len(model.characters) else np.full(len(text), -1)
+    whole = ((m[owner] & around) == around) & ((m[owner] & within) == 0)
+    ids[first[owner[whole]] + start[whole]] = edges[whole] & ((1 << SIZE) - 1)
+
+    symbols = np.flatnonzero(boundary)
+    ids, unit = ids[symbols], unit[symbols]
+    unknown = np.flatnonzero(ids < 0)
+    if len(unknown):
+        raw = [text[k].encode() for k in symbols[unknown].tolist()]
+        times = np.ones(len(ids), np.int64)
+        times[unknown] = [len(r) for r in raw]
+        ids, unit = np.repeat(ids, times), np.repeat(unit, times)
+        ids[ids < 0] = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64) + model.first_byte
+    return ids, np.bincount(unit, minlength=len(found))
+
+
+def _folding(model_path: str):
+    def run(batches: Batches) -> Batches:
+        model = pieces(model_path)
+        for batch in batches:
+            found = batch.column(0).to_pylist()
+            long = [k for k, u in enumerate(found) if len(u) > LONG_UNIT]
+            # These have the empty piece only, and are put in afterwards.
+            ids, counts = _folded([u if len(u) <= LONG_UNIT else "" for u in found], batch.column(2), model)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(ids, pa.int32()))
+            if long:
+                held = lists.to_pylist()
+                for k in long:
+                    held[k] = best_path(found[k], model)
+                lists = pa.array(held, pa.list_(pa.int32()))
+            yield pa.record_batch([batch.column(0), batch.column(1), lists], names=["unit", "n", "ids"])
 
-    every = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(unit) + 1) - 1
-    by_rank = lambda e: F.filter(F.array_sort(e), lambda x: x["within"] > 0)
-    done = F.aggregate(F.sequence(F.lit(1), F.length(unit)), state(every, by_rank(edges)), merge, lambda s: s["m"])
-    return bind(done, ids)
+    return run
 
 
 def best_path(unit: str, model: Pieces) -> list[int]:
@@ -220,39 +275,25 @@ def best_path(unit: str, model: Pieces) -> list[int]:
     return out
 
 
-def _long_units(model_path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces(model_path)
-        for batch in batches:
-            ids = [best_path(u.as_py(), model) for u in batch.column(0)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["unit", "n", "ids"])
-
-    return run
-
-
 def dictionary(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """unit, n (occurrences), ids of every distinct unit of the texts."""
     spark, model = docs.sparkSession, pieces(model_path)
     counted = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_counting(model_path), "unit string, n long")
                .groupBy("unit").agg(F.sum("n").alias("n")))
-    # The empty piece keeps units without any matching substring; nothing is within it.
-    rows = [(model.text[i], i, -model.score[i]) for i in model.usable] + [("", -1, 0.0)]
-    known = F.broadcast(spark.createDataFrame(rows, "piece string, id int, rank double"))
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), F.length("unit") - 1), lambda a: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(model.longest), F.length("unit") - a)),
-        lambda n: F.struct(a.alias("start"), n.alias("size"), F.substring("unit", a + 1, n).alias("piece")))))
-    empty = F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("size"), F.lit("").alias("piece")))
-    short = F.length("unit") <= LONG_UNIT
+    # The empty piece keeps units without any matching substring.
+    rank = {score: k for k, score in enumerate(sorted({model.score[i] for i in model.usable}, reverse=True))}
+    rows = [(model.text[i], (rank[model.score[i]] << RANK) + i) for i in model.usable if len(model.text[i]) > 1] + [("", -1)]
+    known = F.broadcast(spark.createDataFrame(rows, "piece string, code long"))
+    spans = F.flatten(F.transform(F.sequence(F.lit(0), F.length("unit") - 2), lambda a: F.transform(
+        F.sequence(F.lit(2), F.least(F.lit(model.longest), F.length("unit") - a)),
+        lambda n: F.struct((F.shiftleft(a.cast("long"), START) + F.shiftleft(n.cast("long"), SIZE)).alias("place"),
+                           F.substring("unit", a + 1, n).alias("piece")))))
+    empty = F.array(F.struct(F.lit(0).cast("long").alias("place"), F.lit("").alias("piece")))
+    short = F.length("unit").between(2, LONG_UNIT)
     edges = counted.select("unit", "n", F.explode(F.when(short, F.concat(spans, empty)).otherwise(empty)).alias("s")).select(
-        "unit", "n", "s.start", "s.size", "s.piece").join(known, "piece")
-    bit = lambda at: f"shiftleft(1L, {at})"
-    around = F.expr(f"{bit('start')} | {bit('start + size')}").alias("around")
-    within = F.expr(f"{bit('start + size')} - {bit('start + 1')}").alias("within")
-    listed = F.collect_list(F.struct("rank", "start", around, within, "id")).alias("edges")
-    folded = F.when(short, _merged(F.col("unit"), F.col("edges"), model))
-    made = keep(edges.groupBy("unit", "n").agg(listed).select("unit", "n", folded.alias("ids")), "lattice-dictionary")
-    rest = made.where("ids IS NULL").select("unit", "n").mapInArrow(_long_units(model_path), "unit string, n long, ids array<int>")
-    return made.where("ids IS NOT NULL").unionByName(rest)
+        "unit", "n", "s.place", "s.piece").join(known, "piece")
+    listed = edges.groupBy("unit", "n").agg(F.collect_list(F.col("code") + F.col("place")).alias("edges"))
+    return keep(listed.mapInArrow(_folding(model_path), "unit string, n long, ids array<int>"), "lattice-dictionary")
 
 
 # ------------------------------------------------------------- applying a dictionary
@@ -266,18 +307,29 @@ def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class PackedDictionary:
-    """Unit hash -> ids in four arrays."""
+    """Unit hash -> ids in three arrays, in the order of the hashes."""
 
     def __init__(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray):
-        starts = np.cumsum(sizes) - sizes
         order = np.argsort(hashes, kind="stable")
-        self.hashes, self.starts, self.sizes, self.ids = hashes[order], starts[order], sizes[order], ids
+        self.hashes = hashes[order]
+        first = np.append(0, np.cumsum(sizes[order]))
+        self.first = first.astype(np.uint32) if first[-1] < 1 << 32 else first
+        self.ids = ids[_runs((np.cumsum(sizes) - sizes)[order], sizes[order])]
+        if len(ids) and ids.max() < 1 << 16:
+            self.ids = self.ids.astype(np.uint16)
         self.unique = bool((self.hashes[1:] != self.hashes[:-1]).all())
 
-    def find(self, unit: str) -> bytes:
-        k = int(np.searchsorted(self.hashes, np.uint64(xxhash.xxh3_64_intdigest(unit))))
-        a = int(self.starts[k])
-        return self.ids[a:a + int(self.sizes[k])].tobytes()
+    def find(self, found: list[str]) -> tuple[bytes, np.ndarray]:
+        """The ids of units in order, and how many each has."""
+        at = np.searchsorted(self.hashes, np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)))
+        first = self.first[at].astype(np.int64)
+        sizes = self.first[at + 1].astype(np.int64) - first
+        return self.ids[_runs(first, sizes)].astype("<u4").tobytes(), sizes
+
+
+def _runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of runs that start at ``first``, one run behind the other."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
 def _pack(known: DataFrame) -> PackedDictionary:
@@ -286,27 +338,28 @@ def _pack(known: DataFrame) -> PackedDictionary:
     return PackedDictionary(join("h", np.uint64), join("s", "<u4").astype(np.int64), join("i", "<u4"))
 
 
-class _Held(dict):
-    """Word -> ids as bytes, remembered up to a bound."""
-
-    def __init__(self, packed: PackedDictionary, model: Pieces):
-        super().__init__()
-        self.packed, self.model = packed, model
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= MAX_HELD:
-            self.clear()
-        found = b"".join([self.packed.find(u) for u in cut(word, self.model)])
-        if len(word) <= MAX_BROADCAST_CHARS:
-            self[word] = found
-        return found
+def _learn(held: dict[str, bytes], new: list[str], packed: PackedDictionary, model: Pieces) -> None:
+    """Adds the ids of words, as bytes."""
+    parts, counts = cut(new, model)
+    ids, sizes = packed.find(parts)
+    ends = (4 * np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]).tolist()
+    held.update(zip(new, [ids[a:b] for a, b in zip(ends, ends[1:])]))
 
 
 def _looking_up(shared, model_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(shared.value, pieces(model_path))
+        packed, model = shared.value, pieces(model_path)
+        held: dict[str, bytes] = {}
         for batch in _few(batches):
-            ids = [b"".join(map(held.__getitem__, words(t.as_py()))) for t in batch.column(1)]
+            if len(held) > MAX_HELD:
+                held.clear()
+            split = [words(t.as_py()) for t in batch.column(1)]
+            new = list({w for found in split for w in found if w not in held})
+            _learn(held, new, packed, model)
+            ids = [b"".join(map(held.__getitem__, found)) for found in split]
+            for w in new:
+                if len(w) > MAX_BROADCAST_CHARS:
+                    del held[w]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "text", "ids"])
 
     return run
