@@ -44,6 +44,12 @@ def table_bytes(df: DataFrame) -> int:
     return int(str(size)) if node.children().size() == 0 else -1
 
 
+def no_rows(df: DataFrame) -> bool:
+    """Whether the one table or file that ``df`` selects from has no rows, as before a first load; False for
+    anything derived, which would have to be computed for the answer."""
+    return 0 <= table_bytes(df) < PRUNE_FROM and df.isEmpty()
+
+
 def pruned(target: DataFrame, staged: list[DataFrame], key: str, words: int = WORDS, prune_from: int | None = None) -> DataFrame:
     """``target`` without most of the rows whose ``key`` none of the ``staged`` frames has (rows with a NULL key go too)."""
     if table_bytes(target) < (PRUNE_FROM if prune_from is None else prune_from):

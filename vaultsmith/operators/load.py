@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.heavy import is_heavy, join_one_per_key, split
 from ..functions.keys import pack, text_columns, unpack
 from ..functions.meta import HASHDIFF, SUBSEQ, load_meta
-from ..functions.prune import pruned
+from ..functions.prune import no_rows, pruned
 from ..functions.windows import latest_rows, time_order, with_set_positions
 from ..run import Run
 from ..spec import Hub, Link, Sat
@@ -117,14 +117,18 @@ def link_delta(stages, target: DataFrame | None, link: Link, run: Run) -> DataFr
     keys = [link.hk, *cks] if run.strict else [link.hk]
     cols = [link.hk, *link.hks, *cks]
     stages, digests = _as_list(stages), []
-    if run.strict:
-        # Digests go packed through the distinct and the join.
+    if target is not None and no_rows(target):
+        target = None  # nothing to meet: the staged rows stay where they are
+    if run.strict or target is not None or len(stages) > 1:
+        # Digests go packed through the distinct and the joins.
         digests = [c for c in text_columns(stages[0], [link.hk, *link.hks]) if all(text_columns(s, [c]) for s in stages)]
         if target is not None:
             if not text_columns(target, [link.hk]):
                 digests = [c for c in digests if c != link.hk]
             target = pack(pruned(target.select(*keys), stages, keys[0]), [c for c in digests if c in keys])
-        stages = [_distinct_staged(pack(s.select(*cols, *STAGED_META), digests), cols) for s in stages]
+        stages = [pack(s.select(*cols, *STAGED_META), digests) for s in stages]
+        if run.strict:
+            stages = [_distinct_staged(s, cols) for s in stages]
     rows = unpack(first_source_wins(stages, keys, target), digests)
     return rows.select(*cols, *load_meta(run, run.load_task(link.name)))
 
