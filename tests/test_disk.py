@@ -1,13 +1,19 @@
 """What loads shuffle and leave on disk: no more than the load needs."""
 
+import time
+
 from pyspark.sql import functions as F
 
-from vaultsmith import Run, Source
+from vaultsmith import Run, Source, VaultModel
 from vaultsmith.functions.prune import no_rows
+from vaultsmith.operators.effectivity import _distinct_by, effectivity_delta
 from vaultsmith.operators.load import link_delta
 from vaultsmith.plans.explain import plan_summary, plan_text
+from vaultsmith.plans.runner import VaultRunner
+from vaultsmith.session import CLEANUP
 from vaultsmith.sinks.tables import append, ensure_table, table_columns
-from vaultsmith.spec import Link
+from vaultsmith.sources.tables import mapping_sources
+from vaultsmith.spec import Effectivity, Link
 
 RUN = Run(load_ts="2024-06-01 00:00:00")
 LINK = Link("l", hk="hk", hks=["a_hk", "b_hk"], cks={"c": "ck"}, sources=[Source("x", bks={"a": "a_hk", "b": "b_hk"})])
@@ -44,3 +50,38 @@ def test_the_first_load_of_a_link_shuffles_nothing(spark, scratch_db):
     assert spark.table(name).count() == 3
     second = link_delta(links(spark, [("a", "1"), ("b", "1")]), spark.table(name).select("hk"), LINK, RUN)
     assert [r["hk"] for r in second.collect()] == ["b"]
+
+
+EFF = Effectivity("es", link="l", drivers=["a_hk"])
+
+
+def test_relations_are_dealt_by_their_key_once(spark):
+    rows = links(spark, [("a", "1"), ("a", "1"), ("b", "1"), (None, "1"), (None, "1")]).withColumn("a_hk", F.coalesce("hk", F.lit("n")))
+    distinct = _distinct_by(rows.select("hk", "a_hk", "dv_recsrc"), "hk")
+    assert sorted(map(tuple, distinct.collect()), key=str) == [("a", "a", "r"), ("b", "b", "r"), (None, "n", "r")]
+    target = effectivity_delta(links(spark, [("a", "1"), ("c", "1")]).withColumn("a_hk", F.col("hk")), None, None, EFF, LINK, RUN)
+    known = links(spark, [("a", "1"), ("c", "1")]).withColumn("a_hk", F.col("hk"))
+    target = spark.createDataFrame(target.collect(), target.schema)
+    delta = effectivity_delta(rows, target, known, EFF, LINK, RUN)
+    assert plan_summary(delta)["exchanges"] == 5  # records, link keys, relations; what began or ended and the drivers
+    assert sorted((str(r["hk"]), str(r["dv_endts"])[:4]) for r in delta.collect()) == [("None", "9999"), ("b", "9999")]
+
+
+def test_a_run_leaves_no_shuffle_files(spark, scratch_db):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    held = lambda: {f for f in env.blockManager().diskBlockManager().getAllFiles().mkString("|").split("|") if "shuffle_" in f}
+    model = VaultModel.from_yaml("""
+connection: {schemas: {source: unused, stage: %(db)s, edwh: %(db)s}}
+rv:
+  sats:
+    s_x: {hk: hk, attrs: [v], cks: {}, multiactive: true, src: {x: {bks: [id], attrs: {v: v}}}}
+""" % {"db": scratch_db})
+    before = held()
+    rows = spark.range(100).select((F.col("id") % 10).alias("id"), F.col("id").cast("string").alias("v"))
+    VaultRunner(spark, model, sources=mapping_sources({"x": rows}), tune_session=False).run(RUN)
+    for _ in range(50):  # files go in the background
+        if not held() - before:
+            break
+        time.sleep(0.2)
+    assert not held() - before and spark.table(f"{scratch_db}.s_x").count() == 100
+    assert spark.conf.get(CLEANUP, None) is None

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hashdiff, high_date, pack, text_columns, unpack
 from ..functions.meta import ENDTS, HASHDIFF, STARTTS
+from ..functions.prune import no_rows
 from ..functions.windows import time_order
 from ..run import Run
 from ..spec import Effectivity, Link
@@ -41,6 +42,12 @@ def _period_hash(start, end):
     return hashdiff([start.cast("string"), end.cast("string")])
 
 
+def _distinct_by(rows: DataFrame, key: str) -> DataFrame:
+    """Distinct ``rows``, dealt by ``key`` alone: copies collapse map-side, and a join on the key moves none again."""
+    values = rows.groupBy(key).agg(F.collect_set(F.struct(*[c for c in rows.columns if c != key])).alias("_values"))
+    return values.select(key, F.explode("_values").alias("_value")).select(key, "_value.*").select(*rows.columns)
+
+
 def open_records(target: DataFrame, link_rows: DataFrame, link: Link, drivers: list[str]) -> DataFrame:
     """Latest record per link key that is still open, with its driving key(s)
     taken from the link table."""
@@ -52,7 +59,7 @@ def open_records(target: DataFrame, link_rows: DataFrame, link: Link, drivers: l
     rows = rows.withColumn("_newest", F.max("_at").over(Window.partitionBy(link.hk)))
     latest = rows.where(F.col("_at") == F.col("_newest")).select(link.hk, *value)
     still_open = latest.where(F.col(ENDTS) == high_date()).drop(ENDTS)
-    keys = link_rows.select(link.hk, *drivers).distinct()
+    keys = _distinct_by(link_rows.select(link.hk, *drivers), link.hk)
     return still_open.join(keys, link.hk)
 
 
@@ -70,6 +77,8 @@ def effectivity_delta(stages, target: DataFrame | None, link_rows: DataFrame | N
     applied = run.applied_ts_col()
     if target is not None and link_rows is None:
         raise ValueError(f"effectivity {eff.name}: the link table is needed to find driving keys")
+    if target is not None and no_rows(target):
+        target = None
     # Digests go packed through distincts and joins, where every side has them as text.
     keyed = [*stages, *([] if target is None else [link_rows])]
     digests = [c for c in dict.fromkeys([link.hk, *drivers]) if all(text_columns(d, [c]) for d in keyed)]
@@ -77,9 +86,8 @@ def effectivity_delta(stages, target: DataFrame | None, link_rows: DataFrame | N
         digests = [c for c in digests if c != link.hk]
     # Already one row per link key: the link hash covers every hub-key part
     # (the driver's included) and first_source_wins keeps one source per key.
-    relations = first_source_wins(
-        [pack(s.select(link.hk, *drivers, *EFFECTIVITY_META), digests).distinct() for s in stages], [link.hk]
-    )
+    staged_rows = [pack(s.select(link.hk, *drivers, *EFFECTIVITY_META), digests) for s in stages]
+    relations = first_source_wins([_distinct_by(s, link.hk) for s in staged_rows], [link.hk])
     if target is None:
         rows = relations.withColumn(STARTTS, F.lit(None).cast("timestamp_ntz"))
         is_new = F.lit(True)
@@ -95,7 +103,8 @@ def effectivity_delta(stages, target: DataFrame | None, link_rows: DataFrame | N
             link.hk, STARTTS, F.col("_open").isNull().alias("_new"), F.coalesce("_open", "_staged").alias("_row")
         ).select(link.hk, STARTTS, "_new", "_row.*")
         # A driver with very many relations brings only those that began or ended to the join on the driver.
-        here = relations.select(*drivers).distinct().withColumn("_here", F.lit(True))
+        # One source's drivers are those of its rows: they needn't be dealt by the link key first.
+        here = (relations if len(stages) > 1 else staged_rows[0]).select(*drivers).distinct().withColumn("_here", F.lit(True))
         rows = rows.join(here, drivers, "left").where("_new OR _here")
         is_new = F.col("_new")
     start = F.when(is_new, applied).otherwise(F.col(STARTTS))

@@ -19,7 +19,7 @@ from ..operators.effectivity import effectivity_delta
 from ..operators.load import hub_delta, link_delta, sat_delta
 from ..operators.stage import stage
 from ..run import Run
-from ..session import tune
+from ..session import shuffles_removed, tune
 from ..sinks.tables import append, by_partition, ensure_schema, ensure_table, table_columns, write_batch, write_stage
 from ..sources.tables import SourceResolver, catalog_sources, vault_table, virtual_source
 from ..spec import Effectivity, Hub, Layer, Link, Sat, VaultModel
@@ -80,6 +80,11 @@ class VaultRunner:
         ensure_schema(self.spark, self.model.vault_schema)
         if self.materialize_stage:
             ensure_schema(self.spark, self.model.stage_schema)
+        with shuffles_removed(self.spark):
+            self._load(levels, run, report)
+        return report
+
+    def _load(self, levels: list[list[str]], run: Run, report: RunReport) -> None:
         rv, bv = self.model.rv, self.model.bv
         # Raw vault: every hub, link and satellite is its own target (one wave);
         # an effectivity satellite reads its link's table, so it waits for that link.
@@ -88,7 +93,6 @@ class VaultRunner:
         by_name = {e.name: e for e in [*bv.entities(), *bv.effs.values()]}
         for level in levels:
             self._wave([by_name[n] for n in level], bv, run, True, report)
-        return report
 
     def check_sources(self, run: Run) -> list[list[str]]:
         """Resolve every source and build its stage plan, which checks the mapped columns,

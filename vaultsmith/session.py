@@ -8,6 +8,7 @@ for tests and the benchmark.
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +38,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: A job's shuffle files go when it ends, not when the driver happens to collect garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Jobs started within leave no shuffle files behind: for results that are written and not computed on."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "vaultsmith",
                   warehouse: str | None = None, extra: dict | None = None) -> SparkSession:
     builder = (
