@@ -1,13 +1,15 @@
 """What loads shuffle and leave on disk: no more than the load needs."""
 
+import re
 import time
 
 from pyspark.sql import functions as F
 
 from vaultsmith import Run, Source, VaultModel
+from vaultsmith.functions.keys import pack, unpack, whole_digest
 from vaultsmith.functions.prune import no_rows
 from vaultsmith.operators.effectivity import _distinct_by, effectivity_delta
-from vaultsmith.operators.load import link_delta
+from vaultsmith.operators.load import _placed_sets, _tagged, link_delta, sat_delta
 from vaultsmith.plans.explain import plan_summary, plan_text
 from vaultsmith.plans.runner import VaultRunner
 from vaultsmith.session import CLEANUP
@@ -15,6 +17,8 @@ from vaultsmith.sinks.tables import append, ensure_table, table_columns
 from vaultsmith.sources.tables import mapping_sources
 from vaultsmith.spec import Effectivity, Link
 
+from .test_many_sources import CKEY, MULTI, frames, scenarios, shuffles
+
 RUN = Run(load_ts="2024-06-01 00:00:00")
 LINK = Link("l", hk="hk", hks=["a_hk", "b_hk"], cks={"c": "ck"}, sources=[Source("x", bks={"a": "a_hk", "b": "b_hk"})])
 
@@ -85,3 +89,33 @@ rv:
         time.sleep(0.2)
     assert not held() - before and spark.table(f"{scratch_db}.s_x").count() == 100
     assert spark.conf.get(CLEANUP, None) is None
+
+
+def test_a_hashdiff_of_its_attributes_is_not_shuffled(spark):
+    texts = [("1", "2"), ("1|2", None), (None, "1|2"), (None, None), ("", "")]
+    own = F.md5(F.concat_ws("|", "a", "b"))
+    rows = spark.createDataFrame(texts, "a string, b string")
+    rows = rows.withColumn("d", own).unionByName(rows.withColumn("d", F.md5(F.lit("other")))).unionByName(
+        rows.withColumn("d", F.lit(None).cast("string"))).unionByName(rows.withColumn("d", F.lit(""))).unionByName(rows.withColumn("d", F.lit("A")))
+    packed = pack(rows, ["d"], "d", ["a", "b"])
+    assert packed.where("length(d) = 0").count() == len(texts)
+    assert unpack(packed, ["d"], "d", ["a", "b"]).collect() == rows.collect()
+    assert packed.distinct().count() == rows.distinct().count() == 25
+    assert packed.withColumn("d", whole_digest("d", ["a", "b"])).collect() == pack(rows, ["d"]).collect()
+
+
+def test_child_key_loads_do_not_shuffle_hashdiffs(spark):
+    """By the plan: the staged hashdiffs are dropped before the exchange and made again behind it."""
+    target, stages = scenarios(2, seed=3, keys=5)
+    tgt, st = frames(spark, target, stages, False)
+    for delta in (sat_delta(st, tgt, CKEY, RUN), sat_delta(st[0], None, CKEY, RUN)):
+        assert re.search(r"dv_hashdiff#\d+ = md5\(", plan_text(delta, "simple"))
+
+
+def test_sets_are_compared_and_loaded_from_one_shuffle(spark):
+    target, stages = scenarios(3, seed=5, keys=40)
+    tgt, st = frames(spark, target, stages, True)
+    tagged, tgt = _tagged([s.drop("ck") for s in st]), tgt.drop("ck")
+    for n, run in ((3, RUN), (1, RUN), (1, Run(load_ts="2024-06-01 00:00:00", semantics="strict"))):
+        rows = tagged.where(f"_src_ord < {n}")
+        assert shuffles(spark, lambda: _placed_sets(rows, tgt, MULTI.hk, n, run)) == 1
