@@ -19,7 +19,9 @@ one by one. A character without a piece is written as its UTF-8 bytes' pieces.
 
 Texts are then encoded by dictionary look-up. A dictionary of at most
 ``MAX_BROADCAST_UNITS`` units of at most ``MAX_BROADCAST_CHARS`` characters is packed
-(hash, ids) and broadcast; beyond that, units and dictionary are joined.
+(hash, ids) and broadcast. Of a larger one the most frequent units are; the others, each
+once for a text that has it, are joined with the dictionary and meet the texts in the one
+shuffle that these take part in, compressed.
 
 Defined results: null and empty texts have no ids; repeated rows are encoded each; a null
 doc_id is a row like any other; ``▁`` in a text decodes as a space; other columns are not
@@ -41,6 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shuffles_removed
 from ._common import keep, table
 from ._tokens import tokenizer_path
 
@@ -48,6 +51,10 @@ SPACE = "▁"
 MAX_BROADCAST_UNITS = 1 << 22
 MAX_BROADCAST_CHARS = 64
 MAX_HELD = 200_000
+#: Beyond the broadcast, texts and their rare units meet by a hash of so many values.
+PLACES = 1 << 24
+#: Units are ranked by the logarithm of their count: so many steps double it.
+COUNT_STEPS = 8
 #: Boundaries of a folded unit are the bits of a long.
 LONG_UNIT = 61
 #: An edge is a long as well: rank of its score, start, size and id, from these bits on (id: 0).
@@ -293,7 +300,8 @@ def dictionary(docs: DataFrame, model_path: str, text_col: str = "text") -> Data
     edges = counted.select("unit", "n", F.explode(F.when(short, F.concat(spans, empty)).otherwise(empty)).alias("s")).select(
         "unit", "n", "s.place", "s.piece").join(known, "piece")
     listed = edges.groupBy("unit", "n").agg(F.collect_list(F.col("code") + F.col("place")).alias("edges"))
-    return keep(listed.mapInArrow(_folding(model_path), "unit string, n long, ids array<int>"), "lattice-dictionary")
+    with shuffles_removed(spark):
+        return keep(listed.mapInArrow(_folding(model_path), "unit string, n long, ids array<int>"), "lattice-dictionary")
 
 
 # ------------------------------------------------------------- applying a dictionary
@@ -319,11 +327,17 @@ class PackedDictionary:
             self.ids = self.ids.astype(np.uint16)
         self.unique = bool((self.hashes[1:] != self.hashes[:-1]).all())
 
+    def has(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each unit is here, and where."""
+        return _among(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)), self.hashes)
+
     def find(self, found: list[str]) -> tuple[bytes, np.ndarray]:
-        """The ids of units in order, and how many each has."""
-        at = np.searchsorted(self.hashes, np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)))
+        """The ids of units in order, and how many each has: none if it is not here."""
+        here, at = self.has(found)
+        if not len(self.hashes):
+            return b"", np.zeros(len(found), np.int64)
         first = self.first[at].astype(np.int64)
-        sizes = self.first[at + 1].astype(np.int64) - first
+        sizes = np.where(here, self.first[at + 1].astype(np.int64) - first, 0)
         return self.ids[_runs(first, sizes)].astype("<u4").tobytes(), sizes
 
 
@@ -332,18 +346,31 @@ def _runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
-def _pack(known: DataFrame) -> PackedDictionary:
+def _pack(known: DataFrame, without: set[int] = frozenset()) -> PackedDictionary:
+    """The units of ``known`` but those whose hash is in ``without``."""
     rows = known.select("unit", "ids").mapInArrow(_packing, "h binary, s binary, i binary").collect()
     join = lambda c, t: np.frombuffer(b"".join(bytes(r[c]) for r in rows), t)
-    return PackedDictionary(join("h", np.uint64), join("s", "<u4").astype(np.int64), join("i", "<u4"))
+    hashes, sizes, ids = join("h", np.uint64), join("s", "<u4").astype(np.int64), join("i", "<u4")
+    if without:
+        stay = ~np.isin(hashes, np.array(sorted(without), np.uint64))
+        hashes, sizes, ids = hashes[stay], sizes[stay], ids[np.repeat(stay, sizes)]
+    return PackedDictionary(hashes, sizes, ids)
 
 
-def _learn(held: dict[str, bytes], new: list[str], packed: PackedDictionary, model: Pieces) -> None:
-    """Adds the ids of words, as bytes."""
+def _learn(held: dict[str, bytes], new: list[str], packed: PackedDictionary, model: Pieces,
+           rare: dict[str, bytes] | None = None) -> list[str]:
+    """Adds the ids of words, as bytes. Returns the words with units that only ``rare`` has."""
     parts, counts = cut(new, model)
     ids, sizes = packed.find(parts)
-    ends = (4 * np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]).tolist()
+    here = sizes > 0
+    first = np.append(0, np.cumsum(counts))
+    at = 4 * np.append(0, np.cumsum(sizes))
+    ends = at[first].tolist()
     held.update(zip(new, [ids[a:b] for a, b in zip(ends, ends[1:])]))
+    mixed = np.unique(np.repeat(np.arange(len(new)), counts)[~here]).tolist()
+    for w in mixed:
+        held[new[w]] = b"".join([ids[at[k]:at[k + 1]] if here[k] else rare[parts[k]] for k in range(first[w], first[w + 1])])
+    return [new[w] for w in mixed]
 
 
 def _looking_up(shared, model_path: str):
@@ -365,31 +392,129 @@ def _looking_up(shared, model_path: str):
     return run
 
 
-def _splitting(model_path: str):
+def _place(doc_id: int | None, text: str | None) -> int:
+    return xxhash.xxh3_64_intdigest(text or "", seed=(doc_id or 0) & (1 << 64) - 1) % PLACES
+
+
+def _rare_units(shared, model_path: str):
+    """(place, unit) of the units of a text that the broadcast doesn't have, each once."""
     def run(batches: Batches) -> Batches:
-        model = pieces(model_path)
+        packed, model = shared.value, pieces(model_path)
+        held: dict[str, list[str]] = {}
         for batch in _few(batches):
-            yield pa.record_batch([batch.column(0), pa.array([units(t.as_py(), model) for t in batch.column(1)], pa.list_(pa.string()))],
-                                  names=["row", "units"])
+            if len(held) > MAX_HELD:
+                held.clear()
+            texts = batch.column(1).to_pylist()
+            split = [words(t) for t in texts]
+            new = list({w for found in split for w in found if w not in held})
+            parts, counts = cut(new, model)
+            missing = np.flatnonzero(~packed.has(parts)[0])
+            owner = np.repeat(np.arange(len(new)), counts)[missing]
+            held.update((w, ()) for w in new)
+            for k, w in zip(missing.tolist(), owner.tolist()):
+                held[new[w]] = [*held[new[w]], parts[k]]
+            places, out = [], []
+            for doc_id, text, found in zip(batch.column(0).to_pylist(), texts, split):
+                needed = {u for w in found for u in held[w]}
+                places += [_place(doc_id, text)] * len(needed)
+                out += needed
+            for w in new:
+                if len(w) > MAX_BROADCAST_CHARS:
+                    del held[w]
+            yield pa.record_batch([pa.array(places, pa.int32()), pa.array(out, pa.string())], names=["place", "unit"])
 
     return run
 
 
-def _joined(pairs: DataFrame, known: DataFrame, model_path: str, then: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """Look-up by joins: for dictionaries of any size. AQE splits frequent units."""
-    rows = keep(pairs.withColumn("row", F.monotonically_increasing_id()), "lattice-rows")
-    split = rows.select("row", "text").mapInArrow(_splitting(model_path), "row long, units array<string>")
-    occurring = split.select("row", F.posexplode("units").alias("at", "unit"))
-    listed = (occurring.join(known.select("unit", F.col("ids").alias("unit_ids")), "unit").groupBy("row")
-              .agg(F.sort_array(F.collect_list(F.struct("at", "unit_ids"))).alias("x"))
-              .select("row", F.flatten(F.transform("x", lambda p: p["unit_ids"])).alias("list")))
+def _sending(batches: Batches) -> Batches:
+    """Texts at their places, compressed: they are most of what is shuffled."""
+    codec = pa.Codec("zstd")
 
-    def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _few(batches):
-            ids = [np.array(x.as_py() or [], "<u4").tobytes() for x in batch.column(2)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "text", "ids"])
+    def packed(text: str | None) -> bytes | None:
+        raw = None if text is None else text.encode()
+        return raw if raw is None else len(raw).to_bytes(4, "little") + codec.compress(raw, asbytes=True)
+
+    for batch in _few(batches):
+        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        yield pa.record_batch([pa.array(map(_place, ids, texts), pa.int32()), pa.nulls(len(ids), pa.string()),
+                               pa.nulls(len(ids), pa.list_(pa.int32())), batch.column(0), pa.array(map(packed, texts), pa.binary())],
+                              names=["place", "unit", "ids", "doc_id", "body"])
 
-    return rows.join(listed, "row", "left").select("doc_id", "text", "list").mapInArrow(lambda b: then(as_bytes(b)), schema)
+
+def _meeting(shared, model_path: str):
+    """Encodes texts from the broadcast and the rare units that stand before them at their place."""
+    def run(batches: Batches) -> Batches:
+        packed, model, codec = shared.value, pieces(model_path), pa.Codec("zstd")
+        held: dict[str, bytes] = {}
+        rare: dict[str, bytes] = {}
+        waiting: list[tuple[int | None, str | None]] = []
+
+        def flush() -> pa.RecordBatch:
+            if len(held) > MAX_HELD:
+                held.clear()
+            split = [words(t) for _, t in waiting]
+            new = list({w for found in split for w in found if w not in held})
+            passing = _learn(held, new, packed, model, rare)
+            ids = [b"".join(map(held.__getitem__, found)) for found in split]
+            for w in {*passing, *(w for w in new if len(w) > MAX_BROADCAST_CHARS)}:
+                del held[w]
+            out = pa.record_batch([pa.array([d for d, _ in waiting], pa.int64()), pa.array([t for _, t in waiting], pa.string()),
+                                   pa.array(ids, pa.binary())], names=["doc_id", "text", "ids"])
+            waiting.clear()
+            return out
+
+        here = None
+        for batch in batches:
+            for place, unit, ids, doc_id, body in zip(*[c.to_pylist() for c in batch.columns]):
+                if place != here and len(waiting) >= 256:
+                    yield flush()
+                    rare.clear()
+                elif len(waiting) >= 2048:
+                    yield flush()
+                here = place
+                if unit is not None:
+                    rare[unit] = np.array(ids, "<u4").tobytes()
+                else:
+                    waiting.append((doc_id, None if body is None else codec.decompress(
+                        body[4:], int.from_bytes(body[:4], "little"), asbytes=True).decode()))
+        if waiting:
+            yield flush()
+
+    return run
+
+
+def _clashes(known: DataFrame) -> set[int]:
+    """Hashes that several units share: a few at most, of 64 bits."""
+    def hashed(batches: Batches) -> Batches:
+        for batch in batches:
+            h = np.array([xxhash.xxh3_64_intdigest(u) for u in batch.column(0).to_pylist()], np.uint64)
+            yield pa.record_batch([pa.array(h.view(np.int64))], names=["h"])
+
+    shared = known.select("unit").mapInArrow(hashed, "h long").groupBy("h").count().where("count > 1").collect()
+    return {r["h"] & (1 << 64) - 1 for r in shared}
+
+
+def _joined(pairs: DataFrame, known: DataFrame, model_path: str, max_units: int, then: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """Look-up for dictionaries of any size: frequent units by broadcast, rare ones by joins."""
+    spark = pairs.sparkSession
+    step = F.floor(F.log2(F.col("n").cast("double")) * COUNT_STEPS)
+    short = F.length("unit") <= MAX_BROADCAST_CHARS
+    least, total = None, 0
+    with shuffles_removed(spark):
+        for row in sorted(known.where(short).groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+            total += row["count"]
+            if total > max_units:
+                break
+            least = row["step"]
+        clashes = _clashes(known)
+    frequent = F.lit(False) if least is None else short & (step >= least)
+    shared = spark.sparkContext.broadcast(_pack(known.where(frequent), clashes))
+    others = known.select("unit", "ids") if clashes else known.where(~frequent).select("unit", "ids")
+    needed = pairs.mapInArrow(_rare_units(shared, model_path), "place int, unit string").join(others, "unit")
+    texts = pairs.mapInArrow(_sending, "place int, unit string, ids array<int>, doc_id long, body binary")
+    met = texts.unionByName(needed, allowMissingColumns=True).repartition("place").sortWithinPartitions("place", F.col("unit").isNull())
+    encoded = _meeting(shared, model_path)
+    return met.mapInArrow(lambda b: then(encoded(b)), schema)
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -409,7 +534,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         if packed.unique:
             look_up = _looking_up(spark.sparkContext.broadcast(packed), model_path)
             return pairs.mapInArrow(lambda b: then(look_up(b)), schema)
-    return _joined(pairs, known, model_path, then, schema)
+    return _joined(pairs, known, model_path, max_units, then, schema)
 
 
 def decode_ids(ids: np.ndarray, model: Pieces) -> str:
